@@ -65,18 +65,20 @@ def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], toler
     )
     rows = posted.unionByName(probes, allowMissingColumns=True)
     line = Timeline(rows, ["_device", "_block"], F.col("_t"), ["_side"], rows_per_slice)
-    counters = {f"_n{i}": (F.col("_limit") == v).cast("bigint") for i, v in enumerate(values)}
-    probes = line.running(totals=True, **counters).done().where("_side <> 1")
-
-    events, excess, worst = F.lit(0), F.lit(0.0), []
-    for i, v in enumerate(values):
-        near = F.when(F.col("_side") == 0, F.col(f"_n{i}_total") - F.col(f"_n{i}")).otherwise(F.col(f"_n{i}"))
-        over = F.col("_speed") > v
-        events = events + F.when(over, near).otherwise(0)
-        excess = excess + F.when(over, near * (F.col("_speed") - v)).otherwise(0.0)
-        worst.append(F.when(over & (near > 0), F.col("_speed") - v))
-    worst = F.greatest(*worst, F.lit(None).cast("double"))
-    probes = probes.select("_fix.*", events.alias("_events"), excess.alias("_excess"), worst.alias("_worst"))
+    counters = {f"_n{i}": f"CAST(_limit = {float(v)!r}D AS BIGINT)" for i, v in enumerate(values)}
+    counted = line.running(totals=True, **counters).done().where("_side <> 1")
+
+    # limits of value v inside the part of the range that lies in this block: rest of the block, or start of it
+    near = {v: f"IF(_side = 0, _n{i}_total - _n{i}, _n{i})" for i, v in enumerate(values)}
+    over = {v: f"_speed > {float(v)!r}D" for v in values}
+    excess = {v: f"(_speed - {float(v)!r}D)" for v in values}
+    worst = [f"IF({over[v]} AND {near[v]} > 0, {excess[v]}, NULL)" for v in values]
+    probes = counted.selectExpr(
+        "_fix.*",
+        " + ".join(f"IF({over[v]}, {near[v]}, 0L)" for v in values) + " AS _events",
+        " + ".join(f"IF({over[v]}, {near[v]} * {excess[v]}, 0D)" for v in values) + " AS _excess",
+        f"greatest({', '.join([*worst, 'CAST(NULL AS DOUBLE)'])}) AS _worst",
+    )
     return _finish(probes, by, flag).where("overspeed_events > 0")
 
 

@@ -165,31 +165,29 @@ class Timeline:
         )
         return self
 
-    def running(self, totals: bool = False, **values: Column) -> Timeline:
-        """Running sum up to and including each row; with ``totals`` also ``<name>_total`` of the whole key."""
-        temp = {name: f"_v_{name}" for name in values}
-        self.rows = self.rows.withColumns({temp[n]: v for n, v in values.items()})
+    def running(self, totals: bool = False, **values: str) -> Timeline:
+        """Running sum of SQL expressions up to and including each row; with ``totals`` also ``<name>_total`` of the key."""
+        group, order = ", ".join(self.group), ", ".join(self.order)
+        upto = f"OVER (PARTITION BY {group} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        self.rows = self.rows.selectExpr("*", *[f"{v} AS _v{n}" for n, v in values.items()])
         carry = whole = None
         if self.sliced:
-            summary = self._per_slice(*[F.sum(t).alias(f"_s{t}") for t in temp.values()])
-            carry = summary.select(
-                *self.group, *[F.sum(f"_s{t}").over(self._earlier()).alias(f"_c{t}") for t in temp.values()]
-            )
-            whole = summary.groupBy(*self.keys).agg(*[F.sum(f"_s{t}").alias(f"_w{t}") for t in temp.values()])
-        w = self._upto()
-        added = {n: F.coalesce(F.sum(t).over(w), F.lit(0)) for n, t in temp.items()}
+            summary = self.rows.where("_hot").groupBy(*self.group).agg(*[F.sum(f"_v{n}").alias(f"_s{n}") for n in values])
+            before = f"OVER (PARTITION BY {', '.join(self.keys)} ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+            carry = summary.selectExpr(*self.group, *[f"sum(_s{n}) {before} AS _c{n}" for n in values])
+            whole = summary.groupBy(*self.keys).agg(*[F.sum(f"_s{n}").alias(f"_w{n}") for n in values])
+        added = [f"coalesce(sum(_v{n}) {upto}, 0) AS {n}" for n in values]
         if totals:
-            everything = Window.partitionBy(*self.group)
-            added |= {f"{n}_total": F.coalesce(F.sum(t).over(everything), F.lit(0)) for n, t in temp.items()}
-        self.rows = self.rows.withColumns(added)
+            added += [f"coalesce(sum(_v{n}) OVER (PARTITION BY {group}), 0) AS {n}_total" for n in values]
+        kept = [c for c in self.rows.columns if c not in {f"_v{n}" for n in values}]
+        self.rows = self.rows.selectExpr(*kept, *added)
         if carry is not None:
             self._attach(carry)
-            self.rows = self.rows.withColumns({n: F.col(n) + F.coalesce(f"_c{t}", F.lit(0)) for n, t in temp.items()})
+            full = [f"{n} + coalesce(_c{n}, 0) AS {n}" for n in values]
             if totals:
-                self.rows = self.rows.join(F.broadcast(whole), self.keys, "left").withColumns(
-                    {f"{n}_total": F.coalesce(f"_w{t}", f"{n}_total") for n, t in temp.items()}
-                )
-        self.rows = self.rows.drop(*[p + t for t in temp.values() for p in ("", "_c", "_w")])
+                self.rows = self.rows.join(F.broadcast(whole), self.keys, "left")
+                full += [f"coalesce(_w{n}, {n}_total) AS {n}_total" for n in values]
+            self.rows = self.rows.selectExpr(*kept, *full)
         return self
 
     def row_number(self, name: str) -> Timeline:

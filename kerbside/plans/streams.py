@@ -59,8 +59,8 @@ def metrics_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gps_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run.replay(
         spark, "interval-join", with_closer(position_log(spark, sf_dir)),
-        lambda log: joins.interval_join(gps_stream(log), limit_stream(log), "1 day", "left").where("deviceId <> 'closer'"),
-    )
+        lambda log: joins.interval_join(gps_stream(log), limit_stream(log), "1 day", "left"),
+    ).where("deviceId <> 'closer'")  # not inside the stream: the filter would be pushed below the watermark
     return rows.select(number("id"), "deviceId", "speed", F.col("placeId").cast("bigint").alias("place"), "SpeedLimit")
 
 
@@ -142,7 +142,7 @@ def stream_route_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the cache holds last: of the entries written per micro-batch, the newest of each key."""
     def writes(log: DataFrame) -> DataFrame:
         rows = topics.parse_messages(log.where(F.col("topic") == s.ROUTES_TOPIC), s.MESSAGES[s.ROUTES_TOPIC], keep=["offset"])
-        return stateful.cache_write_stream(topics.good(rows).select(
+        return stateful.cache_write_stream(topics.good(rows).withWatermark("event_time", "30 seconds").select(
             F.concat(F.lit("route:"), "placeId").alias("key"), F.col("SpeedLimit").cast("string").alias("value"), "event_time",
             F.col("offset").alias("id"),
         ))

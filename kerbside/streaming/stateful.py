@@ -132,27 +132,41 @@ class _Cache(StatefulProcessor):
         self.ttl = ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # the store drops entries by wall-clock time; what a reader may see is decided by expires_at
-        self.entry = handle.getValueState("entry", "at long, id long", ttlDurationMs=self.ttl // 1000)
+        self.handle = handle
+        self.entry = handle.getValueState("entry", "at long, id long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         newest = None
         for part in rows:
-            top = part.sort_values(["at_us", "id"]).iloc[[-1]]
-            if newest is None or (top["at_us"].iloc[0], top["id"].iloc[0]) > (newest["at_us"].iloc[0], newest["id"].iloc[0]):
-                newest = top
+            both = part if newest is None else pd.concat([newest, part])
+            newest = both.sort_values(["at_us", "id"]).iloc[[-1]]
         at = (int(newest["at_us"].iloc[0]), int(newest["id"].iloc[0]))
-        if self.entry.exists() and tuple(self.entry.get()) >= at:
+        held = self.entry.get() if self.entry.exists() else None
+        if held is not None and (held[0], held[1]) >= at:
             return
+        if held is not None:
+            self.handle.deleteTimer(self._end(held[0]))
         self.entry.update(at)
+        self.handle.registerTimer(self._end(at[0]))
         expires = pd.to_datetime([at[0] + self.ttl], unit="us", utc=True)
         yield newest.drop(columns="at_us").assign(expires_at=expires)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.entry.clear()
+        return iter([])
+
+    def _end(self, at: int) -> int:
+        return (at + self.ttl) // 1000
+
     def close(self) -> None:
         pass
 
 
 def cache_write_stream(writes: DataFrame, ttl: str = TIME_TO_LIVE) -> DataFrame:
-    """Cache entries as they change: at most one row per key and micro-batch, never an older over a newer one."""
+    """Cache entries as they change: at most one row per key and micro-batch, never an older over a newer one.
+
+    The time to live runs in event time: when the watermark (which ``writes`` must carry) passes an entry's end, a timer
+    drops it from the state. A replay therefore gives the same entries as the live run.
+    """
     columns = ["key", "value", "event_time", "id"]
-    return _keyed(writes, "key", _Cache(micros(ttl)), columns, "expires_at timestamp", "ProcessingTime")
+    return _keyed(writes, "key", _Cache(micros(ttl)), columns, "expires_at timestamp", "EventTime")
