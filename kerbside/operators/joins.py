@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions.rules import posted_limit_for
 from kerbside.operators.timeline import Timeline, micros, spread, union_all
+from kerbside.session import work_folder
 
 
 def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes", how: str = "left",
@@ -119,38 +120,42 @@ def _cells(frame: DataFrame, size: float, around: int) -> DataFrame:
         .withColumns({"_x": x + F.col("_dx"), "_y": y + F.col("_dy")}).drop("_dx", "_dy")
 
 
-def snap_to_road(places: DataFrame, roads: DataFrame, cell: float = 0.02, levels: int = 4, growth: int = 4,
+def snap_to_road(places: DataFrame, roads: DataFrame, cell: float = 0.02, growth: int = 4,
                  rows_per_slice: int | None = None) -> DataFrame:
     """Nearest road point of each distinct (latitude, longitude) in ``places``: ``placeId`` and ``distance_m``.
 
     Copies collapse first on both sides: equal places are looked up once, of road points at one spot the smallest
     ``placeId`` counts. Places look into the 3x3 grid cells around them; candidates are reduced to the nearest inside
-    the joining task, before any shuffle. A place whose nearest candidate is farther than the cells guarantee goes on to
-    cells ``growth`` times larger. After ``levels`` rounds the cells are as wide as a continent and what is left is
-    taken as it is, so a road beyond that stays unmatched.
+    the joining task, before any shuffle. A place whose nearest candidate is farther than those cells guarantee goes on
+    to cells ``growth`` times larger, until the cells span the globe, so the result is exact. Each round is written below
+    ``spark.checkpoint.dir``: the plan stays one round long, and mostly there are one or two.
     """
+    spark = places.sparkSession
+    folder = work_folder(spark, "snap")
     todo = places.select("latitude", "longitude").where("latitude IS NOT NULL AND longitude IS NOT NULL").distinct()
     spots = roads.groupBy("latitude", "longitude").agg(F.min("placeId").alias("placeId"))
-    done = []
-    size = cell
-    for level in range(levels):
+    done, size, number = [], cell, 0
+    while True:
+        whole = size >= 360.0
         near = _cells(todo, size, 1)
         grid = _cells(spots, size, 0).withColumnsRenamed({"latitude": "_rlat", "longitude": "_rlng"})
         left, right, keys = spread(near, grid, ["_x", "_y"], ["latitude", "longitude"], rows_per_slice)
-        pairs = left.join(right, keys)
         metres = haversine(F.col("latitude"), F.col("longitude"), F.col("_rlat"), F.col("_rlng"))
-        best = pairs.groupBy("latitude", "longitude").agg(
-            F.min(F.struct(metres.alias("distance_m"), "placeId", F.col("_rlat").alias("road_latitude"),
-                           F.col("_rlng").alias("road_longitude"))).alias("_best")
+        candidate = F.struct(metres.alias("distance_m"), "placeId", F.col("_rlat").alias("road_latitude"),
+                             F.col("_rlng").alias("road_longitude"))
+        best = left.join(right, keys, "left").groupBy("latitude", "longitude").agg(
+            F.min(F.when(F.col("placeId").isNotNull(), candidate)).alias("_best")
         )
-        if level == levels - 1:
-            done.append(best)
-            break
-        # anything outside the 3x3 block is at least one cell away in latitude or longitude
-        sure_north = F.lit(size * 111_194.9)
-        sure_east = sure_north * F.cos(F.radians(F.least(F.abs("latitude") + 2 * size, F.lit(90.0))))
-        settled = F.col("_best.distance_m") <= F.least(sure_north, sure_east) * 0.999
-        done.append(best.where(settled))
-        todo = todo.join(best.where(settled), ["latitude", "longitude"], "left_anti")
-        size *= growth
-    return union_all(done).select("latitude", "longitude", "_best.*")
+        # anything outside the 3x3 block is at least one cell away in latitude or longitude; near the date line the other
+        # side counts too, and only the last round sees it
+        north = F.lit(size * 111_194.9)
+        east = north * F.cos(F.radians(F.least(F.abs("latitude") + 2 * size, F.lit(90.0))))
+        settled = (F.col("_best.distance_m") <= F.least(north, east) * 0.999) & (F.abs("longitude") + 2 * size <= 180)
+        round_folder = f"{folder}/round-{number}"
+        best.withColumn("_settled", F.lit(True) if whole else F.coalesce(settled, F.lit(False))).write.parquet(round_folder)
+        found = spark.read.parquet(round_folder)
+        done.append(found.where("_settled AND _best IS NOT NULL"))
+        todo = found.where("NOT _settled").select("latitude", "longitude")
+        if whole or todo.isEmpty():
+            return union_all(done).select("latitude", "longitude", "_best.*")
+        size, number = size * growth, number + 1
