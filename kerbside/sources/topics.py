@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, StringType, StructField, StructType
 
 from kerbside.schemas import (
     ALERTS_TOPIC, COORDINATES, GPS_TOPIC, MESSAGES, POINT, SPELLINGS, WATERMARKS,
@@ -70,47 +70,49 @@ def _distinct_names(wire: StructType) -> StructType:
 def _spelled(name: str, wire: StructType, renamed: StructType) -> Column:
     names = SPELLINGS.get(name)
     if not names:
-        return F.col(f"m.{name}")
+        return F.col(name)
     read_as = dict(zip(wire.names, renamed.names))
-    return F.coalesce(*[F.nullif(F.col(f"m.{read_as[n]}"), F.lit("")) for n in names])
+    return F.coalesce(*[F.nullif(F.col(read_as[n]), F.lit("")) for n in names])
 
 
-def _coordinates() -> Column:
-    """Location text as ``[latitude, longitude]``, whichever shape was sent."""
-    point = F.from_json("m.location", POINT)
-    as_list = F.from_json("m.location", COORDINATES)
-    return F.when(F.ltrim("m.location").startswith("["), as_list).when(
-        point["latitude"].isNotNull(), F.array(point["latitude"], point["longitude"])
-    )
+def _location(kind: DataType) -> Column:
+    """Location text in the shape wanted; one parse when it was sent in that shape, else converted."""
+    text = F.col("location")
+    as_list, point = F.from_json(text, COORDINATES), F.from_json(text, POINT)
+    sent_as_list = F.ltrim(text).startswith("[")
+    if kind == COORDINATES:
+        return F.when(sent_as_list, as_list).when(point["latitude"].isNotNull(), F.array(point["latitude"], point["longitude"]))
+    converted = F.struct(F.get(as_list, F.lit(0)).alias("latitude"), F.get(as_list, F.lit(1)).alias("longitude"))
+    return F.when(sent_as_list, converted).otherwise(point)
 
 
 def parse_messages(envelope: DataFrame, fields: StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed columns from the JSON value, plus ``event_time`` and, for text that is no such JSON, ``_corrupt``."""
+    """Typed columns from the JSON value, plus ``event_time`` and, for text that is no such JSON, ``_corrupt``.
+
+    The parsed struct goes through ``inline``: as a plain column, every filter on a field would be pushed down with its own
+    copy of ``from_json``, and each message would be parsed once per filter.
+    """
     options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
     wire = _wire_schema(fields)
     renamed = _distinct_names(wire)
+    text = F.col("value").cast("string")
     parsed = envelope.select(
-        *keep,
-        F.col("value").cast("string").alias("_text"),
-        F.from_json(F.col("value").cast("string"), wire, options).cast(renamed).alias("m"),
+        *[F.col(c).alias(f"_kept_{c}") for c in keep], F.inline(F.array(F.from_json(text, wire, options).cast(renamed)))
     )
     columns = []
     for field in fields.fields:
         if field.name == "location":
-            pair = _coordinates()
-            as_point = F.when(
-                pair.isNotNull(), F.struct(F.get(pair, F.lit(0)).alias("latitude"), F.get(pair, F.lit(1)).alias("longitude"))
-            )
-            columns.append((pair if field.dataType == COORDINATES else as_point).alias("location"))
+            columns.append(_location(field.dataType).alias("location"))
         else:
             columns.append(_spelled(field.name, wire, renamed).alias(field.name))
     names = {f.name for f in fields.fields}
     if "timestamp" in names:
-        event_time = F.try_to_timestamp(F.col("m.timestamp"))
+        event_time = F.try_to_timestamp(F.col("timestamp"))
     else:
-        event_time = F.timestamp_millis("m.ts") if "ts" in names else F.lit(None).cast("timestamp")
-    corrupt = F.when(F.col(f"m.{CORRUPT}").isNotNull(), F.col("_text"))
-    return parsed.select(*keep, *columns, event_time.alias("event_time"), corrupt.alias(CORRUPT))
+        event_time = F.timestamp_millis("ts") if "ts" in names else F.lit(None).cast("timestamp")
+    return parsed.select(
+        *[F.col(f"_kept_{c}").alias(c) for c in keep], *columns, event_time.alias("event_time"), F.col(CORRUPT)
+    )
 
 
 def good(parsed: DataFrame, need_device: bool = True) -> DataFrame:

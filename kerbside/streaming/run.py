@@ -20,10 +20,11 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
     """Settings a stateful query keeps for life, in force while it is started.
 
     The number of state partitions is fixed by the first checkpoint, so choose it for the final size (a few times the
-    core count); RocksDB keeps state outside the heap and is what keyed state with a time to live needs.
+    core count). RocksDB keeps state outside the heap, and changelog checkpoints write only what a batch changed.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
     }
     before = {name: spark.conf.get(name, None) for name in wanted}

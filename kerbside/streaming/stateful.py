@@ -2,171 +2,122 @@
 
 A key's rows of one micro-batch are put in (time, id) order before they meet the state; rows that arrive a whole
 micro-batch late are taken in arrival order. What one call holds is one key's share of one micro-batch, so the source's
-rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds it also for a very busy device.
+rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds it also for a very busy device. State travels with
+the rows in Arrow batches, many keys to a batch, so a key costs no round trip of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from kerbside.operators.cache import TIME_TO_LIVE
 from kerbside.operators.timeline import micros
 from kerbside.operators.windows import LOOK_BACK, SIMILAR_WITHIN, emit_flags
 
+Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
+
 
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at_us", "id"], ignore_index=True)
+    parts = list(rows)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return batch.iloc[np.lexsort((batch["id"].to_numpy(), batch["at_us"].to_numpy()))]
 
 
-def _keyed(rows: DataFrame, key: str, processor: StatefulProcessor, columns: list[str], added: str,
-           time_mode: str = "None") -> DataFrame:
+def _keyed(rows: DataFrame, key: str, step: Step, columns: list[str], added: str, state: str,
+           timeout: str = GroupStateTimeout.NoTimeout) -> DataFrame:
     sent = rows.select(*columns, F.unix_micros("event_time").alias("at_us"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields if f.name != "at_us")
-    return sent.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=f"{kinds}, {added}" if added else kinds,
-        outputMode="Append", timeMode=time_mode,
-    )
-
-
-class _Throttle(StatefulProcessor):
-    def __init__(self, gap: int):
-        self.gap = gap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_emission", "at long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
-        before = self.last.get()[0] if self.last.exists() else None
-        flags, last = emit_flags(batch["at_us"].to_numpy(), self.gap, before)
-        if last is not None:
-            self.last.update((last,))
-        yield batch.drop(columns="at_us").assign(emitted=flags)
-
-    def close(self) -> None:
-        pass
+    return sent.groupBy(key).applyInPandasWithState(step, f"{kinds}, {added}", state, "append", timeout)
 
 
 def throttle_stream(rows: DataFrame, gap: str = "2 seconds") -> DataFrame:
     """Stream twin of ``throttle``: needs ``id``, ``deviceId``, ``event_time``."""
-    return _keyed(rows, "deviceId", _Throttle(micros(gap)), ["id", "deviceId", "event_time"], "emitted boolean")
-
-
-class _Dedupe(StatefulProcessor):
-    def __init__(self, within: float, look_back: int):
-        self.within = within
-        self.look_back = look_back
+    gap_us = micros(gap)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent_alerts", "action string, target_speed double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
-        known = pd.DataFrame(list(self.recent.get()) if self.recent.exists() else [], columns=["action", "target_speed"])
-        line = pd.concat([known.astype({"target_speed": "float64"}), batch[["action", "target_speed"]]], ignore_index=True)
-        similar = pd.Series(False, index=line.index)
-        for back in range(1, self.look_back + 1):
-            before = line.shift(back)
-            similar |= (before["action"] == line["action"]) & (
-                (before["target_speed"] - line["target_speed"]).abs() < self.within
-            )
-        self.recent.put([(a, float(t)) for a, t in line.tail(self.look_back).itertuples(index=False)])
-        yield batch.drop(columns="at_us").assign(suppressed=similar.iloc[len(known):].to_numpy())
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = _in_order(parts)
+        flags, last = emit_flags(batch["at_us"].to_numpy(), gap_us, state.get[0] if state.exists else None)
+        state.update((last,))
+        yield batch.drop(columns="at_us").assign(emitted=flags)
 
-    def close(self) -> None:
-        pass
+    return _keyed(rows, "deviceId", step, ["id", "deviceId", "event_time"], "emitted boolean", "last_emission long")
 
 
 def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: int = LOOK_BACK) -> DataFrame:
     """Stream twin of ``alert_dedupe``; alerts need an ``id``."""
-    columns = ["id", "deviceId", "event_time", "action", "target_speed"]
-    return _keyed(alerts, "deviceId", _Dedupe(within, look_back), columns, "suppressed boolean")
-
-
-class _CountWindow(StatefulProcessor):
-    def __init__(self, size: int):
-        self.size = size
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getListState("open_window", "id long, at long, latitude double, longitude double")
-        self.number = handle.getValueState("next_window", "number long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
-        fixes = list(self.open.get()) if self.open.exists() else []
-        fixes += [(int(i), int(t), float(p[0]), float(p[1])) for i, t, p in zip(batch["id"], batch["at_us"], batch["location"])]
-        number = self.number.get()[0] if self.number.exists() else 0
-        full = len(fixes) // self.size
-        windows = [fixes[i * self.size:(i + 1) * self.size] for i in range(full)]
-        rest = fixes[full * self.size:]
-        self.open.put(rest) if rest else self.open.clear()
-        self.number.update((number + full,))
-        if windows:
-            yield pd.DataFrame({
-                "id": [w[-1][0] for w in windows], "deviceId": key[0],
-                "event_time": pd.to_datetime([w[-1][1] for w in windows], unit="us", utc=True),
-                "location": [[w[-1][2], w[-1][3]] for w in windows],
-                "window_no": range(number, number + full),
-                "fix_ids": [[f[0] for f in w] for w in windows],
-                "path": [[[f[2], f[3]] for f in w] for w in windows],
-            })
 
-    def close(self) -> None:
-        pass
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = _in_order(parts)
+        known_actions, known_targets = state.get if state.exists else ([], [])
+        actions = np.array([*known_actions, *batch["action"]], dtype=object)
+        targets = np.array([*known_targets, *batch["target_speed"]], dtype="float64")
+        similar = np.zeros(len(actions), dtype=bool)
+        for back in range(1, min(look_back, len(actions) - 1) + 1):
+            similar[back:] |= (actions[back:] == actions[:-back]) & (np.abs(targets[back:] - targets[:-back]) < within)
+        state.update((actions[-look_back:].tolist(), targets[-look_back:].tolist()))
+        yield batch.drop(columns="at_us").assign(suppressed=similar[len(known_actions):])
+
+    columns = ["id", "deviceId", "event_time", "action", "target_speed"]
+    return _keyed(alerts, "deviceId", step, columns, "suppressed boolean", "actions array<string>, targets array<double>")
 
 
 def count_windows_stream(gps: DataFrame, size: int = 3) -> DataFrame:
     """Stream twin of ``count_windows`` per device; fixes need a whole-number ``id``. A window that is not full yet waits
     in the state, across restarts too."""
-    columns = ["id", "deviceId", "event_time", "location"]
-    added = "window_no long, fix_ids array<bigint>, path array<array<double>>"
-    return _keyed(gps, "deviceId", _CountWindow(size), columns, added)
-
-
-class _Cache(StatefulProcessor):
-    def __init__(self, ttl: int):
-        self.ttl = ttl
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.entry = handle.getValueState("entry", "at long, id long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        newest = None
-        for part in rows:
-            both = part if newest is None else pd.concat([newest, part])
-            newest = both.sort_values(["at_us", "id"]).iloc[[-1]]
-        at = (int(newest["at_us"].iloc[0]), int(newest["id"].iloc[0]))
-        held = self.entry.get() if self.entry.exists() else None
-        if held is not None and (held[0], held[1]) >= at:
-            return
-        if held is not None:
-            self.handle.deleteTimer(self._end(held[0]))
-        self.entry.update(at)
-        self.handle.registerTimer(self._end(at[0]))
-        expires = pd.to_datetime([at[0] + self.ttl], unit="us", utc=True)
-        yield newest.drop(columns="at_us").assign(expires_at=expires)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.entry.clear()
-        return iter([])
-
-    def _end(self, at: int) -> int:
-        return (at + self.ttl) // 1000
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = _in_order(parts)
+        number, open_ids, open_places, open_times = state.get if state.exists else (0, [], [], [])
+        ids = [*open_ids, *map(int, batch["id"])]
+        places = [*map(list, open_places), *([float(p[0]), float(p[1])] for p in batch["location"])]
+        times = [*open_times, *map(int, batch["at_us"])]
+        full = len(ids) // size
+        ends = range(size, full * size + 1, size)
+        rest = full * size
+        state.update((number + full, ids[rest:], places[rest:], times[rest:]))
+        if full:
+            yield pd.DataFrame({
+                "id": [ids[e - 1] for e in ends], "deviceId": key[0],
+                "event_time": pd.to_datetime([times[e - 1] for e in ends], unit="us", utc=True),
+                "location": [places[e - 1] for e in ends],
+                "window_no": range(number, number + full),
+                "fix_ids": [ids[e - size:e] for e in ends],
+                "path": [places[e - size:e] for e in ends],
+            })
 
-    def close(self) -> None:
-        pass
+    columns = ["id", "deviceId", "event_time", "location"]
+    added = "window_no long, fix_ids array<bigint>, path array<array<double>>"
+    held = "next_window long, ids array<bigint>, places array<array<double>>, times array<bigint>"
+    return _keyed(gps, "deviceId", step, columns, added, held)
 
 
 def cache_write_stream(writes: DataFrame, ttl: str = TIME_TO_LIVE) -> DataFrame:
     """Cache entries as they change: at most one row per key and micro-batch, never an older over a newer one.
 
-    The time to live runs in event time: when the watermark (which ``writes`` must carry) passes an entry's end, a timer
-    drops it from the state. A replay therefore gives the same entries as the live run.
+    The time to live runs in event time: when the watermark (which ``writes`` must carry) passes an entry's end, the entry
+    leaves the state. A replay therefore gives the same entries as the live run.
     """
+    ttl_us = micros(ttl)
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        newest = _in_order(parts).iloc[[-1]]
+        at = (int(newest["at_us"].iloc[0]), int(newest["id"].iloc[0]))
+        held = tuple(state.get) if state.exists else None
+        kept = held if held is not None and held >= at else at
+        state.update(kept)
+        end = kept[0] + ttl_us
+        # a call without this would lose the timeout set before
+        state.setTimeoutTimestamp(max(end // 1000, state.getCurrentWatermarkMs() + 1))
+        if kept is not held:
+            yield newest.drop(columns="at_us").assign(expires_at=pd.to_datetime([end], unit="us", utc=True))
+
     columns = ["key", "value", "event_time", "id"]
-    return _keyed(writes, "key", _Cache(micros(ttl)), columns, "expires_at timestamp", "EventTime")
+    return _keyed(writes, "key", step, columns, "expires_at timestamp", "at long, id long", GroupStateTimeout.EventTimeTimeout)
