@@ -52,8 +52,12 @@ def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], toler
         # exact: microseconds of this era fit the 53 bits of a double
         return rows.withColumn("_block", F.floor(F.col("_t") / width))
 
+    def spreading(rows: DataFrame) -> Column:
+        # lets rows of one instant be split over slices; their order does not matter
+        return (F.xxhash64("id") if "id" in rows.columns else F.lit(0).cast("bigint")).alias("_tie")
+
     posted = blocked(limits.select(F.col("deviceId").alias("_device"), time.alias("_t"), F.lit(1).alias("_side"),
-                                   F.col("SpeedLimit").alias("_limit")))
+                                   F.col("SpeedLimit").alias("_limit"), spreading(limits)))
     # order at one instant: start of a range (excludes the instant), limits, end of a range (includes it);
     # a fix that does not exceed the smallest limit is in no pair, that filter reaches the scan
     ends = F.array(F.struct((time - reach).alias("t"), F.lit(0).alias("side")),
@@ -61,10 +65,10 @@ def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], toler
     probes = blocked(
         gps.where(F.col("speed") > min(values))
         .select(F.col("deviceId").alias("_device"), F.col("speed").alias("_speed"), F.struct(*keep).alias("_fix"),
-                F.inline(ends).alias("_t", "_side"))
+                spreading(gps), F.inline(ends).alias("_t", "_side"))
     )
     rows = posted.unionByName(probes, allowMissingColumns=True)
-    line = Timeline(rows, ["_device", "_block"], F.col("_t"), ["_side"], rows_per_slice)
+    line = Timeline(rows, ["_device", "_block"], F.col("_t"), ["_side", "_tie"], rows_per_slice)
     counters = {f"_n{i}": f"CAST(_limit = {float(v)!r}D AS BIGINT)" for i, v in enumerate(values)}
     counted = line.running(totals=True, **counters).done().where("_side <> 1")
 

@@ -1,9 +1,8 @@
 """Per-key time-ordered computation that does not put a whole key into one task.
 
 A window function ``PARTITION BY device ORDER BY time`` sorts all rows of a device in one task. Here a key with
-more rows than ``rows_per_slice`` is cut into time slices first (split points are approximate quantiles of its event
-times), windows run per (key, slice), and what a slice needs from earlier slices is carried over in a summary of a few
-values per slice. Keys below the bound keep the plain window: one shuffle and nothing else.
+more rows than ``rows_per_slice`` is cut into time slices first (split points come from a sample of its rows), windows
+run per (key, slice), and what a slice needs from earlier slices is carried over in a summary of a few values per slice. Keys below the bound keep the plain window: one shuffle and nothing else.
 
 Splitting needs statistics, so building a ``Timeline`` runs one count per key over the key column alone. At most
 ``rows / rows_per_slice`` keys can be above the bound, and each gets at most ``MAX_SLICES`` slices: that is the size
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_SLICE = 8_000_000
 MAX_SLICES = 2_048
+SAMPLE = 20
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], bound: int) -> list:
@@ -27,37 +27,41 @@ def hot_keys(df: DataFrame, keys: Sequence[str], bound: int) -> list:
     return counts.where(F.col("_rows") > bound).collect()
 
 
-def split_points(df: DataFrame, keys: Sequence[str], at: str, bound: int) -> DataFrame | None:
-    """Sorted inner split points of ``at`` for every hot key, or None when no key is hot."""
+def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], bound: int) -> DataFrame | None:
+    """Sorted inner split points (structs of the order columns) for every hot key, or None when no key is hot.
+
+    They come from a sample of the hot keys' rows, ``SAMPLE`` per slice, so bursts and many rows at one instant are split
+    as well as an even flow; only rows equal in all order columns stay together.
+    """
     hot = hot_keys(df, keys, bound)
     if not hot:
         return None
     spark = df.sparkSession
-    key_schema = df.select(*keys).schema
-    wanted = {tuple(r[k] for k in keys): min(MAX_SLICES, -(-r["_rows"] // bound)) for r in hot}
-    slices = max(wanted.values())
     hot_df = spark.createDataFrame(
-        [(*k, n) for k, n in wanted.items()], schema=key_schema.simpleString()[7:-1] + ",_slices int"
+        [(*[r[k] for k in keys], min(MAX_SLICES, -(-r["_rows"] // bound)), r["_rows"]) for r in hot],
+        schema=df.select(*keys).schema.simpleString()[7:-1] + ",_slices int,_rows long",
+    )
+    sampled = df.select(*keys, F.struct(*order).alias("_place")).join(F.broadcast(hot_df), list(keys)).where(
+        F.rand(7) < F.lit(float(SAMPLE)) * F.col("_slices") / F.col("_rows")
     )
-    quantiles = F.percentile_approx(at, [i / slices for i in range(1, slices)] or [0.5], 4 * slices)
+    step = F.greatest(F.lit(1), F.floor(F.size("_sample") / F.col("_slices"))).cast("int")
     points = (
-        df.join(F.broadcast(hot_df), list(keys))
-        .groupBy(*keys, "_slices")
-        .agg(quantiles.alias("_points"))
-        # keys that need fewer slices keep every n-th point
-        .withColumn("_step", F.greatest(F.lit(1), F.floor(F.lit(slices) / F.col("_slices"))).cast("int"))
-        .select(*keys, F.array_distinct(F.filter("_points", lambda x, i: (i + 1) % F.col("_step") == 0)).alias("_points"))
+        sampled.groupBy(*keys, "_slices")
+        .agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
+        .withColumn("_step", step)
+        .select(*keys, F.array_distinct(F.filter("_sample", lambda x, i: (i + 1) % F.col("_step") == 0)).alias("_points"))
+        .select(*keys, F.slice("_points", 1, 2 * MAX_SLICES).alias("_points"))
     )
     return spark.createDataFrame(points.collect(), schema=points.schema)
 
 
-def _slice_of(at: Column) -> Column:
-    """How many split points are at or before ``at``: a binary search as a fold over powers of two."""
+def _slice_of(place: Column) -> Column:
+    """How many split points are at or before ``place``: a binary search as a fold over powers of two."""
     bits = F.array(*[F.lit(1 << b) for b in range(MAX_SLICES.bit_length(), -1, -1)])
 
     def step(pos, bit):
         nxt = pos + bit
-        inside = (nxt <= F.size("_points")) & (F.get(F.col("_points"), nxt - 1) <= at)
+        inside = (nxt <= F.size("_points")) & (F.get(F.col("_points"), nxt - 1) <= place)
         return F.when(inside, nxt).otherwise(pos)
 
     return F.when(F.col("_points").isNull(), F.lit(0)).otherwise(F.aggregate(bits, F.lit(0), step))
@@ -75,12 +79,12 @@ class Timeline:
         self.keys = list(keys)
         self.ties = list(ties)
         rows = df.withColumn("_at", at)
-        points = split_points(rows, self.keys, "_at", rows_per_slice or ROWS_PER_SLICE)
+        points = split_points(rows, self.keys, self.order, rows_per_slice or ROWS_PER_SLICE)
         self.sliced = points is not None
         if self.sliced:
             rows = (
                 rows.join(F.broadcast(points), self.keys, "left")
-                .withColumn("_slice", _slice_of(F.col("_at")))
+                .withColumn("_slice", _slice_of(F.struct(*self.order)))
                 .withColumn("_hot", F.col("_points").isNotNull())
                 .drop("_points")
             )

@@ -49,17 +49,25 @@ def test_hot_device_is_cut_into_bounded_slices(spark):
     made = line(frame(spark, data), SLICE)
     assert made.sliced
     sizes = made.rows.where("deviceId = 'hot'").groupBy("_slice").count().collect()
-    assert len(sizes) > 10 and max(r["count"] for r in sizes) <= 3 * SLICE
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) <= 4 * SLICE
     assert not line(frame(spark, data), None).sliced
 
 
 def test_split_points_are_sorted_and_only_for_hot_keys(spark):
     df = frame(spark, rows(2)).withColumn("at", F.unix_micros("event_time"))
     hot = {r["deviceId"] for r in hot_keys(df, ["deviceId"], 30)}
-    points = {r["deviceId"]: r["_points"] for r in split_points(df, ["deviceId"], "at", 30).collect()}
+    points = {r["deviceId"]: r["_points"] for r in split_points(df, ["deviceId"], ["at", "id"], 30).collect()}
     assert set(points) == hot and all(p == sorted(p) for p in points.values())
 
 
+def test_rows_of_one_instant_are_split_too(spark):
+    """A third of all rows at the same instant of the same device."""
+    data = rows(3) + [(1000 + i, "hot", START, 50.0 + i, "a") for i in range(120)]
+    made = line(frame(spark, data), SLICE)
+    assert max(r["count"] for r in made.rows.groupBy("deviceId", "_slice").count().where("deviceId = 'hot'").collect()) <= 4 * SLICE
+    both(spark, data, lambda d, b: line(d, b).previous("before", F.col("speed"), 4).row_number("n").done(), "before", "n")
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_last_known(spark, seed):
     both(spark, rows(seed), lambda d, b: line(d, b).last_known(seen=F.col("tag"), fast=F.when(F.col("speed") > 100, F.col("speed"))).done(),

@@ -46,10 +46,10 @@ FIRST = ([(i, 85) for i in range(6)], [(2, 60), (5, 90), (3, 50)])
 
 def test_pairs_are_counted_and_the_window_closes_late(spark):
     """Six fixes against four limits in reach are 24 events; the one-minute window waits for its end plus five minutes."""
-    offsets = [70, 200, 345]
-    stages = [stage(spark, *FIRST), *[stage(spark, [(o, 50)], [(o, 60)]) for o in offsets]]
+    early = [(o, 50) for o in (70, 200, 345)], [(o, 60) for o in (70, 200, 345)]
+    stages = [stage(spark, *FIRST), stage(spark, *early)]
     assert run.replay(spark, "open", stages, metrics_stream, partitions=1).count() == 0
-    stages.append(stage(spark, [(380, 50)], [(380, 60)]))  # watermark 12:06:10, past 12:01:00 plus five minutes
+    stages[1] = stages[1].unionByName(stage(spark, [(380, 50)], [(380, 60)]))  # watermark 12:06:10, past 12:01 plus five minutes
     [row] = run.replay(spark, "closed", stages, metrics_stream, partitions=1).collect()
     assert row["period"] == "2024-01-01T12:00:00/2024-01-01T12:01:00"
     assert (row["avg_speed_over_limit"], row["overspeed_events"], row["max_speed_over_limit"]) == (27.5, 24, 35.0)
