@@ -12,10 +12,12 @@ from kerbside.session import work_folder
 
 
 def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes", how: str = "left",
-                  rows_per_slice: int | None = None) -> DataFrame:
+                  rows_per_slice: int | None = None, salts: int = 1) -> DataFrame:
     """Every (fix, speed limit) pair of one device at most ``tolerance`` apart; ``left`` keeps unmatched fixes.
 
-    Works on two batch frames or two streams. A stream join is Spark's own symmetric join. In batch the time axis is
+    Works on two batch frames or two streams. A stream join is Spark's own symmetric join; a stream cannot be counted
+    beforehand, so ``salts`` says over how many tasks one device's fixes are spread (its limits, which are fewer, are copied
+    to each). Choose it before the first checkpoint. In batch the time axis is
     cut into buckets twice the tolerance wide and the bucket joins the key, so a device is spread over as many tasks as
     it has buckets; a bucket above the row bound is salted as well. Each limit is copied to the two buckets it can reach
     (three if it hits an edge), each fix stays in its one bucket.
@@ -25,7 +27,12 @@ def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes
     if gps.isStreaming:
         away = F.expr(f"INTERVAL {tolerance}")
         near = F.col("event_time").between(F.col("event_time_speed") - away, F.col("event_time_speed") + away)
-        return gps.join(limits, (F.col("deviceId") == F.col("deviceId_sl")) & near, how)
+        same = F.col("deviceId") == F.col("deviceId_sl")
+        if salts == 1:
+            return gps.join(limits, same & near, how)
+        fixes = gps.withColumn("_salt", F.pmod(F.xxhash64(*_spread_columns(gps), "event_time"), F.lit(salts)).cast("int"))
+        copies = limits.withColumn("_salt_sl", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return fixes.join(copies, same & (F.col("_salt") == F.col("_salt_sl")) & near, how).drop("_salt", "_salt_sl")
 
     reach = micros(tolerance)
     width = 2 * reach

@@ -21,6 +21,11 @@ def distinct_limits(limits: DataFrame) -> list[float] | None:
     return sorted(r["SpeedLimit"] for r in found) if len(found) <= MAX_COUNTERS else None
 
 
+def usable(gps: DataFrame) -> DataFrame:
+    """Fixes that can take part in a pair."""
+    return gps.where("deviceId IS NOT NULL AND event_time IS NOT NULL AND speed IS NOT NULL")
+
+
 def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], tolerance: str = "5 minutes",
                      flag: str | None = None, rows_per_slice: int | None = None) -> DataFrame:
     """Count, sum and maximum of speed over limit, over all (fix, limit) pairs of a device at most ``tolerance`` apart.
@@ -34,7 +39,7 @@ def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], toler
     limit present. That is one shuffle by (device, block) of two rows per fix and one per limit, and work that grows with
     the rows, however many limits a fix is near to. With more distinct limits than counters, the pairs are joined.
     """
-    gps = gps.where("deviceId IS NOT NULL AND event_time IS NOT NULL AND speed IS NOT NULL")
+    gps = usable(gps)
     limits = limits.where("deviceId IS NOT NULL AND event_time IS NOT NULL AND SpeedLimit IS NOT NULL")
     values = distinct_limits(limits)
     if values is None:
@@ -143,11 +148,15 @@ def overspeed_metrics(gps: DataFrame, limits: DataFrame, tolerance: str = "5 min
 
 
 def overspeed_metrics_stream(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes",
-                             window: str = "1 minute") -> DataFrame:
-    """The same on two streams: Spark's stream-stream join, then the windowed aggregate (append once closed)."""
+                             window: str = "1 minute", salts: int = 1) -> DataFrame:
+    """The same on two streams: Spark's stream-stream join, then the windowed aggregate (append once closed).
+
+    ``salts`` spreads the join of a very busy device; the aggregate combines before its shuffle anyway.
+    """
     over = F.col("speed") - F.col("SpeedLimit")
+    fixes = gps.select("deviceId", "speed", "event_time", *[c for c in gps.columns if c == "id"])
     return (
-        interval_join(gps.select("deviceId", "speed", "event_time"), limits, tolerance, "left")
+        interval_join(fixes, limits, tolerance, "left", salts=salts)
         .where(F.col("speed") > F.col("SpeedLimit"))
         .groupBy(F.window("event_time", window).alias("w"), "deviceId")
         .agg(F.sum(over).alias("total_speed_over_limit"), F.count(F.lit(1)).alias("overspeed_events"),
@@ -197,7 +206,8 @@ def with_trip(gps: DataFrame, gap: str, rows_per_slice: int | None = None) -> Da
 def trip_summary(gps: DataFrame, limits: DataFrame, gap: str = "30 minutes", tolerance: str = "5 minutes",
                  rows_per_slice: int | None = None) -> DataFrame:
     """Per device and trip: fixes, average and top speed, duration, overspeed pairs."""
-    fixes = with_trip(gps, gap, rows_per_slice)
+    # the same filter as in the pair count, so that both uses of the trips are one shuffle
+    fixes = with_trip(usable(gps), gap, rows_per_slice)
     by = ["deviceId", "trip_start"]
     trips = fixes.groupBy(*by).agg(
         F.count(F.lit(1)).alias("fixes"), F.avg("speed").alias("avg_speed"), F.max("speed").alias("max_speed"),
@@ -231,12 +241,18 @@ def with_weather(gps: DataFrame, weather: DataFrame, max_age: str | None = None,
     return rows.withColumn("risky_weather", rules.is_risky_weather(F.col("weatherCondition")))
 
 
+def _totals_with_weather(gps: DataFrame, weather: DataFrame, limits: DataFrame, tolerance: str, window: str,
+                         rows_per_slice: int | None) -> DataFrame:
+    fixes = in_window(with_weather(gps, weather, None, rows_per_slice), window)
+    totals = overspeed_totals(fixes, limits, ["deviceId", "w"], tolerance, "risky_weather", rows_per_slice)
+    return totals.withColumnRenamed("flagged_events", "risky_weather_overspeed")
+
+
 def metrics_with_weather(gps: DataFrame, weather: DataFrame, limits: DataFrame, tolerance: str = "5 minutes",
                          window: str = "1 minute", rows_per_slice: int | None = None) -> DataFrame:
     """Overspeed metrics plus ``risky_weather_overspeed``: the pairs whose fix was in risky weather."""
-    fixes = in_window(with_weather(gps, weather, None, rows_per_slice), window)
-    totals = overspeed_totals(fixes, limits, ["deviceId", "w"], tolerance, "risky_weather", rows_per_slice)
-    return metric_columns(totals.withColumnRenamed("flagged_events", "risky_weather_overspeed"), "risky_weather_overspeed")
+    totals = _totals_with_weather(gps, weather, limits, tolerance, window, rows_per_slice)
+    return metric_columns(totals, "risky_weather_overspeed")
 
 
 def ignored_alerts(alerts: DataFrame, gps: DataFrame, horizon: str = "30 seconds",
@@ -252,15 +268,12 @@ def driver_scorecard(gps: DataFrame, limits: DataFrame, weather: DataFrame, aler
                      tolerance: str = "5 minutes", window: str = "1 minute", horizon: str = "30 seconds",
                      rows_per_slice: int | None = None) -> DataFrame:
     """Metrics, risky-weather pairs and ignored alerts per device and period, rated and classed."""
-    metrics = metrics_with_weather(gps, weather, limits, tolerance, window, rows_per_slice)
-    ignored = (
-        in_window(ignored_alerts(alerts, gps, horizon, rows_per_slice), window)
-        .groupBy("deviceId", "w").agg(F.count(F.lit(1)).alias("ignored_alerts"))
-        .select("deviceId", period_label(F.col("w.start"), F.col("w.end")).alias("period"), "ignored_alerts")
-    )
-    rows = metrics.join(ignored, ["deviceId", "period"], "left").withColumn(
-        "ignored_alerts", F.coalesce("ignored_alerts", F.lit(0))
-    )
+    by = ["deviceId", "w"]  # both sides come out of an aggregate on these, so the join needs no further shuffle
+    totals = _totals_with_weather(gps, weather, limits, tolerance, window, rows_per_slice)
+    missed = in_window(ignored_alerts(alerts, gps, horizon, rows_per_slice), window)
+    ignored = missed.groupBy(*by).agg(F.count(F.lit(1)).alias("ignored_alerts"))
+    joined = totals.join(ignored, by, "left").withColumn("ignored_alerts", F.coalesce("ignored_alerts", F.lit(0)))
+    rows = metric_columns(joined, "risky_weather_overspeed", "ignored_alerts")
     return rate(rows)
 
 

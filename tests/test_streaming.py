@@ -67,6 +67,16 @@ def test_batch_gives_the_same_numbers(spark):
     assert (row["avg_speed_over_limit"], row["overspeed_events"], row["max_speed_over_limit"]) == (27.5, 24, 35.0)
 
 
+def test_salted_stream_join_gives_the_same(spark):
+    def salted(log):
+        fixes, posted = topics.topic_stream(log, s.GPS_TOPIC), topics.speed_limit_stream(log, s.ROUTES_TOPIC)
+        return interval_join(fixes, posted, salts=3)
+
+    stages = [stage(spark, *FIRST), stage(spark, [(2000, 1)], [(2000, 60)])]
+    got = run.replay(spark, "salted", stages, salted, partitions=2).where("speed > 1").collect()
+    assert len(got) == 18 and {r["SpeedLimit"] for r in got} == {60.0, 90.0, 50.0}
+
+
 def test_either_spelling_of_the_device_advances_time(spark):
     stages = [stage(spark, [(i, 85) for i in range(6)], [(2, 60)])]
     stages.append(gps(spark, (2000, 50)).unionByName(limits(spark, (2000, 60), field="deviceId")))
