@@ -13,11 +13,15 @@ from kerbside.operators.windows import count_windows
 def snapped_routes(gps: DataFrame, roads: DataFrame, size: int = 3, per_device: bool = True,
                    rows_per_slice: int | None = None) -> DataFrame:
     """Every ``size`` fixes: the road point nearest to the first, with device, time and place of the last."""
-    windows = count_windows(gps, size, per_device, rows_per_slice)
+    return snap_windows(count_windows(gps, size, per_device, rows_per_slice), roads, rows_per_slice)
+
+
+def snap_windows(windows: DataFrame, roads: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
+    """The road point nearest to the first place of each window; a window without one gives no row."""
     first = F.get("path", F.lit(0))
     points = windows.withColumns({"latitude": F.get(first, F.lit(0)), "longitude": F.get(first, F.lit(1))})
     nearest = snap_to_road(points, roads, rows_per_slice=rows_per_slice)
-    # distinct places: a hot place is salted; no road point near, no row
+    # distinct places: a hot place is salted
     found = lookup(points, nearest, ["latitude", "longitude"], ["id"], rows_per_slice).where("placeId IS NOT NULL")
     return found.select("id", "deviceId", "event_time", "location", "placeId", "road_latitude", "road_longitude")
 

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.operators.timeline import Timeline, union_all
 
-#: Fields the advice needs, by the topics they come from.
-STATE_FIELDS = [
-    "make", "model", "year", "auto_braking_supported", "abs_supported", "traction_control_supported",
-    "speed", "SpeedLimit", "weatherCondition", "type", "status",
-]
+#: Fields the advice needs.
+STATE_TYPES = {
+    "make": "string", "model": "string", "year": "int", "auto_braking_supported": "boolean", "abs_supported": "boolean",
+    "traction_control_supported": "boolean", "speed": "double", "SpeedLimit": "double", "weatherCondition": "string",
+    "type": "string", "status": "string",
+}
+STATE_FIELDS = list(STATE_TYPES)
 
 
 def tagged(topic: str, rows: DataFrame, fields: Sequence[str]) -> DataFrame:

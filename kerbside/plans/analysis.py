@@ -253,15 +253,18 @@ def advice_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states(spark, sf_dir).select("id", "topic", prompt.alias("prompt"))
 
 
-@query("rule_advice", using("advised", """, x AS (SELECT *, coalesce(speed, 0) AS sp, coalesce(lim, 90) AS li,
+ADVICE_SQL = """, x AS (SELECT *, coalesce(speed, 0) AS sp, coalesce(lim, 90) AS li,
       regexp_matches(lower(coalesce(label, 'Clear sky')), 'fog|rain|drizzle|snow|ice|thunder|hail') OR road <> 'Normal' OR incident AS risky,
       coalesce(label, 'Clear sky') IN ('Clear sky', 'Mainly clear') AND road = 'Normal' AND coalesce(auto_braking AND abs_system AND traction, false) AS fine
-      FROM advised),
+      FROM {source}),
     y AS (SELECT *, sp >= li - 5 AS near_limit, sp <= li - 20 AND fine AS faster FROM x)
-    SELECT id, topic, CASE WHEN risky OR near_limit THEN 'slow_down' WHEN faster THEN 'speed_up' ELSE 'maintain_speed' END AS action,
+    SELECT {columns}, CASE WHEN risky OR near_limit THEN 'slow_down' WHEN faster THEN 'speed_up' ELSE 'maintain_speed' END AS action,
       CASE WHEN risky OR near_limit THEN least(li - 10, sp) WHEN faster THEN least(sp + 10, li - 5) ELSE sp END AS target_speed,
       CASE WHEN risky THEN 'risky conditions' WHEN near_limit THEN 'close to the limit' WHEN faster THEN 'excellent conditions'
-        ELSE 'steady conditions' END AS reason FROM y"""))
+        ELSE 'steady conditions' END AS reason FROM y"""
+
+
+@query("rule_advice", using("advised", ADVICE_SQL.format(source="advised", columns="id, topic")))
 def rule_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = states(spark, sf_dir)
     incident = state.has_active_incident(F.col("type"), F.col("status"))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kerbside import schemas as s
 from kerbside.operators import joins, metrics as m, state
 from kerbside.operators.timeline import union_all
-from kerbside.plans.analysis import METRIC, PAIR_SQL, metric_rows, settled
+from kerbside.plans import jobs
+from kerbside.plans.analysis import ADVICE_SQL, METRIC, PAIR_SQL, metric_rows, settled
 from kerbside.plans.catalogue import WIDE, query
 from kerbside.plans.ingest import TOPIC_COLUMNS, TOPIC_SQL, number
 from kerbside.plans.sequences import DEDUPE_SQL, THROTTLE_SQL
@@ -195,3 +196,29 @@ def _register_archive(topic: str, view: str, columns: list[str], sql_columns: st
 for _topic, _columns in TOPIC_COLUMNS.items():
     _register_archive(_topic, TOPIC_SQL[_topic][0], _columns, TOPIC_SQL[_topic][1])
 _register_archive(s.GPS_TOPIC, "gps", ["speed", "direction", "vehicle_type"], "speed, 'North-East' AS direction, 'private' AS vehicle_type")
+
+
+def _stream_advice_sql() -> str:
+    latest = ", ".join(
+        f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in "speed lim label kind status auto_braking abs_system traction".split()
+    )
+    steps = f""",
+    m AS (SELECT *, CASE topic WHEN 'optimized_routes' THEN '' ELSE CAST(id AS VARCHAR) END AS sid FROM messages),
+    s AS (SELECT device, ts, row_number() OVER (PARTITION BY device, ts ORDER BY sid, topic) AS place, {latest} FROM m
+      WINDOW w AS (PARTITION BY device ORDER BY ts, sid, topic ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    d AS (SELECT DISTINCT device, ts FROM m),
+    f AS (SELECT a.device, a.ts, min(b.ts) AS following FROM d a JOIN d b ON a.device = b.device AND b.ts >= a.ts + INTERVAL 1 DAY GROUP BY ALL),
+    chain AS (SELECT device, min(ts) AS ts FROM d GROUP BY device
+      UNION ALL SELECT f.device, f.following FROM chain c JOIN f ON c.device = f.device AND c.ts = f.ts),
+    sent AS (SELECT s.*, CASE label WHEN 'Fog' THEN 'Low-visibility' ELSE 'Normal' END AS road,
+        coalesce(status = 'Active' AND kind <> 'None', false) AS incident
+      FROM s JOIN chain c ON s.device = c.device AND s.ts = c.ts WHERE place = 1)"""
+    advice = ADVICE_SQL.format(source="sent", columns='device AS "deviceId", epoch_us(ts) // 1000 AS ts')
+    return using("messages", steps + advice).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("stream_assistant_advice", _stream_advice_sql())
+def stream_assistant_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All topics -> device state -> throttle -> advice, with a restart in the middle."""
+    log = union_all([ev.MESSAGES[t](spark, sf_dir) for t in jobs.ASSISTANT_TOPICS])
+    return run.replay(spark, "advice", halves(log), lambda x: jobs.advice_rows(x, "1 day").drop("prompt"))

@@ -48,6 +48,49 @@ def throttle_stream(rows: DataFrame, gap: str = "2 seconds") -> DataFrame:
     return _keyed(rows, "deviceId", step, ["id", "deviceId", "event_time"], "emitted boolean", "last_emission long")
 
 
+def state_stream(messages: DataFrame, fields: dict[str, str], gap: str | None = None) -> DataFrame:
+    """Stream twin of ``device_state``: each message with the device's state after it (``fields``: name -> SQL type).
+
+    With ``gap`` only messages that pass the throttle come out; the others still update the state. Messages need ``id``,
+    ``topic``, ``deviceId``, ``event_time``; several at one instant are taken by id, then topic.
+    """
+    gap_us = micros(gap) if gap else None
+    names = list(fields)
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(parts), ignore_index=True).sort_values(["at_us", "id", "topic"])
+        last, *known = state.get if state.exists else (None, *[None] * len(names))
+        merged = {}
+        for name, before in zip(names, known):
+            line = np.empty(len(batch) + 1, dtype=object)
+            line[0], line[1:] = before, batch[name].to_numpy(dtype=object)
+            place = np.where(pd.notna(line), np.arange(len(line)), 0)
+            merged[name] = line[np.maximum.accumulate(place)]
+        flags = np.ones(len(batch), dtype=bool)
+        if gap_us is not None:
+            flags, last = emit_flags(batch["at_us"].to_numpy(), gap_us, last)
+        state.update((last, *[_plain(merged[name][-1]) for name in names]))
+        out = batch[["id", "topic", "deviceId", "event_time"]].assign(**{n: merged[n][1:] for n in names})[flags]
+        if len(out):
+            yield out
+
+    columns = ["id", "topic", "deviceId", "event_time"]
+    kinds = ", ".join(f"`{n}` {k}" for n, k in fields.items())
+    sent = messages.select(*columns, *names, F.unix_micros("event_time").alias("at_us"))
+    ids = sent.schema["id"].dataType.simpleString()
+    out = f"id {ids}, topic string, deviceId string, event_time timestamp, {kinds}"
+    return sent.groupBy("deviceId").applyInPandasWithState(
+        step, out, f"last_emission long, {kinds}", "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def _plain(value):
+    """A state value as Python has it: no NumPy scalars, no NaN."""
+    if value is None or value != value:
+        return None
+    return value.item() if isinstance(value, np.generic) else value
+
+
 def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: int = LOOK_BACK) -> DataFrame:
     """Stream twin of ``alert_dedupe``; alerts need an ``id``."""
 
