@@ -22,7 +22,17 @@ SAMPLE = 20
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], bound: int) -> list:
-    """Keys with more than ``bound`` rows, with their counts; at most ``rows / bound`` of them."""
+    """Keys with more than ``bound`` rows, with their counts; at most ``rows / bound`` of them.
+
+    A compound key can only be hot if its first column is, so that is counted first: few groups, combined before the
+    shuffle. Mostly that is all.
+    """
+    if len(keys) > 1:
+        outer = hot_keys(df, keys[:1], bound)
+        if not outer:
+            return []
+        values = df.sparkSession.createDataFrame([(r[keys[0]],) for r in outer], df.select(keys[0]).schema)
+        df = df.join(F.broadcast(values), keys[0], "left_semi")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.where(F.col("_rows") > bound).collect()
 

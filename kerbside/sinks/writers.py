@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kerbside.operators.timeline import union_all
@@ -57,8 +57,8 @@ def console_tap(rows: DataFrame, tag: str) -> DataStreamWriter:
     return tap(rows, tag).writeStream.format("console").option("truncate", False).outputMode("append")
 
 
-def counted(rows: DataFrame, tag: str, *more: Column) -> DataFrame:
-    """Count rows while they pass, without a second read; a query listener or ``Observation`` gets the number."""
+def counted(rows: DataFrame, tag: str | Observation, *more: Column) -> DataFrame:
+    """Count rows while they pass, without a second read; an ``Observation`` or (by name) a query listener gets the number."""
     return rows.observe(tag, F.count(F.lit(1)).alias("rows"), *more)
 
 

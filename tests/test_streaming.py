@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from kerbside import schemas as s
 from kerbside.operators import metrics as m
@@ -179,3 +179,18 @@ def test_envelope_of_plain_rows(spark):
     rows = spark.createDataFrame([("v", 1.5, BASE)], "deviceId string, speed double, at timestamp")
     row = to_envelope(rows, "t", "deviceId", "at", ["deviceId", "speed"]).first()
     assert (bytes(row["key"]), bytes(row["value"]), row["topic"]) == (b"v", b'{"deviceId":"v","speed":1.5}', "t")
+
+
+def test_joined_schema(spark):
+    log = stage(spark, *FIRST)
+    joined = interval_join(topics.topic_stream(log, s.GPS_TOPIC).select("deviceId", "speed", "timestamp", "event_time"),
+                           topics.speed_limit_stream(log, s.ROUTES_TOPIC).drop("Timestamp"))
+    assert [(f.name, f.dataType.simpleString()) for f in joined.schema] == [
+        ("deviceId", "string"), ("speed", "double"), ("timestamp", "string"), ("event_time", "timestamp"),
+        ("deviceId_sl", "string"), ("placeId", "string"), ("SpeedLimit", "double"), ("event_time_speed", "timestamp")]
+
+
+def test_taps_tag_and_count(spark):
+    seen = Observation("gps")
+    rows = writers.counted(writers.tap(gps(spark, (0, 1), (1, 2)), "GPS RAW"), seen)
+    assert {r["DEBUG_TAG"] for r in rows.collect()} == {"GPS RAW"} and seen.get == {"rows": 2}
