@@ -276,7 +276,7 @@ def rule_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batches, prompts and answers ---------------------------------------------------------------------------------
 
 BATCHES_SQL = """, ordered AS (SELECT *, row_number() OVER (ORDER BY period, "deviceId") - 1 AS n FROM metrics),
-    batched AS (SELECT *, n // 3 AS batch_id, n % 3 AS index FROM ordered)"""
+    batched AS (SELECT *, n // 3 AS batch_id, CAST(n % 3 AS INT) AS index FROM ordered)"""
 
 
 def using_batches(select: str) -> str:
