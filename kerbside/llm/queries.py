@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbside.llm import mixing, quality_rules
+from kerbside.llm import imatch, mixing, quality_rules, secret_scan
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -18,3 +19,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[secret_scan.count_of_kind(F.col("found"), k).alias(f"n_{k}") for k in secret_scan.CERTAIN],
+        F.sha2(secret_scan.listed(F.col("found"), certain_only=True), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("found")).alias("spans"))
+
+
+@query("op8_imatch")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = imatch.fingerprints(table(spark, sf_dir, "documents"))
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", imatch.shown(F.col("fingerprint")).alias("fingerprint"),
+        imatch.shown(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        imatch.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
