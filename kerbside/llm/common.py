@@ -48,3 +48,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Python tasks get so many texts at a time; the default of 10,000 is too much for long ones."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Stands for a null document id where ids are compared: after all others.
+LAST_ID = (1 << 63) - 1

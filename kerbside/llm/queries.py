@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import imatch, mixing, quality_rules, secret_scan
+from kerbside.llm import imatch, line_dedup, mixing, quality_rules, secret_scan
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -38,3 +38,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         imatch.shown(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         imatch.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
