@@ -63,6 +63,7 @@ def held(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def cleaned(docs: DataFrame, losses: DataFrame, min_chars: int) -> DataFrame:
     """``docs`` without the lines whose keys ``losses`` (doc_id, hi, lo) lists for their document."""
+    docs = docs.drop("n_lines", "n_dropped")
     lost = losses.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct(*KEY)).alias("_lost"))
     joined = docs.withColumn("_id", F.coalesce("doc_id", F.lit(LAST_ID))).join(lost, "_id", "left").drop("_id")
     joined = joined.withColumn("_lost", F.transform("_lost", lambda k: F.concat_ws(":", k["hi"], k["lo"])))
@@ -80,7 +81,7 @@ def cleaned(docs: DataFrame, losses: DataFrame, min_chars: int) -> DataFrame:
                 texts.append("\n".join(keep))
                 counts.append(len(lines))
                 drops.append(len(lines) - len(keep))
-            yield batch.drop(columns="_lost").assign(text=texts, n_lines=counts, n_dropped=drops)
+            yield batch.drop(columns="_lost").assign(text=pd.Series(texts, index=batch.index, dtype=object), n_lines=counts, n_dropped=drops)
 
     return joined.mapInPandas(apply, schema)
 
