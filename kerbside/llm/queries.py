@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import imatch, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, toxicity
+from kerbside.llm import imatch, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -63,3 +63,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
