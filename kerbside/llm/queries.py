@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import imatch, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
+from kerbside.llm import imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -71,3 +71,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), words=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id")
