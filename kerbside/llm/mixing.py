@@ -64,11 +64,11 @@ def with_targets(sources: DataFrame, weights: list[int], share: float, cap: floa
 
 
 def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, cap: float = 2.0,  # noqa: B006
-        block: int = 256, seed: int = 17) -> Mix:
-    """``weights`` go to the sources by code point, null last, and repeat; see the module's text."""
+        block: int = 256, seed: int = 17, keep: list[str] = []) -> Mix:  # noqa: B006
+    """``weights`` go to the sources by code point, null last, and repeat; ``rows`` keep the columns ``keep``."""
     spark = docs.sparkSession
     sized = stored(
-        docs.select("doc_id", "source", n_words_of(F.col("text")).alias("size"))
+        docs.select("doc_id", "source", *keep, n_words_of(F.col("text")).alias("size"))
         .withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id"))
         .withColumn("_range", F.shiftrightunsigned("_hash", 64 - RANGE_BITS)), "mix-sizes")
     ranges = sized.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
@@ -88,7 +88,7 @@ def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, cap
     streamed = (
         streamed.alias("d").join(offsets.alias("o"), F.col("d.source").eqNullSafe(F.col("o.source"))
                                  & (F.col("d._range") == F.col("o._range")))
-        .select("d.doc_id", "d.source", "d.size", "d._range", "d._row",
+        .select("d.doc_id", "d.source", "d.size", "d._range", "d._row", *[f"d.{c}" for c in keep],
                 (F.col("o._before") + F.col("d._end") - F.col("d.size")).alias("start"))
     )
 
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, cap
               & (F.col("d._range") == F.col("p._range")) & (F.col("d._row") == F.col("p._row")), "left")
         .select("d.*", F.coalesce("p.taken", F.lit(0)).cast("long").alias("taken"))
         .alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-        .select("d.doc_id", "d.source", "d.size", "s.source_size", "s.target", "d.start", "d.taken")
+        .select("d.doc_id", "d.source", "d.size", "s.source_size", "s.target", "d.start", "d.taken", *[f"d.{c}" for c in keep])
     )
     return Mix(rows, slots, sources)
 
