@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from kerbside.schemas import ADVICE, EVALUATION_LIST, SNAPPED_POINTS, SPEED_LIMIT_RESPONSE
+from kerbside.schemas import ADVICE, EVALUATION_LIST, SNAPPED_ANSWER, SNAPPED_POINTS, SPEED_LIMIT_RESPONSE
 
 SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -43,8 +43,10 @@ def route_path(points: Column) -> Column:
 
 
 def first_snapped_point(answer: Column) -> Column:
-    """First point of a snapping answer's point list; unknown fields are ignored, no points give null."""
-    return F.get(F.from_json(answer, SNAPPED_POINTS), F.lit(0))
+    """First point of a snapping answer, ``{"snappedPoints": [...]}`` or the bare list; no points give null."""
+    whole = F.from_json(answer, SNAPPED_ANSWER)["snappedPoints"]
+    points = F.when(F.ltrim(answer).startswith("["), F.from_json(answer, SNAPPED_POINTS)).otherwise(whole)
+    return F.get(points, F.lit(0))
 
 
 def first_speed_limit(answer: Column) -> Column:
@@ -174,7 +176,8 @@ def parse_evaluations(rows: DataFrame, text: str, batch: str) -> DataFrame:
     """
     size = F.size(batch)
     inside = lambda e: F.coalesce((e["index"] >= -size) & (e["index"] < size), F.lit(False))
-    parsed = rows.withColumn("_all", F.from_json(strip_code_fence(F.col(text)), EVALUATION_LIST))
+    answer = strip_code_fence(F.col(text))  # a single object would parse as a list of one
+    parsed = rows.withColumn("_all", F.when(answer.startswith("["), F.from_json(answer, EVALUATION_LIST)))
     first_bad = F.array_position(F.transform("_all", inside), F.lit(False))
     usable = F.when(first_bad > 0, F.slice("_all", 1, (first_bad - 1).cast("int"))).otherwise(F.col("_all"))
     keep = [c for c in rows.columns if c not in (text, batch)]

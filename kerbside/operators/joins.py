@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from kerbside.functions.rules import posted_limit_for
 from kerbside.operators.timeline import Timeline, micros, spread, union_all
@@ -57,6 +58,22 @@ def _spread_columns(frame: DataFrame) -> list[str]:
     return [c for c in ("id",) if c in frame.columns]
 
 
+def _descending(frame: DataFrame, name: str) -> Column:
+    """A column that ascends where ``name`` descends, for numbers, times, booleans and text."""
+    kind = frame.schema[name].dataType
+    if isinstance(kind, NumericType):
+        return -F.col(name)
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return -F.unix_micros(F.col(name).cast("timestamp"))
+    # hexadecimal digits turned round; the end sorts after every digit, as a longer text sorts before its beginning now
+    return F.concat(F.translate(F.hex(F.col(name).cast("string")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+
+
+def _ties(frame: DataFrame, ties: Sequence[str], wanted: Sequence[str]) -> list[str]:
+    """The tie columns the frame has; messages without any are ordered by what is wanted of them."""
+    return [c for c in ties if c in frame.columns] or list(wanted)
+
+
 def as_of_many(left: DataFrame, sides: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str], at: Column,
                ties: Sequence[str] = (), forward: bool = False, rows_per_slice: int | None = None) -> DataFrame:
     """``left`` with, per side, a struct of the latest row of its key at or before it (``forward``: the next after it).
@@ -64,20 +81,22 @@ def as_of_many(left: DataFrame, sides: Mapping[str, tuple[DataFrame, Sequence[st
     ``sides`` maps a name to a frame and the columns wanted; the struct also holds ``right_at``, the time of the row. ``at``
     is the event time, evaluated on every frame. All frames are united and one running window carries the structs: a
     single shuffle for any number of sides, no pairs, and a hot key is split by time. Of several rows at one instant the
-    greatest by ``ties`` counts (``forward``: the smallest).
+    greatest by ``ties`` counts (``forward``: the smallest); ties may be numbers or text, and a side without any
+    of these columns is ordered by the columns wanted. A null key matches nothing.
     """
-    sign = -1 if forward else 1
-    stamp = (F.unix_micros(at) * sign).alias("_t")
-    rank = [f"_tie{i}" for i in range(len(ties))]
+    stamp = (F.unix_micros(at) * (-1 if forward else 1)).alias("_t")
     # at one instant a backward match sees the other side's row; a forward match must not
     spine = left.select(*keys, stamp, F.lit(0 if forward else 1).alias("_side"), F.struct(*left.columns).alias("_row"))
-    others = [
-        frame.select(*keys, stamp, F.lit(1 if forward else 0).alias("_side"),
-                     *[(F.col(c) * sign).alias(r) for c, r in zip(ties, rank)],
-                     F.struct(at.alias("right_at"), *wanted).alias(f"_load_{name}"))
-        for name, (frame, wanted) in sides.items()
-    ]
-    line = Timeline(union_all([*others, spine]), keys, F.col("_t"), ["_side", *rank], rows_per_slice)
+    others, names = [], set()
+    for number, (name, (frame, wanted)) in enumerate(sides.items()):
+        placed = []
+        for c in _ties(frame, ties, wanted):
+            names.add(f"_tie_{number}_{c}")
+            placed.append((_descending(frame, c) if forward else F.col(c)).alias(f"_tie_{number}_{c}"))
+        others.append(frame.na.drop(subset=list(keys)).select(
+            *keys, stamp, F.lit(1 if forward else 0).alias("_side"), *placed,
+            F.struct(at.alias("right_at"), *wanted).alias(f"_load_{name}")))
+    line = Timeline(union_all([*others, spine]), keys, F.col("_t"), ["_side", *sorted(names)], rows_per_slice)
     found = line.last_known(**{f"_found_{name}": F.col(f"_load_{name}") for name in sides}).done()
     return found.where(F.col("_row").isNotNull()).select("_row.*", *[F.col(f"_found_{n}").alias(n) for n in sides])
 
@@ -85,7 +104,12 @@ def as_of_many(left: DataFrame, sides: Mapping[str, tuple[DataFrame, Sequence[st
 def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], at: Column, payload: Sequence[str],
           ties: Sequence[str] = (), max_age: str | None = None, forward: bool = False,
           rows_per_slice: int | None = None) -> DataFrame:
-    """``left`` with ``right_at`` and ``payload`` of one side's matching row, at most ``max_age`` away (see ``as_of_many``)."""
+    """``left`` with ``right_at`` and ``payload`` of one side's matching row, at most ``max_age`` away (see ``as_of_many``).
+
+    Columns of ``left`` named as one of these give way to them.
+    """
+    brought = {c.lower() for c in ("right_at", *payload)}
+    left = left.drop(*[c for c in left.columns if c.lower() in brought])
     found = as_of_many(left, {"_found": (right, payload)}, keys, at, ties, forward, rows_per_slice)
     if max_age:
         age = F.abs(F.unix_micros(at) - F.unix_micros(F.col("_found.right_at")))

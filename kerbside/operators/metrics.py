@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions import rules
 from kerbside.functions.text import period_label
 from kerbside.operators.joins import as_of, interval_join
-from kerbside.operators.timeline import Timeline, micros, union_all
+from kerbside.operators.timeline import Timeline, micros, spread, union_all
 
-#: Up to this many distinct speed limits the pair counts come from running counters, one per limit.
-MAX_COUNTERS = 64
-
-
-def distinct_limits(limits: DataFrame) -> list[float] | None:
-    """The distinct speed limits, or None if there are more than ``MAX_COUNTERS``."""
-    found = limits.select("SpeedLimit").where("SpeedLimit IS NOT NULL").distinct().limit(MAX_COUNTERS + 1).collect()
-    return sorted(r["SpeedLimit"] for r in found) if len(found) <= MAX_COUNTERS else None
+#: Limits that count: readers accept NaN and infinities where a number is due.
+NUMBER = "SpeedLimit > double('-Infinity') AND SpeedLimit < double('Infinity')"
 
 
 def usable(gps: DataFrame) -> DataFrame:
     """Fixes that can take part in a pair."""
-    return gps.where("deviceId IS NOT NULL AND event_time IS NOT NULL AND speed IS NOT NULL")
+    return gps.where("deviceId IS NOT NULL AND event_time IS NOT NULL AND speed IS NOT NULL AND NOT isnan(speed)")
 
 
 def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], tolerance: str = "5 minutes",
@@ -34,64 +30,36 @@ def overspeed_totals(gps: DataFrame, limits: DataFrame, by: Sequence[str], toler
     pairs whose fix carries the flag.
 
     The pairs are never formed. The time axis is cut into blocks as wide as the whole tolerance range, so the range of a
-    fix is the end of one block and the start of the next. Running counters per limit value inside a block give the
-    number of limits in either part; counts and sums of the two parts add up, and the maximum needs only the smallest
-    limit present. That is one shuffle by (device, block) of two rows per fix and one per limit, and work that grows with
-    the rows, however many limits a fix is near to. With more distinct limits than counters, the pairs are joined.
+    fix is the end of one block and the start of the next. A block's limits are kept sorted, in runs of 1, 2, 4, ... by time
+    and by value within a run; any beginning of the block is a few whole runs, in each of which a binary search
+    and running sums give the number, sum and smallest of the limits below a speed. That is one shuffle by (device,
+    block), and work that grows with the rows, however many limits a fix is near to and whatever
+    their values. A block with very many fixes is spread, its limits copied. Limits that are no number exceed nothing.
     """
-    gps = usable(gps)
-    limits = limits.where("deviceId IS NOT NULL AND event_time IS NOT NULL AND SpeedLimit IS NOT NULL")
-    values = distinct_limits(limits)
-    if values is None:
-        return _totals_from_pairs(gps, limits, by, tolerance, flag, rows_per_slice)
-
     reach = micros(tolerance)
     width = 2 * reach
     keep = list(dict.fromkeys([*by, *([flag] if flag else [])]))
     time = F.unix_micros("event_time")
 
-    if not values:
-        return _totals_from_pairs(gps, limits, by, tolerance, flag, rows_per_slice)
-
     def blocked(rows: DataFrame) -> DataFrame:
         # exact: microseconds of this era fit the 53 bits of a double
         return rows.withColumn("_block", F.floor(F.col("_t") / width))
 
-    def spreading(rows: DataFrame) -> Column:
-        # lets rows of one instant be split over slices; their order does not matter
-        return (F.xxhash64("id") if "id" in rows.columns else F.lit(0).cast("bigint")).alias("_tie")
-
-    posted = blocked(limits.select(F.col("deviceId").alias("_device"), time.alias("_t"), F.lit(1).alias("_side"),
-                                   F.col("SpeedLimit").alias("_limit"), spreading(limits)))
-    # order at one instant: start of a range (excludes the instant), limits, end of a range (includes it);
-    # a fix that does not exceed the smallest limit is in no pair, that filter reaches the scan
-    ends = F.array(F.struct((time - reach).alias("t"), F.lit(0).alias("side")),
-                   F.struct((time + reach).alias("t"), F.lit(2).alias("side")))
-    probes = blocked(
-        gps.where(F.col("speed") > min(values))
-        .select(F.col("deviceId").alias("_device"), F.col("speed").alias("_speed"), F.struct(*keep).alias("_fix"),
-                spreading(gps), F.inline(ends).alias("_t", "_side"))
-    )
-    rows = posted.unionByName(probes, allowMissingColumns=True)
-    line = Timeline(rows, ["_device", "_block"], F.col("_t"), ["_side", "_tie"], rows_per_slice)
-    counters = {f"_n{i}": f"CAST(_limit = {float(v)!r}D AS BIGINT)" for i, v in enumerate(values)}
-    counted = line.running(totals=True, **counters).done().where("_side <> 1")
-
-    # limits of value v inside the part of the range that lies in this block: rest of the block, or start of it
-    near = {v: f"IF(_side = 0, _n{i}_total - _n{i}, _n{i})" for i, v in enumerate(values)}
-    over = {v: f"_speed > {float(v)!r}D" for v in values}
-    excess = {v: f"(_speed - {float(v)!r}D)" for v in values}
-    worst = [f"IF({over[v]} AND {near[v]} > 0, {excess[v]}, NULL)" for v in values]
-    probes = counted.selectExpr(
-        "_fix.*",
-        " + ".join(f"IF({over[v]}, {near[v]}, 0L)" for v in values) + " AS _events",
-        " + ".join(f"IF({over[v]}, {near[v]} * {excess[v]}, 0D)" for v in values) + " AS _excess",
-        f"greatest({', '.join([*worst, 'CAST(NULL AS DOUBLE)'])}) AS _worst",
+    posted = blocked(limits.where(f"deviceId IS NOT NULL AND event_time IS NOT NULL AND {NUMBER}")
+                     .select(F.col("deviceId").alias("_device"), time.alias("_t"), F.col("SpeedLimit").alias("_limit")))
+    # the start of a range excludes what lies before it, the end includes its instant
+    ends = F.array(F.struct((time - reach).alias("t"), F.lit(True).alias("from")),
+                   F.struct((time + reach).alias("t"), F.lit(False).alias("from")))
+    probes = blocked(usable(gps).select(F.col("deviceId").alias("_device"), F.col("speed").alias("_speed"),
+                                        F.struct(*keep).alias("_fix"), F.inline(ends).alias("_t", "_from")))
+    probes, posted, keys = spread(probes, posted, ["_device", "_block"], ["_t", "_speed"], rows_per_slice)
+    rows = union_all([posted, probes]).select(*keys, "_t", "_limit", "_speed", "_from", "_fix")
+    kind = rows.schema["_fix"].dataType.simpleString()
+    counted = (
+        rows.repartition(*keys).sortWithinPartitions(*keys)
+        .mapInArrow(lambda batches: _count_below(batches, keys), f"_fix {kind}, _events long, _excess double, _worst double")
     )
-    return _finish(probes, by, flag).where("overspeed_events > 0")
-
-
-def _finish(parts: DataFrame, by: Sequence[str], flag: str | None) -> DataFrame:
+    parts = counted.select("_fix.*", "_events", "_excess", "_worst")
     aggregates = [
         F.sum("_events").alias("overspeed_events"),
         F.sum("_excess").alias("total_speed_over_limit"),
@@ -102,12 +70,111 @@ def _finish(parts: DataFrame, by: Sequence[str], flag: str | None) -> DataFrame:
     return parts.groupBy(*by).agg(*aggregates)
 
 
-def _totals_from_pairs(gps, limits, by, tolerance, flag, rows_per_slice) -> DataFrame:
-    pairs = overspeed_rows(gps, limits, tolerance, rows_per_slice)
-    over = F.col("speed") - F.col("SpeedLimit")
-    keep = list(dict.fromkeys([*by, *([flag] if flag else [])]))
-    parts = pairs.select(*keep, F.lit(1).alias("_events"), over.alias("_excess"), over.alias("_worst"))
-    return _finish(parts, by, flag)
+def _count_below(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Limits and probes sorted by block -> per probe with such limits their number, excess and largest excess."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < 50_000:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        groups = _group_starts(rows, keys)
+        if groups[-1]:  # the last block may go on
+            yield from _answers(rows.slice(0, groups[-1]), groups[:-1])
+            held = rows.slice(groups[-1]).to_batches()
+        else:
+            held = rows.to_batches()
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield from _answers(rows, _group_starts(rows, keys))
+
+
+def _group_starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    changes = np.zeros(rows.num_rows, dtype=bool)
+    changes[0] = True
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        changes[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(changes)
+
+
+def _answers(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows.num_rows)))
+    time, limit = rows.column("_t").to_numpy(), rows.column("_limit").to_numpy()
+    is_limit = ~np.asarray(rows.column("_limit").is_null())
+    at = np.flatnonzero(~is_limit)
+    below = LimitsBelow(group[is_limit], time[is_limit], limit[is_limit].astype("float64"))
+    speed = rows.column("_speed").to_numpy()[at].astype("float64")
+    starting = rows.column("_from").to_numpy(zero_copy_only=False)[at].astype(bool)
+    events, total, worst = below.query(group[at], time[at], starting, speed)
+    hit = events > 0
+    if hit.any():
+        out = rows.take(pa.array(at[hit])).select(["_fix"])
+        for name, values in (("_events", events), ("_excess", speed * events - total), ("_worst", speed - worst)):
+            out = out.append_column(name, pa.array(values[hit]))
+        yield from out.combine_chunks().to_batches()
+
+
+class LimitsBelow:
+    """Number, sum and smallest of a group's limits below a speed, at or after a time or up to it."""
+
+    def __init__(self, group: np.ndarray, time: np.ndarray, value: np.ndarray):
+        order = np.lexsort((value, time, group))
+        self.group, self.time, value = group[order], time[order], value[order]
+        self.values, rank = np.unique(value, return_inverse=True)
+        self.first = np.searchsorted(self.group, self.group)
+        local = np.arange(len(value)) - self.first
+        self.levels = []
+        width = 1
+        while True:  # runs of ``width`` by time within the group, by value within a run; numbered so that searches need one key
+            run = self.first + local // width * width
+            by_value = np.lexsort((rank, run))
+            self.levels.append((width, run[by_value] * (len(self.values) + 1) + rank[by_value],
+                                np.append(0.0, np.cumsum(value[by_value])), value[by_value]))
+            width *= 2
+            if width > local.max(initial=0) + 1:
+                break
+
+    def _places(self, group: np.ndarray, time: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per probe the group's start, and how many of its limits lie before ``time`` (``after``: at or before it)."""
+        times, stamp = np.unique(np.append(self.time, time), return_inverse=True)
+        mine = self.group * (len(times) + 1) + stamp[:len(self.time)]
+        wanted = group * (len(times) + 1) + stamp[len(self.time):]
+        start = np.searchsorted(self.group, group)
+        return start, np.where(after, np.searchsorted(mine, wanted, "right"), np.searchsorted(mine, wanted, "left")) - start
+
+    def _first(self, start: np.ndarray, n: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the first ``n`` limits from ``start`` on, those with a value rank below ``rank``: whole runs add up to them."""
+        count, total, least = np.zeros(len(n), np.int64), np.zeros(len(n)), np.full(len(n), np.inf)
+        done = np.zeros(len(n), np.int64)
+        for width, code, sums, values in reversed(self.levels):
+            at = np.flatnonzero(n - done >= width)
+            while len(at):
+                run = (start[at] + done[at]) * (len(self.values) + 1)
+                low, high = np.searchsorted(code, run), np.searchsorted(code, run + rank[at])
+                count[at] += high - low
+                total[at] += sums[high] - sums[low]
+                some = high > low
+                least[at[some]] = np.minimum(least[at[some]], values[low[some]])
+                done[at] += width
+                at = at[n[at] - done[at] >= width]
+        return count, total, least
+
+    def query(self, group: np.ndarray, time: np.ndarray, starting: np.ndarray, speed: np.ndarray):
+        if not len(self.group) or not len(group):
+            return np.zeros(len(group), np.int64), np.zeros(len(group)), np.full(len(group), np.inf)
+        rank = np.searchsorted(self.values, speed, "left")
+        start, n = self._places(group, time, ~starting)
+        size = np.searchsorted(self.group, group, "right") - start
+        # from a time on: the mirror image counts the last limits, so whole blocks less the first ones would lose digits
+        count, total, least = self._first(start, np.where(starting, 0, n), rank)
+        late = np.flatnonzero(starting)
+        if len(late):
+            mirror = LimitsBelow(self.group, -self.time, self.levels[0][3])
+            count[late], total[late], least[late] = mirror._first(start[late], (size - n)[late], rank[late])
+        return count, total, least
 
 
 def as_limit_side(limits: DataFrame) -> DataFrame:
@@ -121,7 +188,7 @@ def overspeed_rows(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minute
                    rows_per_slice: int | None = None) -> DataFrame:
     """The joined pairs whose speed is strictly above the limit (unmatched fixes have no limit and drop out)."""
     joined = interval_join(gps, as_limit_side(limits), tolerance, "left", rows_per_slice)
-    return joined.where(F.col("speed") > F.col("SpeedLimit"))
+    return joined.where(f"speed > SpeedLimit AND NOT isnan(speed) AND {NUMBER}")
 
 
 def in_window(rows: DataFrame, width: str) -> DataFrame:
@@ -157,7 +224,7 @@ def overspeed_metrics_stream(gps: DataFrame, limits: DataFrame, tolerance: str =
     fixes = gps.select("deviceId", "speed", "event_time", *[c for c in gps.columns if c == "id"])
     return (
         interval_join(fixes, limits, tolerance, "left", salts=salts)
-        .where(F.col("speed") > F.col("SpeedLimit"))
+        .where(f"speed > SpeedLimit AND NOT isnan(speed) AND {NUMBER}")
         .groupBy(F.window("event_time", window).alias("w"), "deviceId")
         .agg(F.sum(over).alias("total_speed_over_limit"), F.count(F.lit(1)).alias("overspeed_events"),
              F.max(over).alias("max_speed_over_limit"))

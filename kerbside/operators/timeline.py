@@ -5,8 +5,10 @@ more rows than ``rows_per_slice`` is cut into time slices first (split points co
 run per (key, slice), and what a slice needs from earlier slices is carried over in a summary of a few values per slice. Keys below the bound keep the plain window: one shuffle and nothing else.
 
 Splitting needs statistics, so building a ``Timeline`` runs one count per key over the key column alone. At most
-``rows / rows_per_slice`` keys can be above the bound, and each gets at most ``MAX_SLICES`` slices: that is the size
-bound of everything collected and broadcast here.
+``rows / rows_per_slice`` keys can be above the bound, and together they get about as many slices: that is the size
+bound of everything collected and broadcast here. A single order over all rows is no key; see ``numbered``.
+
+A null key is no key: its rows never see each other, so each is a group of its own.
 """
 
 from __future__ import annotations
@@ -16,8 +18,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kerbside.session import work_folder
+
 ROWS_PER_SLICE = 8_000_000
-MAX_SLICES = 2_048
 SAMPLE = 20
 
 
@@ -33,7 +36,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], bound: int) -> list:
             return []
         values = df.sparkSession.createDataFrame([(r[keys[0]],) for r in outer], df.select(keys[0]).schema)
         df = df.join(F.broadcast(values), keys[0], "left_semi")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    named = df.na.drop(subset=list(keys))
+    counts = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.where(F.col("_rows") > bound).collect()
 
 
@@ -48,7 +52,7 @@ def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], bound
         return None
     spark = df.sparkSession
     hot_df = spark.createDataFrame(
-        [(*[r[k] for k in keys], min(MAX_SLICES, -(-r["_rows"] // bound)), r["_rows"]) for r in hot],
+        [(*[r[k] for k in keys], -(-r["_rows"] // bound), r["_rows"]) for r in hot],
         schema=df.select(*keys).schema.simpleString()[7:-1] + ",_slices int,_rows long",
     )
     sampled = df.select(*keys, F.struct(*order).alias("_place")).join(F.broadcast(hot_df), list(keys)).where(
@@ -60,14 +64,13 @@ def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], bound
         .agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
         .withColumn("_step", step)
         .select(*keys, F.array_distinct(F.filter("_sample", lambda x, i: (i + 1) % F.col("_step") == 0)).alias("_points"))
-        .select(*keys, F.slice("_points", 1, 2 * MAX_SLICES).alias("_points"))
     )
     return spark.createDataFrame(points.collect(), schema=points.schema)
 
 
-def _slice_of(place: Column) -> Column:
-    """How many split points are at or before ``place``: a binary search as a fold over powers of two."""
-    bits = F.array(*[F.lit(1 << b) for b in range(MAX_SLICES.bit_length(), -1, -1)])
+def _slice_of(place: Column, most: int) -> Column:
+    """How many of the up to ``most`` split points are at or before ``place``: a binary search as a fold over powers of two."""
+    bits = F.array(*[F.lit(1 << b) for b in range(most.bit_length(), -1, -1)])
 
     def step(pos, bit):
         nxt = pos + bit
@@ -92,18 +95,21 @@ class Timeline:
         points = split_points(rows, self.keys, self.order, rows_per_slice or ROWS_PER_SLICE)
         self.sliced = points is not None
         if self.sliced:
+            most = points.agg(F.max(F.size("_points"))).first()[0]
             rows = (
                 rows.join(F.broadcast(points), self.keys, "left")
-                .withColumn("_slice", _slice_of(F.struct(*self.order)))
+                .withColumn("_slice", _slice_of(F.struct(*self.order), most))
                 .withColumn("_hot", F.col("_points").isNotNull())
                 .drop("_points")
             )
-        self.rows = rows
+        nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
+        self.rows = rows.withColumn("_spread", F.when(
+            nameless, F.xxhash64("_at", *self.ties)).otherwise(F.lit(0).cast("bigint")))
 
     @property
     def group(self) -> list[str]:
         """Columns that make one bounded group."""
-        return [*self.keys, "_slice"] if self.sliced else self.keys
+        return [*self.keys, "_spread", "_slice"] if self.sliced else [*self.keys, "_spread"]
 
     @property
     def order(self) -> list[str]:
@@ -120,7 +126,7 @@ class Timeline:
         return self.rows.where("_hot").groupBy(*self.group).agg(*aggregates)
 
     def _earlier(self):
-        return Window.partitionBy(*self.keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        return Window.partitionBy(*self.keys, "_spread").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
     def _attach(self, carried: DataFrame) -> None:
         # bounded: one row per slice of a hot key
@@ -167,7 +173,7 @@ class Timeline:
             .select(*self.group, F.transform("_tail", lambda x: x["v"]).alias("_tail"))
         )
         # every slice present holds at least one row, so n earlier slices are enough
-        w = Window.partitionBy(*self.keys).orderBy("_slice").rowsBetween(-n, -1)
+        w = Window.partitionBy(*self.keys, "_spread").orderBy("_slice").rowsBetween(-n, -1)
         carry = tails.select(*self.group, F.flatten(F.collect_list("_tail").over(w)).alias("_carry"))
         self.rows = self.rows.withColumn("_local", local)
         self._attach(carry)
@@ -187,7 +193,7 @@ class Timeline:
         carry = whole = None
         if self.sliced:
             summary = self.rows.where("_hot").groupBy(*self.group).agg(*[F.sum(f"_v{n}").alias(f"_s{n}") for n in values])
-            before = f"OVER (PARTITION BY {', '.join(self.keys)} ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+            before = f"OVER (PARTITION BY {', '.join([*self.keys, '_spread'])} ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
             carry = summary.selectExpr(*self.group, *[f"sum(_s{n}) {before} AS _c{n}" for n in values])
             whole = summary.groupBy(*self.keys).agg(*[F.sum(f"_s{n}").alias(f"_w{n}") for n in values])
         added = [f"coalesce(sum(_v{n}) {upto}, 0) AS {n}" for n in values]
@@ -223,7 +229,28 @@ class Timeline:
         return self
 
     def done(self) -> DataFrame:
-        return self.rows.drop("_at", "_slice", "_hot")
+        return self.rows.drop("_at", "_slice", "_hot", "_spread")
+
+
+def numbered(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
+    """``df`` with each row's 1-based position in one order over all rows.
+
+    Rows are dealt into ranges of the order and written below ``spark.checkpoint.dir``, so that their range is fixed; positions inside a
+    range are a window, and the ranges before it add up over one row per range. Rows equal in the whole order stay
+    together, in any order.
+    """
+    spark = df.sparkSession
+    columns = [c.alias(f"_o{i}") for i, c in enumerate(order)]
+    names = [f"_o{i}" for i in range(len(order))]
+    path = work_folder(spark, "numbered")
+    df.select("*", *columns).repartitionByRange(*names).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    before = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*names)).cast("long")
+    return rows.withColumn("_local", local).join(F.broadcast(before), "_range").withColumn(
+        name, F.col("_local") + F.col("_before")).drop("_range", "_local", "_before", *names)
 
 
 def spread(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
@@ -238,7 +265,7 @@ def spread(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Se
         return left, right, list(keys)
     schema = left.select(*keys).schema.simpleString()[7:-1] + ",_salts int"
     salts = F.broadcast(left.sparkSession.createDataFrame(
-        [(*[r[k] for k in keys], min(MAX_SLICES, -(-r["_rows"] // bound))) for r in hot], schema=schema
+        [(*[r[k] for k in keys], -(-r["_rows"] // bound)) for r in hot], schema=schema
     ))
     salted = (
         left.join(salts, list(keys), "left")

@@ -24,7 +24,8 @@ def weather_enrich(places: DataFrame, observations: DataFrame, cell: float = 0.1
         ["temperature", "weatherCondition", "windSpeed"], ["id"], max_age, rows_per_slice=rows_per_slice,
     )
     missing = F.col("right_at").isNull()
-    key = F.col("id").cast("bigint")
+    # numbers as they are, any other id by its hash
+    key = F.coalesce(F.col("id").cast("string").try_cast("bigint"), F.xxhash64("id"))
 
     def drawn(span: int, shift: int = 0):
         return (F.pmod(key, F.lit(span)) + shift).cast("double")

@@ -9,18 +9,25 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kerbside.operators.timeline import ROWS_PER_SLICE, Timeline, micros
+from kerbside.operators.timeline import Timeline, micros, numbered
 
 LOOK_BACK = 4
 SIMILAR_WITHIN = 2.0
 KEPT_ALERTS = 5
 
 
+def message_order(rows: DataFrame) -> list[str]:
+    """What orders messages of one instant: their id, or all they say where they carry none."""
+    if "id" in rows.columns:
+        return ["id"]
+    return [c for c in rows.columns if c not in ("deviceId", "event_time")]
+
+
 def alert_dedupe(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: int = LOOK_BACK,
                  rows_per_slice: int | None = None) -> DataFrame:
     """Alerts with ``suppressed``: one of the device's ``look_back`` alerts before has the same action and a target
     speed less than ``within`` away. Suppressed alerts stay in the look-back."""
-    line = Timeline(alerts, ["deviceId"], F.unix_micros("event_time"), ["id"], rows_per_slice)
+    line = Timeline(alerts, ["deviceId"], F.unix_micros("event_time"), message_order(alerts), rows_per_slice)
     rows = line.previous("_before", F.struct("action", "target_speed"), look_back).done()
     similar = F.exists(
         "_before",
@@ -31,7 +38,7 @@ def alert_dedupe(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: i
 
 def recent_alerts(alerts: DataFrame, kept: int = KEPT_ALERTS) -> DataFrame:
     """The newest ``kept`` alerts per device. Spark keeps ``kept`` rows per device and task before the shuffle."""
-    newest = Window.partitionBy("deviceId").orderBy(F.desc("event_time"), F.desc("id"))
+    newest = Window.partitionBy("deviceId").orderBy(F.desc("event_time"), *[F.desc(c) for c in message_order(alerts)])
     return alerts.withColumn("recency", F.row_number().over(newest)).where(F.col("recency") <= kept)
 
 
@@ -39,16 +46,18 @@ def count_windows(gps: DataFrame, size: int = 3, per_device: bool = True,
                   rows_per_slice: int | None = None) -> DataFrame:
     """Every ``size`` fixes -> one row: their places in order, and device, time and place of the last fix.
 
-    Windows fill per device, or over all devices in time order (``per_device=False``; the whole input then counts as one
-    key and is cut into time slices like any other). A window that does not fill up gives no row.
+    Windows fill per device, or over all devices in time order (``per_device=False``), which numbers the rows over
+    ranges of that order. A window that does not fill up gives no row.
     """
-    keys = ["deviceId"] if per_device else ["_all"]
-    rows = gps.withColumn("_all", F.lit(0))
-    line = Timeline(rows, keys, F.unix_micros("event_time"), ["id"], rows_per_slice).row_number("_n")
-    numbered = line.done().withColumn("window_no", F.floor((F.col("_n") - 1) / size))
+    keys = ["deviceId"] if per_device else []
+    if per_device:
+        counted = Timeline(gps, keys, F.unix_micros("event_time"), ["id"], rows_per_slice).row_number("_n").done()
+    else:
+        counted = numbered(gps, "_n", [F.unix_micros("event_time"), F.col("id")])
+    windowed = counted.withColumn("window_no", F.floor((F.col("_n") - 1) / size))
     fix = F.struct("_n", "location", "id", "deviceId", "event_time")
     by = [*keys, "window_no"]
-    full = numbered.groupBy(*by).agg(F.sort_array(F.collect_list(fix)).alias("_fixes"))
+    full = windowed.groupBy(*by).agg(F.sort_array(F.collect_list(fix)).alias("_fixes"))
     last = F.get("_fixes", F.lit(size - 1))
     return full.where(F.size("_fixes") == size).select(
         "window_no", last["deviceId"].alias("deviceId"), last["event_time"].alias("event_time"), last["id"].alias("id"),
@@ -135,16 +144,16 @@ def throttle(rows: DataFrame, gap: str = "2 seconds", rows_per_slice: int | None
     if line.sliced:
         tables = frame.where("_hot").select(*group, "_at").groupBy(*group).applyInPandas(
             lambda key, pdf: _exit_rows(key, pdf, gap_us), "deviceId string, _slice int, entry long, last long"
-        )
+        )  # a hot key is never null, so it has one spread
         entries = tables.groupBy("deviceId").applyInPandas(
             lambda pdf: _follow(pdf, gap_us), "deviceId string, _slice int, _entry long"
         )
-        frame = frame.join(F.broadcast(entries), group, "left")  # one row per slice of a hot device
+        frame = frame.join(F.broadcast(entries), ["deviceId", "_slice"], "left")  # one row per slice of a hot device
     else:
         frame = frame.withColumn("_entry", F.lit(None).cast("bigint"))
-    columns = [f for f in frame.schema.fields if f.name not in ("_at", "_slice", "_hot", "_entry")]
+    columns = [f for f in frame.schema.fields if f.name not in ("_at", "_slice", "_hot", "_spread", "_entry")]
     ordered = frame.repartition(*group).sortWithinPartitions(*group, "_at", "id")
-    sent = ordered.select(*[f.name for f in columns], "_at", "_entry", *[g for g in group if g == "_slice"])
+    sent = ordered.select(*[f.name for f in columns], "_at", "_entry", *[g for g in group if g in ("_spread", "_slice")])
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields)
     flagged = sent.mapInArrow(lambda it: _flag_sorted_groups(it, group, gap_us), out + ", emitted boolean")
     return flagged.select(*[f.name for f in columns], "emitted")
@@ -152,7 +161,7 @@ def throttle(rows: DataFrame, gap: str = "2 seconds", rows_per_slice: int | None
 
 def _exit_rows(key: tuple, pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
     entry, last = exit_table(np.sort(pdf["_at"].to_numpy()), gap)
-    return pd.DataFrame({"deviceId": key[0], "_slice": int(key[1]), "entry": entry, "last": last})
+    return pd.DataFrame({"deviceId": key[0], "_slice": int(key[-1]), "entry": entry, "last": last})
 
 
 def _follow(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
@@ -175,15 +184,12 @@ def _follow(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
 # --- batches ------------------------------------------------------------------------------------------------------
 
 
-def metrics_batches(metrics: DataFrame, arrival: Column, ties: Sequence[str], size: int = 1,
-                    rows_per_slice: int | None = None) -> DataFrame:
+def metrics_batches(metrics: DataFrame, arrival: Column, ties: Sequence[str], size: int = 1) -> DataFrame:
     """Rows in order of ``arrival`` (a BIGINT) cut into batches of ``size``: adds ``batch_id`` and ``index``."""
-    rows = metrics.withColumn("_all", F.lit(0))
-    line = Timeline(rows, ["_all"], arrival, ties, rows_per_slice or ROWS_PER_SLICE).row_number("_n")
     place = F.col("_n") - 1
-    return line.done().withColumns({
+    return numbered(metrics, "_n", [arrival, *[F.col(c) for c in ties]]).withColumns({
         "batch_id": F.floor(place / size), "index": (place % size).cast("int"),
-    }).drop("_n", "_all")
+    }).drop("_n")
 
 
 def full_batches(batched: DataFrame, size: int = 1, metric: Sequence[str] = ()) -> DataFrame:

@@ -307,10 +307,14 @@ def rules_sql() -> str:
 
 @query("scoring_prompt", using_batches(f"""SELECT batch_id, {rules_sql()} || string_agg('[' || index || ']:' || chr(10) || '{{' || chr(10) ||
       '  "deviceId": "' || "deviceId" || '",' || chr(10) || '  "period": "' || period || '",' || chr(10) ||
-      '  "overspeed_events": ' || overspeed_events || chr(10) || '}}' || chr(10) || chr(10), '' ORDER BY index) AS prompt
+      '  "avg_speed_over_limit": ' || round(avg_speed_over_limit, 3) || ',' || chr(10) ||
+      '  "overspeed_events": ' || overspeed_events || ',' || chr(10) ||
+      '  "max_speed_over_limit": ' || round(max_speed_over_limit, 2) || chr(10) || '}}' || chr(10) || chr(10), '' ORDER BY index) AS prompt
     FROM batched GROUP BY batch_id HAVING count(*) = 3"""))
 def scoring_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entry = text.pretty_json({c: F.col(c) for c in ("deviceId", "period", "overspeed_events")})
+    """The whole metric goes into the request; averages and maxima without the noise of their last digits."""
+    digits = {"avg_speed_over_limit": 3, "max_speed_over_limit": 2}
+    entry = text.pretty_json({c: F.round(F.col(c), digits[c]) if c in digits else F.col(c) for c in METRIC})
     rows = batched(spark, sf_dir).withColumn("entry", entry)
     full = windows.full_batches(rows, 3, ["entry"])
     return full.select("batch_id", text.scoring_prompt(F.transform("batch", lambda x: x["entry"])).alias("prompt"))

@@ -108,7 +108,7 @@ def alerts_job(at: Topics) -> list[DataStreamWriter]:
     log = at.read(ADVICE_TOPIC).withColumn("id", F.xxhash64("value"))
     rows = topics.good(topics.parse_messages(log, s.MESSAGES[s.ALERTS_TOPIC], keep=["id"]))
     done = stateful.alert_dedupe_stream(rows).where(~F.col("suppressed")).withColumn("ts", F.unix_millis("event_time"))
-    return [at.write(done, s.ALERTS_TOPIC, "deviceId", ["deviceId", "action", "target_speed", "ts"])]
+    return [at.write(done, s.ALERTS_TOPIC, "deviceId", ["deviceId", "action", "target_speed", "reason", "ts"])]
 
 
 def evaluator_job(at: Topics) -> list[DataStreamWriter]:

@@ -72,9 +72,8 @@ def route_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT n // 3 AS window_no, arg_max(device, ts) AS "deviceId", arg_max(id, ts) AS id, string_agg(id, ',' ORDER BY ts, id) AS fix_ids
     FROM n GROUP BY n // 3 HAVING count(*) = 3"""))
 def route_count_window_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One buffer for all devices, as the source service has it. The test bound cuts the input into slices, so no task
-    sorts it whole."""
-    rows = windows.count_windows(ev.gps(spark, sf_dir), per_device=False, rows_per_slice=1_000)
+    """One buffer for all devices, as the source service has it."""
+    rows = windows.count_windows(ev.gps(spark, sf_dir), per_device=False)
     return rows.select("window_no", "deviceId", "id", F.array_join("fix_ids", ",").alias("fix_ids"))
 
 

@@ -73,6 +73,7 @@ WATERMARKS = {
 }
 
 SNAPPED_POINTS = ArrayType(_struct(location=POINT, placeId=S, originalIndex=I))
+SNAPPED_ANSWER = _struct(snappedPoints=SNAPPED_POINTS)
 SPEED_LIMIT_RESPONSE = _struct(speedLimits=ArrayType(_struct(placeId=S, speedLimit=D)))
 ADVICE = _struct(action=S, target_speed=D, reason=S, deviceId=S)
 EVALUATION_LIST = ArrayType(_struct(**{

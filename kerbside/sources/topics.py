@@ -21,7 +21,8 @@ def read_topics(spark: SparkSession, topics: str | Sequence[str], *, bootstrap:
     """Raw messages of one or several topics, each tagged with its topic.
 
     With ``bootstrap`` from Kafka (needs the Kafka connector on the class path), with ``path`` from Parquet files that
-    hold the same envelope. Batch reads of files prune by topic when the folder is partitioned by it.
+    hold the same envelope. Batch reads of files prune by topic when the folder is partitioned by it. Expired offsets end
+    the query, as is Kafka's default; ``failOnDataLoss="false"`` among the options skips them.
     """
     topics = [topics] if isinstance(topics, str) else list(topics)
     reader = spark.readStream if streaming else spark.read
@@ -31,7 +32,6 @@ def read_topics(spark: SparkSession, topics: str | Sequence[str], *, bootstrap:
             .option("kafka.bootstrap.servers", bootstrap)
             .option("subscribe", ",".join(topics))
             .option("startingOffsets", starting)
-            .option("failOnDataLoss", "false")
             .options(**options)
             .load()
         )

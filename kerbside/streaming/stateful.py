@@ -92,7 +92,7 @@ def _plain(value):
 
 
 def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: int = LOOK_BACK) -> DataFrame:
-    """Stream twin of ``alert_dedupe``; alerts need an ``id``."""
+    """Stream twin of ``alert_dedupe``; alerts need an ``id``, further columns come out as they went in."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         batch = _in_order(parts)
@@ -101,11 +101,12 @@ def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_
         targets = np.array([*known_targets, *batch["target_speed"]], dtype="float64")
         similar = np.zeros(len(actions), dtype=bool)
         for back in range(1, min(look_back, len(actions) - 1) + 1):
-            similar[back:] |= (actions[back:] == actions[:-back]) & (np.abs(targets[back:] - targets[:-back]) < within)
+            same = (actions[back:] == actions[:-back]) & pd.notna(actions[back:])  # no action is like no other
+            similar[back:] |= same & (np.abs(targets[back:] - targets[:-back]) < within)
         state.update((actions[-look_back:].tolist(), targets[-look_back:].tolist()))
         yield batch.drop(columns="at_us").assign(suppressed=similar[len(known_actions):])
 
-    columns = ["id", "deviceId", "event_time", "action", "target_speed"]
+    columns = ["id", "deviceId", "event_time", "action", "target_speed", *[c for c in ("reason",) if c in alerts.columns]]
     return _keyed(alerts, "deviceId", step, columns, "suppressed boolean", "actions array<string>, targets array<double>")
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbside.operators import cache, joins, metrics as m, state, windows
-from kerbside.operators.timeline import Timeline, hot_keys, spread, split_points
+from kerbside.operators.timeline import Timeline, hot_keys, numbered, spread, split_points
 
 START = datetime(2024, 1, 1)
 SLICE = 7
@@ -168,6 +168,33 @@ def test_as_of_against_brute_force(spark, forward):
         assert collected(got, "id", "value") == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("forward", [False, True])
+def test_as_of_with_text_ids_and_null_keys(spark, forward):
+    """Ties of text order as text; a null key matches nothing, however many rows have it."""
+    base = [(i, None if i % 4 == 0 else f"d{i % 3}", START + timedelta(seconds=i % 9), float(i), None) for i in range(90)]
+    kind = "id string, deviceId string, event_time timestamp, speed double, tag string"
+    named = lambda data: spark.createDataFrame([(f"{i % 13:x}-{i}", *r) for i, *r in data], kind)
+    left, right = base[:40], base[40:]
+    want = []
+    for i, device, at, *_ in left:
+        there = [(x[2], f"{x[0] % 13:x}-{x[0]}", x[3]) for x in right
+                 if device and x[1] == device and (x[2] > at if forward else x[2] <= at)]
+        best = (min if forward else max)(there, default=(None, None, None))
+        want.append((f"{i % 13:x}-{i}", best[2]))
+    for bound in (None, SLICE):
+        got = joins.as_of(named(left), named(right).withColumnRenamed("speed", "value"), ["deviceId"], F.col("event_time"), ["value"],
+                          ["id"], None, forward, bound)
+        assert collected(got, "id", "value") == sorted(want, key=repr)
+
+
+def test_one_order_over_all_rows(spark):
+    data = rows(60) + [(5000, None, None, None, None)]
+    got = numbered(frame(spark, data), "n", [F.col("event_time"), F.col("id")]).collect()
+    order = sorted(data, key=lambda r: (r[2] is not None, r[2] or START, r[0]))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["n"])] == [r[0] for r in order]
+    assert sorted(r["n"] for r in got) == list(range(1, len(data) + 1))
+
+
 def test_device_state(spark):
     def step(df, bound):
         return state.device_state([df.withColumn("topic", F.lit("t"))], ["speed", "tag"], bound)
@@ -184,11 +211,12 @@ def pairs(gps, limits, seconds):
 
 
 @pytest.mark.parametrize("seconds", [1, 7, 60])
-@pytest.mark.parametrize("counters", [64, 0])
-def test_overspeed_metrics_against_all_pairs(spark, monkeypatch, seconds, counters):
-    """Counters and, with none allowed, the joined pairs; whole and sliced."""
-    monkeypatch.setattr(m, "MAX_COUNTERS", counters)
+@pytest.mark.parametrize("many", [False, True])
+def test_overspeed_metrics_against_all_pairs(spark, seconds, many):
+    """Few limit values and one per record; whole and spread. Limits that are no number and null devices are in no pair."""
     gps, limits = sides(30 + seconds)
+    if many:
+        limits = [(i, d, t, v + i / 1000, g) for i, d, t, v, g in limits]
     want = {}
     for g, x in pairs(gps, limits, seconds):
         if g[3] > x[3]:
@@ -196,12 +224,14 @@ def test_overspeed_metrics_against_all_pairs(spark, monkeypatch, seconds, counte
             key = (g[1], f"{minute.isoformat()}/{(minute + timedelta(minutes=1)).isoformat()}")
             n, total, top = want.get(key, (0, 0.0, 0.0))
             want[key] = (n + 1, total + g[3] - x[3], max(top, g[3] - x[3]))
+    odd = [(9000 + i, gps[i][1], gps[i][2], v, None) for i, v in enumerate([float("nan"), float("inf"), float("-inf"), None])]
+    nameless = [(9100 + i, None, START, 50.0 + i, None) for i in range(20)]
     for bound in (None, SLICE):
-        got = m.overspeed_metrics(frame(spark, gps), limit_frame(spark, limits), f"{seconds} seconds", "1 minute", bound)
+        got = m.overspeed_metrics(frame(spark, gps + nameless), limit_frame(spark, limits + odd + nameless), f"{seconds} seconds", "1 minute", bound)
         found = {(r["deviceId"], r["period"]): r for r in got.collect()}
         assert set(found) == set(want)
         for key, (n, total, top) in want.items():
-            assert found[key]["overspeed_events"] == n and found[key]["max_speed_over_limit"] == top
+            assert found[key]["overspeed_events"] == n and found[key]["max_speed_over_limit"] == pytest.approx(top)
             assert found[key]["avg_speed_over_limit"] == pytest.approx(total / n)
 
 
