@@ -185,7 +185,7 @@ class LineIndex:
         return cleaned(docs, losses, self.min_chars)
 
 
-def shards_for(docs: DataFrame, per_shard: int = 200_000, lines_each: int = 16) -> int:
+def shards_for(docs: DataFrame, per_shard: int = 20_000, lines_each: int = 16) -> int:
     """Shards so that each holds about ``per_shard`` keys, if documents have ``lines_each`` lines."""
     return max(1, -(-docs.count() * lines_each // per_shard))
 
