@@ -25,6 +25,7 @@ key. Counts of grams and contexts are combined before the shuffle.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,10 @@ from kerbside.llm.suffix_sort import Hashes, Suffixes
 
 ROW = ["row_id", "mark"]
 CONTEXT = ["gram", "hi", "lo"]
+COLUMNS = [*ROW, "place", *CONTEXT, "left", "context", "n", "start", "stop"]
+PAIR = "<qq"
+#: Distinct contexts that a task holds before it passes them on.
+HELD = 50_000
 
 
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -78,11 +83,12 @@ def repeated_grams(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """(row_id, mark, grams): per row the anchors' grams that occur again, in the row or elsewhere."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for row_id, mark, data in zip(batch["row_id"], batch["mark"], batch["bytes"]):
-                grams, n = np.unique(anchors(np.frombuffer(data, np.uint8), length, gram)[1], return_counts=True)
-                out.append(pd.DataFrame({"gram": signed(grams), "row_id": row_id, "mark": mark, "times": np.minimum(n, 2)}))
-            yield pd.concat(out) if out else batch.iloc[:0]
+            found = [np.unique(anchors(np.frombuffer(x, np.uint8), length, gram)[1], return_counts=True) for x in batch["bytes"]]
+            sizes = [len(grams) for grams, _ in found]
+            if sum(sizes):
+                yield pd.DataFrame({
+                    "gram": signed(np.concatenate([grams for grams, _ in found])), "row_id": np.repeat(batch["row_id"].to_numpy(), sizes),
+                    "mark": np.repeat(batch["mark"].to_numpy(), sizes), "times": np.minimum(np.concatenate([n for _, n in found]), 2)})
 
     places = rows.select(*ROW, "bytes").mapInPandas(emit, "gram long, row_id long, mark long, times int")
     again = places.groupBy("gram").agg(F.sum("times").alias("n")).filter("n > 1").select("gram")
@@ -90,16 +96,24 @@ def repeated_grams(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def contexts(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """Distinct contexts of each row's wanted anchors, and the intervals of those that it holds twice.
+    """Three kinds of rows, from one pass over the texts:
 
-    (row_id, mark, place, gram, hi, lo, left, context) or (row_id, mark, start, stop).
+    (row_id, mark, place, gram, hi, lo): a row's distinct contexts of wanted anchors, and the first place of each;
+    (row_id, mark, start, stop): what the contexts that a row holds twice cover;
+    (gram, hi, lo, left, context, n): the distinct contexts of a stretch of the task, and in how many rows they are.
     """
     reach = length - gram
-    columns = ["place", "gram", "hi", "lo", "left", "context", "start", "stop"]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple, list] = {}
+
+        def counted() -> pd.DataFrame:
+            frame = pd.DataFrame([(*k, *v) for k, v in known.items()], columns=[*CONTEXT, "left", "context", "n"])
+            known.clear()
+            return shaped(frame)
+
         for batch in batches:
-            out = []
+            places, spans = [], []
             for row_id, mark, data, grams in zip(batch["row_id"], batch["mark"], batch["bytes"], batch["grams"]):
                 place, found = anchors(np.frombuffer(data, np.uint8), length, gram)
                 keep = np.isin(signed(found), np.asarray(grams))
@@ -108,19 +122,30 @@ def contexts(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> Data
                     left = min(p, reach)
                     context = data[p - left:p + length]
                     digest = hashlib.blake2b(context, digest_size=16, salt=left.to_bytes(8, "little")).digest()
-                    seen.setdefault((g, digest, left, context), []).append(p)
-                covered: list[list[int]] = []
-                for (g, digest, left, context), at in seen.items():
-                    hi, lo = np.frombuffer(digest, np.int64).tolist()
-                    out.append((row_id, mark, at[0], g, hi, lo, left, context, None, None))
-                    if len(at) > 1 and len(context) >= length:
-                        covered += [[p - left, p - left + len(context)] for p in at]
-                for start, stop in joined(covered):
-                    out.append((row_id, mark, None, None, None, None, None, None, start, stop))
-            frame = pd.DataFrame(out, columns=[*ROW, *columns])
-            yield frame.astype({c: "Int64" for c in frame.columns if c != "context"})
-
-    schema = "row_id long, mark long, place long, gram long, hi long, lo long, left int, context binary, start long, stop long"
+                    key = (g, *struct.unpack(PAIR, digest))
+                    if key not in seen:
+                        seen[key] = [p]
+                        places.append((row_id, mark, p, *key))
+                        if key in known:
+                            known[key][2] += 1
+                        else:
+                            known[key] = [left, context, 1]
+                    else:
+                        seen[key].append(p)
+                covered = [[p - (left := min(p, reach)), p - left + len(data[p - left:p + length])]
+                           for at in seen.values() if len(at) > 1 for p in at if len(data) - p + min(p, reach) >= length]
+                spans += [(row_id, mark, start, stop) for start, stop in joined(covered)]
+            yield shaped(pd.DataFrame(places, columns=[*ROW, "place", *CONTEXT]))
+            yield shaped(pd.DataFrame(spans, columns=[*ROW, "start", "stop"]))
+            if len(known) > HELD:
+                yield counted()
+        yield counted()
+
+    def shaped(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({c: frame[c] if c == "context" and c in frame else frame[c].astype("Int64") if c in frame
+                             else pd.Series([None] * len(frame), dtype=object if c == "context" else "Int64") for c in COLUMNS})
+
+    schema = ", ".join(f"{c} {'binary' if c == 'context' else 'long'}" for c in COLUMNS)
     return stored(rows.select(*ROW, "bytes").join(wanted, ROW).mapInPandas(emit, schema), "suffix-contexts")
 
 
@@ -135,23 +160,33 @@ def joined(spans: list) -> list[list[int]]:
     return out
 
 
-def shared_strings(distinct: DataFrame, length: int, group: int) -> DataFrame:
-    """(gram, hi, lo, smallest, largest): start distances before the anchor of strings that occur again."""
-    hot = stored(distinct.groupBy("gram").agg(F.count("*").alias("n_contexts")).filter(F.col("n_contexts") > group), "suffix-hot").select("gram")
+def shared_strings(counted: DataFrame, length: int, group: int) -> DataFrame:
+    """(gram, hi, lo, smallest, largest): start distances before the anchor of strings that occur again.
+
+    ``counted`` has a context once per stretch of a task that holds it.
+    """
+    hot = stored(counted.groupBy("gram").agg(F.count("*").alias("n_contexts")).filter(F.col("n_contexts") > group), "suffix-hot").select("gram")
     schema = "gram long, hi long, lo long, smallest int, largest int"
 
-    def match(held: pd.DataFrame) -> pd.DataFrame:
-        parts = held["context"].tolist()
-        size, left = np.array([len(x) for x in parts]), held["left"].to_numpy(np.int64)
-        begin = np.r_[0, np.cumsum(size)[:-1]]
-        data = np.frombuffer(b"".join(parts), np.uint8)
-        _, number = np.unique(held["gram"].to_numpy(np.int64), return_inverse=True)
-        smallest, largest = Suffixes(data, begin + left, left, size - left, number).shared(length)
-        alike = (held["n"].to_numpy() > 1) & (size >= length)  # the whole context occurs again
+    def match(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        # rows of a context are neighbours
+        first = np.flatnonzero(np.r_[True, (held[CONTEXT].to_numpy()[1:] != held[CONTEXT].to_numpy()[:-1]).any(1)])
+        n = np.add.reduceat(held["n"].to_numpy(np.int64), first)
+        held = held.iloc[first].reset_index(drop=True)
+        size, left = held["context"].map(len).to_numpy(np.int64), held["left"].to_numpy(np.int64)
+        smallest, largest = np.full(len(held), -1), np.full(len(held), -1)
+        _, number, members = np.unique(held["gram"].to_numpy(np.int64), return_inverse=True, return_counts=True)
+        mixed_ = np.flatnonzero(members[number] > 1)
+        if len(mixed_):  # a context alone with its gram has nothing to be compared with
+            data = np.frombuffer(b"".join(held["context"].iloc[mixed_]), np.uint8)
+            begin = np.r_[0, np.cumsum(size[mixed_])[:-1]]
+            smallest[mixed_], largest[mixed_] = Suffixes(
+                data, begin + left[mixed_], left[mixed_], (size - left)[mixed_], number[mixed_]).shared(length)
+        alike = (n > 1) & (size >= length)  # the whole context occurs again
         smallest = np.where(alike, np.maximum(0, length - (size - left)), smallest)
         largest = np.where(alike, left, largest)
         hit = largest >= 0
-        return held.loc[hit, CONTEXT].assign(smallest=smallest[hit], largest=largest[hit])
+        yield held.loc[hit, CONTEXT].assign(smallest=smallest[hit], largest=largest[hit])
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -159,10 +194,10 @@ def shared_strings(distinct: DataFrame, length: int, group: int) -> DataFrame:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
             if len(held) >= 8192 and held["gram"].iloc[0] != held["gram"].iloc[-1]:
                 last = held["gram"] == held["gram"].iloc[-1]  # may go on in the next batch
-                yield match(held[~last].reset_index(drop=True))
+                yield from match(held[~last].reset_index(drop=True))
                 held = held[last].reset_index(drop=True)
         if held is not None and len(held):
-            yield match(held)
+            yield from match(held)
 
     def one_by_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -174,10 +209,12 @@ def shared_strings(distinct: DataFrame, length: int, group: int) -> DataFrame:
             yield pd.DataFrame(out, columns=[*CONTEXT, "d", "s_hi", "s_lo", "n"])
 
     few = (
-        distinct.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions(*CONTEXT)
+        counted.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions(*CONTEXT)
         .mapInPandas(sort, schema)
     )
-    strings = distinct.join(hot, "gram", "left_semi").mapInPandas(
+    merged = counted.join(hot, "gram", "left_semi").groupBy(*CONTEXT).agg(
+        F.sum("n").alias("n"), F.any_value("left").alias("left"), F.any_value("context").alias("context"))
+    strings = merged.select(*CONTEXT, "n", "left", "context").mapInPandas(
         one_by_one, "gram long, hi long, lo long, d int, s_hi long, s_lo long, n long")
     string = ["gram", "d", "s_hi", "s_lo"]
     again = strings.groupBy(*string).agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
@@ -191,14 +228,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
     rows = rows_of(docs)
     found = contexts(rows, repeated_grams(rows, length, gram), length, gram)
     members = found.filter("place is not null")
-    distinct = stored(
-        members.groupBy(*CONTEXT).agg(F.count("*").alias("n"), F.any_value("left").alias("left"), F.any_value("context").alias("context")),
-        "suffix-distinct")
-    shared = shared_strings(distinct, length, group)
+    shared = shared_strings(found.filter("context is not null").select(*CONTEXT, "n", "left", "context"), length, group)
     removed = (
         members.select(*ROW, "place", *CONTEXT).join(shared, CONTEXT)
         .select(*ROW, (F.col("place") - F.col("largest")).alias("start"), (F.col("place") - F.col("smallest") + length).alias("stop"))
-        .unionByName(found.filter("place is null").select(*ROW, "start", "stop"))
+        .unionByName(found.filter("start is not null").select(*ROW, "start", "stop"))
         .groupBy(*ROW).agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
     )
 
