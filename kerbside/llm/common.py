@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +59,28 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 
 #: Stands for a null document id where ids are compared: after all others.
 LAST_ID = (1 << 63) - 1
+
+
+def bloom_filter(ids: DataFrame, bits: int = 1 << 24) -> Callable[[Column], Column]:
+    """A test of whether an id (BIGINT) may be among ``ids`` (one column): no id that is in is missed.
+
+    Rows that fail it need not be shuffled to a join with ``ids``. The filter takes ``bits`` / 8 bytes whatever the
+    number of ids; when they are too many for it, it only lets more rows through.
+    """
+    name, seeds = ids.columns[0], (1, 2, 3)
+    places = F.array(*[F.pmod(F.xxhash64(F.lit(s), F.col(name)), F.lit(bits)) for s in seeds])
+    words = (
+        ids.select(F.explode(places).alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("mask"))
+    )
+    table = np.zeros(bits >> 6, np.int64)
+    for r in words.toLocalIterator():  # at most bits / 64 rows
+        table[r.word] = r.mask
+    packed = table.view(np.uint64)
+
+    @F.pandas_udf("boolean")
+    def inside(places: pd.Series) -> pd.Series:
+        p = np.array(places.tolist(), np.int64).reshape(-1, len(seeds))
+        return pd.Series(((packed[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).all(1))
+
+    return lambda c: inside(F.array(*[F.pmod(F.xxhash64(F.lit(s), c), F.lit(bits)) for s in seeds]))

@@ -4,8 +4,8 @@ A text's set holds the 64-bit hashes of its distinct shingles of ``words`` words
 with equal sets are one class. Two sets link when 100 * |intersection| >= ``percent`` * |union|.
 
 1. Of a set of n, a linked partner lacks at most miss = n * (100 - percent) / 100. Hence the first
-   miss + l hashes of two linked sets, in hash order, share at least l. Classes whose first hashes are
-   shared with too few other classes can't link; for most texts that settles it.
+   miss + l hashes of two linked sets, in hash order, share at least l. A text whose first hashes hardly occur in
+   other texts can't link, unless as a copy; for most texts that settles it.
 2. The full sets of the rest are counted: hashes in one class only can't be common, which bounds the size of a
    partner; and ordered from rare to common, linked sets share one of their first miss + 1.
 3. Partition: classes with the same min-hash of their shared hashes are compared with the most typical of
@@ -22,8 +22,8 @@ up to collisions of 64-bit hashes.
 Edge cases: null, empty and blank texts have no set and stay alone; rows with equal ids are separate and share the id; a null id sorts after all others; ties go to the smaller id; an empty table gives an empty
 result; further columns are ignored.
 
-Scale: what is shuffled are first hashes of all sets, then texts once, then full sets of the classes that
-are still in question. Counts are combined before their shuffle; joins on a hash that many classes
+Scale: what is shuffled are first hashes of all sets, then the texts still in question (a Bloom filter of fixed size
+holds the others back), then full sets of their classes. Counts are combined before their shuffle; joins on a hash that many classes
 hold are plain equi-joins that adaptive execution splits. No group is gathered anywhere.
 """
 
@@ -37,13 +37,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import LAST_ID, small_batches, stored
+from kerbside.llm.common import LAST_ID, bloom_filter, small_batches, stored
 from kerbside.llm.components import components
 from kerbside.llm.cuckoo import mixed
 from kerbside.llm.suffix_sort import Hashes
 
 #: Hashes beyond miss + 1 that the first comparison looks at, in percent of the set.
-EXTRA = 5
+EXTRA = 3
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -90,7 +90,7 @@ class Rule:
 
 
 def measured(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n, cls, cls2, first): set size, class and first hashes of each row."""
+    """(doc_id, n, cls, cls2, first, row): set size, class, first hashes and a number of each row."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(t, rule.words) for t in batch["text"]]
@@ -99,18 +99,19 @@ def measured(docs: DataFrame, rule: Rule) -> DataFrame:
                                 "first": [s[:rule.first(len(s))].view(np.int64) for s in sets]})
 
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text")
-    return stored(keyed.mapInPandas(rows, "doc_id long, n long, cls long, cls2 long, first array<long>"), "jaccard-first")
+    sets = keyed.mapInPandas(rows, "doc_id long, n long, cls long, cls2 long, first array<long>")
+    return stored(sets.withColumn("row", F.monotonically_increasing_id()), "jaccard-first")
 
 
 def full_sets(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(cls, n, hashes) of the classes that share enough of their first hashes with others."""
-    first = sets.filter("n > 0").select("doc_id", "cls", "cls2", "n", F.explode("first").alias("hash"))
-    shared = first.groupBy("hash").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a <> b").select("hash")
-    open_ = (
-        first.join(shared, "hash").groupBy("doc_id", "cls", "cls2", "n").agg(F.count("*").alias("hits"))
-        .filter(F.col("hits") >= rule.least_shared(F.col("n")))
-        .groupBy("cls", "cls2").agg(F.min("doc_id").alias("doc_id"))
-    )
+    first = sets.select("row", F.explode("first").alias("hash"))
+    shared = first.groupBy("hash").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a <> b").select("hash")
+    hits = first.join(shared, "hash").groupBy("row").agg(F.count("*").alias("hits"))
+    open_ = stored(
+        sets.drop("first").join(hits, "row").filter(F.col("hits") >= rule.least_shared(F.col("n")))
+        .groupBy("cls", "cls2").agg(F.min("doc_id").alias("doc_id")), "jaccard-open")
+    may_be_open = bloom_filter(open_.select("doc_id"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -121,7 +122,7 @@ def full_sets(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                     out.append((cls, len(own), own.view(np.int64)))
             yield pd.DataFrame(out, columns=["cls", "n", "hashes"])
 
-    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text").filter(may_be_open(F.col("doc_id")))
     return stored(keyed.join(open_, "doc_id").select("text", "cls", "cls2").mapInPandas(rows, "cls long, n long, hashes array<long>"),
                   "jaccard-full")
 
@@ -217,7 +218,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     labels = placed.join(smallest, "component").join(degree, "node", "left").select(
         F.col("node").alias("cls"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     null_id = lambda c: F.when(c != LAST_ID, c)
-    return sets.drop("first", "cls2").join(labels, "cls", "left").select(
+    return sets.drop("first", "cls2", "row").join(labels, "cls", "left").select(
         null_id(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
         null_id(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
