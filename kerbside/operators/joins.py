@@ -9,7 +9,6 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 
 from kerbside.functions.rules import posted_limit_for
 from kerbside.operators.timeline import Timeline, micros, spread, union_all
-from kerbside.session import work_folder
 
 
 def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes", how: str = "left",
@@ -142,51 +141,49 @@ def haversine(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     return F.lit(2 * EARTH_METRES) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
-def _cells(frame: DataFrame, size: float, around: int) -> DataFrame:
-    x, y = F.floor(F.col("latitude") / size), F.floor(F.col("longitude") / size)
-    if not around:
-        return frame.withColumns({"_x": x, "_y": y})
-    steps = F.array(*[F.lit(i) for i in range(-around, around + 1)])
-    return frame.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps)) \
-        .withColumns({"_x": x + F.col("_dx"), "_y": y + F.col("_dy")}).drop("_dx", "_dy")
+METRES_PER_DEGREE = 111_194.9
 
 
-def snap_to_road(places: DataFrame, roads: DataFrame, cell: float = 0.02, growth: int = 4,
+def _bands(latitude: Column, size: float) -> Column:
+    return F.floor((latitude + 90.0) / size)
+
+
+def _columns(band: Column, size: float) -> Column:
+    """Cells around the globe in a band of latitude: each at least ``size`` degrees of a great circle wide, all alike."""
+    edge = F.greatest(F.abs(band * size - 90.0), F.abs((band + 1) * size - 90.0))
+    width = F.cos(F.radians(F.least(edge, F.lit(90.0))))
+    return F.greatest(F.floor(360.0 * width / size), F.lit(1)).cast("bigint")
+
+
+def snap_to_road(places: DataFrame, roads: DataFrame, max_metres: float = 5_000.0,
                  rows_per_slice: int | None = None) -> DataFrame:
-    """Nearest road point of each distinct (latitude, longitude) in ``places``: ``placeId`` and ``distance_m``.
+    """Nearest road point at most ``max_metres`` away of each distinct (latitude, longitude) in ``places``: ``placeId`` and
+    ``distance_m``. A place without one is left out.
 
     Copies collapse first on both sides: equal places are looked up once, of road points at one spot the smallest
-    ``placeId`` counts. Places look into the 3x3 grid cells around them; candidates are reduced to the nearest inside
-    the joining task, before any shuffle. A place whose nearest candidate is farther than those cells guarantee goes on
-    to cells ``growth`` times larger, until the cells span the globe, so the result is exact. Each round is written below
-    ``spark.checkpoint.dir``: the plan stays one round long, and mostly there are one or two.
+    ``placeId`` counts. The globe is cut into bands of latitude and each band into cells, both at least ``max_metres`` wide, and
+    cell numbers run on across the date line; so the 3x3 cells around a place hold all there is to find, in one join.
+    Candidates are reduced to the nearest inside the joining task; a cell with very many places is salted, one with very
+    many roads is split by adaptive execution.
     """
-    spark = places.sparkSession
-    folder = work_folder(spark, "snap")
-    todo = places.select("latitude", "longitude").where("latitude IS NOT NULL AND longitude IS NOT NULL").distinct()
-    spots = roads.groupBy("latitude", "longitude").agg(F.min("placeId").alias("placeId"))
-    done, size, number = [], cell, 0
-    while True:
-        whole = size >= 360.0
-        near = _cells(todo, size, 1)
-        grid = _cells(spots, size, 0).withColumnsRenamed({"latitude": "_rlat", "longitude": "_rlng"})
-        left, right, keys = spread(near, grid, ["_x", "_y"], ["latitude", "longitude"], rows_per_slice)
-        metres = haversine(F.col("latitude"), F.col("longitude"), F.col("_rlat"), F.col("_rlng"))
-        candidate = F.struct(metres.alias("distance_m"), "placeId", F.col("_rlat").alias("road_latitude"),
-                             F.col("_rlng").alias("road_longitude"))
-        best = left.join(right, keys, "left").groupBy("latitude", "longitude").agg(
-            F.min(F.when(F.col("placeId").isNotNull(), candidate)).alias("_best")
-        )
-        # anything outside the 3x3 block is at least one cell away in latitude or longitude; near the date line the other
-        # side counts too, and only the last round sees it
-        north = F.lit(size * 111_194.9)
-        east = north * F.cos(F.radians(F.least(F.abs("latitude") + 2 * size, F.lit(90.0))))
-        settled = (F.col("_best.distance_m") <= F.least(north, east) * 0.999) & (F.abs("longitude") + 2 * size <= 180)
-        round_folder = f"{folder}/round-{number}"
-        best.withColumn("_settled", F.lit(True) if whole else F.coalesce(settled, F.lit(False))).write.parquet(round_folder)
-        found = spark.read.parquet(round_folder)
-        done.append(found.where("_settled AND _best IS NOT NULL"))
-        todo = found.where("NOT _settled").select("latitude", "longitude")
-        if whole or todo.isEmpty():
-            return union_all(done).select("latitude", "longitude", "_best.*")
-        size, number = size * growth, number + 1
+    size = max_metres * 1.001 / METRES_PER_DEGREE
+    located = "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180"
+    todo = places.select("latitude", "longitude").where(located).distinct()
+    spots = roads.where(located).groupBy("latitude", "longitude").agg(F.min("placeId").alias("placeId"))
+
+    def cell(band: Column) -> Column:
+        count = _columns(band, size)
+        return F.least(F.floor((F.col("longitude") + 180.0) / 360.0 * count), count - 1)
+
+    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    near = todo.withColumn("_y", F.explode(F.transform(steps, lambda d: _bands(F.col("latitude"), size) + d)))
+    around = F.array_distinct(F.transform(steps, lambda d: F.pmod(cell(F.col("_y")) + d, _columns(F.col("_y"), size))))
+    near = near.withColumn("_x", F.explode(around))
+    grid = spots.withColumn("_y", _bands(F.col("latitude"), size)).withColumn("_x", cell(F.col("_y"))) \
+        .withColumnsRenamed({"latitude": "_rlat", "longitude": "_rlng"})
+    left, right, keys = spread(near, grid, ["_y", "_x"], ["latitude", "longitude"], rows_per_slice)
+    metres = haversine(F.col("latitude"), F.col("longitude"), F.col("_rlat"), F.col("_rlng"))
+    candidate = F.struct(metres.alias("distance_m"), "placeId", F.col("_rlat").alias("road_latitude"),
+                         F.col("_rlng").alias("road_longitude"))
+    best = left.join(right, keys).where(metres <= max_metres).groupBy("latitude", "longitude").agg(F.min(candidate).alias("_best"))
+    return best.select("latitude", "longitude", "_best.*")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions.rules import posted_limit_for
-from kerbside.operators.cache import route_key
-from kerbside.operators.joins import lookup, snap_to_road
+from kerbside.operators.cache import TIME_TO_LIVE, cache_lookup, route_key
+from kerbside.operators.joins import lookup, snap_to_road, speed_limit_lookup
 from kerbside.operators.windows import count_windows
 
+CACHED_POINT = "location STRUCT<latitude: DOUBLE, longitude: DOUBLE>, place_id STRING, original_index INT"
+
 
 def snapped_routes(gps: DataFrame, roads: DataFrame, size: int = 3, per_device: bool = True,
                    rows_per_slice: int | None = None) -> DataFrame:
@@ -26,10 +28,31 @@ def snap_windows(windows: DataFrame, roads: DataFrame, rows_per_slice: int | Non
     return found.select("id", "deviceId", "event_time", "location", "placeId", "road_latitude", "road_longitude")
 
 
+def cached_or_snapped(windows: DataFrame, roads: DataFrame, writes: DataFrame, ttl: str = TIME_TO_LIVE,
+                      rows_per_slice: int | None = None) -> DataFrame:
+    """As ``snap_windows``, but a window whose last place has a live cache entry takes the point from there; only the others
+    are snapped. Adds ``cached``. ``writes`` are cache writes (``key``, ``value``, ``event_time``, ``id``)."""
+    place = F.col("location")
+    reads = windows.withColumn("key", route_key(F.get(place, F.lit(0)), F.get(place, F.lit(1))))
+    looked = cache_lookup(reads, writes, ttl, rows_per_slice)
+    kind = roads.schema["placeId"].dataType
+    point = F.from_json("value", CACHED_POINT)
+    hits = looked.where("value IS NOT NULL").withColumn("_p", point).select(
+        "id", "deviceId", "event_time", "location", F.col("_p.place_id").cast(kind).alias("placeId"),
+        F.col("_p.location.latitude").alias("road_latitude"), F.col("_p.location.longitude").alias("road_longitude"))
+    misses = snap_windows(looked.where("value IS NULL").drop("key", "value", "written_at"), roads, rows_per_slice)
+    return hits.withColumn("cached", F.lit(True)).unionByName(misses.withColumn("cached", F.lit(False)))
+
+
 def with_assigned_limit(routes: DataFrame) -> DataFrame:
     return routes.withColumn("SpeedLimit", posted_limit_for(F.col("placeId")))
 
 
+def with_limit(routes: DataFrame, posted: DataFrame | None = None) -> DataFrame:
+    """The place's posted limit (``placeId``, ``speedLimit``); one chosen by the place where none is posted."""
+    return with_assigned_limit(routes) if posted is None else speed_limit_lookup(routes, posted)
+
+
 def route_messages(routes: DataFrame) -> DataFrame:
     """What is published per route."""
     return routes.select(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from kerbside import schemas as s
 from kerbside.functions import rules, text
 from kerbside.operators import metrics as m, routes, state
-from kerbside.operators.cache import cache_write
+from kerbside.operators.cache import TIME_TO_LIVE
 from kerbside.operators.joins import interval_join
 from kerbside.sinks import writers
 from kerbside.sources import topics
@@ -23,18 +23,23 @@ ASSISTANT_TOPICS = [s.GPS_TOPIC, s.WEATHER_TOPIC, s.TRAFFIC_TOPIC, s.EMERGENCY_T
 
 @dataclass(frozen=True)
 class Topics:
-    """Where the topics are (``bootstrap`` servers, or a ``folder`` with one sub-folder per topic) and where checkpoints go."""
+    """Where the topics are (``bootstrap`` servers, or a ``folder`` with one sub-folder per topic) and where checkpoints go.
+
+    ``per_trigger`` bounds what a micro-batch reads, in messages or, from a folder, in files: the first one would else be the
+    whole backlog, and with it all a device has sent, in one call of a stateful operator.
+    """
 
     spark: SparkSession
     checkpoints: str
     bootstrap: str | None = None
     folder: str | None = None
+    per_trigger: int = 1_000_000
 
     def read(self, *names: str) -> DataFrame:
         if self.bootstrap:
-            return topics.read_topics(self.spark, names, bootstrap=self.bootstrap)
+            return topics.read_topics(self.spark, names, bootstrap=self.bootstrap, maxOffsetsPerTrigger=str(self.per_trigger))
         parts = ",".join(names)
-        return topics.read_topics(self.spark, names, path=f"{self.folder}/{{{parts}}}")
+        return topics.read_topics(self.spark, names, path=f"{self.folder}/{{{parts}}}", maxFilesPerTrigger=str(self.per_trigger))
 
     def write(self, rows: DataFrame, topic: str, key: str | None = None, fields: list[str] | None = None) -> DataStreamWriter:
         path = None if self.bootstrap else f"{self.folder}/{topic}"
@@ -65,20 +70,39 @@ def archive_job(at: Topics, folder: str) -> list[DataStreamWriter]:
     ]
 
 
-def routes_job(at: Topics, roads: DataFrame, out: str, size: int = 3) -> list[DataStreamWriter]:
-    """Every ``size`` valid fixes of a device -> nearest road with a limit, as route messages; the cache content of each
-    batch is written beside them. Output of a batch that runs again replaces its own."""
+def routes_job(at: Topics, roads: DataFrame, out: str, size: int = 3, posted: DataFrame | None = None,
+               ttl: str = TIME_TO_LIVE) -> list[DataStreamWriter]:
+    """Every ``size`` valid fixes of a device -> a road point with a limit, published as route messages.
+
+    The point comes from the cache below ``out`` if the place has a live entry written by an earlier batch, else from the
+    nearest road; what was snapped is cached. A batch that runs again sees the same entries and replaces its own. A second
+    query publishes the routes, a third keeps messages that are no valid fixes below ``out``, with the reason.
+    """
+    spark = at.spark
     checked = topics.validate_gps(at.read(s.GPS_TOPIC))
     fixes = topics.valid_gps(checked).where(topics.has_two_coordinates(F.col("location")))
     windows = stateful.count_windows_stream(fixes.withColumn("id", F.xxhash64("id")), size)
+    kinds = "key STRING, value STRING, event_time TIMESTAMP, id BIGINT"
+    sent = "deviceID STRING, placeId STRING, timestamp STRING, SpeedLimit DOUBLE"
+    for name, kind in (("cache", kinds), ("routes", sent)):  # so that there is something to read
+        spark.createDataFrame([], kind).write.mode("overwrite").parquet(f"{out}/{name}/batch_id=-1")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        snapped = routes.with_assigned_limit(routes.snap_windows(batch, roads))
-        writers.to_messages(routes.route_messages(snapped), "deviceID").withColumn("topic", F.lit(s.ROUTES_TOPIC)) \
-            .write.mode("overwrite").parquet(f"{out}/messages/batch_id={batch_id}")
-        cache_write(routes.cache_writes(snapped)).write.mode("overwrite").parquet(f"{out}/cache/batch_id={batch_id}")
-
-    return [windows.writeStream.foreachBatch(save).option("checkpointLocation", f"{at.checkpoints}/routes").queryName("routes")]
+        earlier = spark.read.schema(f"{kinds}, batch_id BIGINT").parquet(f"{out}/cache").where(F.col("batch_id") < batch_id).drop("batch_id")
+        found = routes.cached_or_snapped(batch, roads, earlier, ttl).persist()
+        messages = routes.route_messages(routes.with_limit(found, posted))
+        messages.write.mode("overwrite").parquet(f"{out}/routes/batch_id={batch_id}")
+        snapped = routes.cache_writes(found.where("NOT cached"))
+        newest = snapped.groupBy("key").agg(F.max(F.struct("event_time", "id", "value")).alias("w"))
+        newest.select("key", "w.value", "w.event_time", "w.id").write.mode("overwrite").parquet(f"{out}/cache/batch_id={batch_id}")
+        found.unpersist()
+
+    routed = windows.writeStream.foreachBatch(save).option("checkpointLocation", f"{at.checkpoints}/routes").queryName("routes")
+    table = spark.readStream.schema(f"{sent}, batch_id BIGINT").parquet(f"{out}/routes").drop("batch_id")
+    published = at.write(table, s.ROUTES_TOPIC, "deviceID")
+    rejected = topics.rejected_gps(checked).writeStream.format("parquet").option("path", f"{out}/rejected") \
+        .option("checkpointLocation", f"{at.checkpoints}/routes_rejected").queryName("routes_rejected")
+    return [routed, published, rejected]
 
 
 def advice_rows(log: DataFrame, gap: str = "2 seconds") -> DataFrame:

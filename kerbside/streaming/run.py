@@ -47,6 +47,30 @@ def run_available(spark: SparkSession, writer: DataStreamWriter, partitions: int
         raise failure
 
 
+def run_all(spark: SparkSession, writers: Sequence[DataStreamWriter], partitions: int | None = None, **trigger) -> None:
+    """Start several queries and keep them running until one ends; its failure ends the others and is raised.
+
+    Without a ``trigger`` they run on; with ``availableNow=True`` each works off what is there.
+    """
+    with state_settings(spark, partitions):
+        queries = [(w.trigger(**trigger) if trigger else w).start() for w in writers]
+    try:
+        while any(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+            for query in queries:
+                if not query.isActive and query.exception():
+                    raise query.exception()
+            if not trigger:
+                return
+        for query in queries:
+            if query.exception():
+                raise query.exception()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def closers(messages: DataFrame, after: str) -> DataFrame:
     """Valid records of an extra device, ``after`` the last message: they move the watermarks past every open window.
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kerbside import schemas as s
 from kerbside.plans import jobs
 from kerbside.sources import topics
-from kerbside.streaming.run import run_available
+from kerbside.operators import routes
+from kerbside.streaming.run import run_all, run_available
 
 START = datetime(2024, 1, 1, 12, 0, 20)
 
@@ -58,11 +59,11 @@ def done(spark, tmp_path_factory):
     go(jobs.alerts_job(at))
     go(jobs.archive_job(at, f"{root}/archive"))
     roads = spark.createDataFrame([(1, 51.5001, -0.1301), (2, 51.6, -0.2)], "placeId long, latitude double, longitude double")
-    go(jobs.routes_job(at, roads, f"{root}/routes"))
     publish([(s.GPS_TOPIC, f'{{"id": "c", "deviceId": "c", "timestamp": "{iso(2000)}", "speed": 50}}'),
              (s.ROUTES_TOPIC, f'{{"deviceId": "c", "timestamp": "{iso(2000)}", "SpeedLimit": 60}}')])
     go(jobs.metrics_job(at))
     go(jobs.evaluator_job(at))
+    go(jobs.routes_job(at, roads, f"{root}/routes"))  # last, as its limits would reach the metrics
     return root
 
 
@@ -84,10 +85,41 @@ def test_alerts(spark, done):
 
 
 def test_routes_and_cache(spark, done):
-    rows = spark.read.parquet(f"{done}/routes/messages").select(F.get_json_object("value", "$.placeId").alias("p"), "key")
+    sent = spark.read.schema("key string, value string").parquet(f"{done}/topics/{s.ROUTES_TOPIC}").where("key <> 'k'")
+    rows = sent.select(F.get_json_object("value", "$.placeId").alias("p"), "key")
     assert sorted((r["key"], r["p"]) for r in rows.collect()) == [("bmw", "1")] * 2 + [("lada", "1")] * 2
     [entry] = spark.read.parquet(f"{done}/routes/cache").select("key").distinct().collect()
     assert entry["key"] == "route:51.5:-0.13"
+    assert sorted(r["reject_reason"] for r in spark.read.parquet(f"{done}/routes/rejected").collect()) == ["direction", "malformed"]
+
+
+def test_cached_routes_are_not_snapped_again(spark):
+    at = lambda m: START + timedelta(minutes=m)
+    kinds = "id long, deviceId string, event_time timestamp, location array<double>, path array<array<double>>"
+    here, there = [51.5, -0.13], [51.7, -0.3]
+    windows = spark.createDataFrame([(1, "a", at(10), here, [there] * 3), (2, "b", at(90), here, [there] * 3), (3, "c", at(10), there, [here] * 3)], kinds)
+    roads = spark.createDataFrame([(1, 51.5001, -0.1301), (2, 51.7001, -0.3)], "placeId long, latitude double, longitude double")
+    first = spark.createDataFrame([(9, "z", at(0), here, [here] * 3)], kinds)
+    writes = routes.cache_writes(routes.snap_windows(first, roads))
+    got = {r["id"]: (r["placeId"], r["cached"]) for r in routes.cached_or_snapped(windows, roads, writes).collect()}
+    assert got == {1: (1, True), 2: (2, False), 3: (1, False)}  # the entry lives an hour
+    posted = spark.createDataFrame([(1, 33.0)], "placeId long, speedLimit double")
+    limits = {r["id"]: r["SpeedLimit"] for r in routes.with_limit(routes.snap_windows(windows, roads), posted).collect()}
+    assert limits[3] == 33.0 and limits[1] != 33.0
+
+
+def test_queries_run_together_until_one_fails(spark, done, tmp_path):
+    at = jobs.Topics(spark, str(tmp_path / "c"), folder=f"{done}/topics", per_trigger=1)
+    run_all(spark, jobs.archive_job(at, str(tmp_path / "a")), 1, availableNow=True)
+    assert spark.read.parquet(str(tmp_path / "a" / s.GPS_TOPIC)).count() == 13
+
+    def fail(batch, batch_id):
+        raise ValueError("no")
+
+    broken = at.read(s.GPS_TOPIC).writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "f"))
+    with pytest.raises(Exception, match="no"):
+        run_all(spark, [broken, *jobs.metrics_job(jobs.Topics(spark, str(tmp_path / "d"), folder=f"{done}/topics"))], 1)
+    assert not spark.streams.active
 
 
 def test_archive(spark, done):

@@ -273,10 +273,15 @@ def test_cache_lookup_with_hot_key(spark):
 
 
 def test_nearest_road_against_brute_force(spark):
+    """Also across the date line, near a pole and with roads too far away."""
     rng = random.Random(70)
-    places = [(51 + rng.random(), -1 + rng.random()) for _ in range(60)] + [(53.0, 2.0)]
+    places = [(51 + rng.random(), -1 + rng.random()) for _ in range(60)] + [(53.0, 2.0), (10.0, 180.0), (10.0, -180.0)]
+    places += [(-17 + rng.random() / 9, rng.choice([-1, 1]) * (180 - rng.random() / 20)) for _ in range(40)]
+    places += [(89.96 + rng.random() / 30, rng.uniform(-180, 180)) for _ in range(20)] + [(90.0, 5.0), (-90.0, 0.0)]
     roads = [(k, 51 + rng.random() * (0.05 if k % 2 else 1), -1 + rng.random()) for k in range(300)]
-    p = spark.createDataFrame(places * 3, "latitude double, longitude double")
+    roads += [(400 + k, -17 + rng.random() / 9, rng.choice([-1, 1]) * (180 - rng.random() / 20)) for k in range(60)]
+    roads += [(500 + k, 89.96 + rng.random() / 30, rng.uniform(-180, 180)) for k in range(30)]
+    p = spark.createDataFrame(places * 3 + [(None, 1.0), (95.0, 1.0)], "latitude double, longitude double")
     r = spark.createDataFrame(roads + [(k + 1000, a, b) for k, a, b in roads[:50]], "placeId long, latitude double, longitude double")
 
     def metres(a, b):
@@ -284,10 +289,9 @@ def test_nearest_road_against_brute_force(spark):
         h = np.sin((lb - la) / 2) ** 2 + np.cos(la) * np.cos(lb) * np.sin((ln - lo) / 2) ** 2
         return 2 * joins.EARTH_METRES * np.arcsin(np.sqrt(h))
 
-    for bound in (None, SLICE):
-        if bound:
-            p = p.where("latitude < 53")  # the far place needs every round; once is enough
-            places = places[:-1]
-        want = {q: min(roads, key=lambda x: metres(q, x[1:]))[0] for q in places}
-        got = {(x["latitude"], x["longitude"]): x["placeId"] for x in joins.snap_to_road(p, r, rows_per_slice=bound).collect()}
+    for bound, most in ((None, 5000.0), (SLICE, 800.0)):
+        near = {q: min((metres(q, x[1:]), x[0]) for x in roads) for q in places}
+        want = {q: k for q, (d, k) in near.items() if d <= most}
+        assert 20 < len(want) < len(near)
+        got = {(x["latitude"], x["longitude"]): x["placeId"] for x in joins.snap_to_road(p, r, most, bound).collect()}
         assert got == want

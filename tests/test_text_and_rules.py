@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import rules, text
 from kerbside.operators import metrics as m
-from kerbside.operators.retrieval import CHUNK_OVERLAP, CHUNK_SIZE, cut_points
+from kerbside.operators.retrieval import CHUNK_OVERLAP, CHUNK_SIZE, recursive_chunks
 from kerbside.schemas import POSTED_LIMITS, WEATHER_LABELS
 
 
@@ -112,10 +112,34 @@ def test_labels_and_limits(spark):
     assert value(spark, rules.posted_limit_for(F.lit("ChIJ"))) in POSTED_LIMITS
 
 
-def test_cut_points_cover_the_text_and_respect_the_bounds():
-    words = "word " * 700 + "\n\n" + "x" * 2500 + "\nline " * 300
-    for body in (words, "", "short", "y" * 800, "y" * 801, "a b" * 600):
-        spans = cut_points(body, CHUNK_SIZE, CHUNK_OVERLAP)
-        assert "".join(body[max(a, spans[i - 1][1] if i else 0):b] for i, (a, b) in enumerate(spans)) == body
-        assert all(0 < b - a <= CHUNK_SIZE for a, b in spans)
-        assert all(prev[1] - CHUNK_OVERLAP <= nxt[0] <= prev[1] for prev, nxt in zip(spans, spans[1:]))
+def test_recursive_chunks_cut_at_the_best_places():
+    paragraphs = ["word " * 100 + f"end{i}" for i in range(6)]
+    chunks = recursive_chunks("\n\n".join(paragraphs), CHUNK_SIZE, CHUNK_OVERLAP)
+    assert chunks == [p.strip() for p in paragraphs]  # two do not fit, and none is short enough to be kept over
+    numbers = lambda sep, n: sep.join(f"{i:05d}" for i in range(n))
+    body = numbers(" ", 700) + "\n\n" + numbers("", 500) + "\n" + numbers("\nline ", 300)
+    for whole in (body, "", "short", "y" * 800, numbers("", 161), numbers("b ", 600), " \n\n "):
+        chunks = recursive_chunks(whole, CHUNK_SIZE, CHUNK_OVERLAP)
+        assert all(0 < len(c) <= CHUNK_SIZE and c == c.strip() for c in chunks)
+        at = 0
+        for chunk in chunks:  # in order, with nothing but blanks left out
+            start = whole.index(chunk, max(0, at - CHUNK_OVERLAP - 2))
+            assert not whole[at:start].strip()
+            at = max(at, start + len(chunk))
+        assert not whole[at:].strip()
+    words = recursive_chunks(numbers(" ", 700), CHUNK_SIZE, CHUNK_OVERLAP)
+    assert all(a.endswith(b[:95]) for a, b in zip(words, words[1:]))  # an overlap of whole words
+
+
+def test_snapping_answers(spark):
+    point = '{"location": {"latitude": 1.5, "longitude": 2.5}, "placeId": "p", "originalIndex": 0}'
+    for answer in (f'{{"snappedPoints": [{point}, {point}]}}', f'[{point}]'):
+        assert value(spark, text.first_snapped_point(F.lit(answer)))["placeId"] == "p"
+    for answer in ('{"snappedPoints": []}', "{}", "[]", "no answer"):
+        assert value(spark, text.first_snapped_point(F.lit(answer))) is None
+
+
+def test_a_single_evaluation_object_is_no_list(spark):
+    rows = spark.createDataFrame([('{"index": 0, "rating": 5}',), ('[{"index": 0, "rating": 5}]',)], "answer string").withColumn(
+        "batch", F.array(F.struct(F.lit("d").alias("deviceId"), F.lit("p").alias("period"))))
+    assert [r["rating"] for r in text.parse_evaluations(rows, "answer", "batch").collect()] == [5]
