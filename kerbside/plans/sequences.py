@@ -111,6 +111,24 @@ def route_cache_write(spark: SparkSession, sf_dir: str) -> DataFrame:
                        iso_time(F.col("written_at")).alias("written_at"), iso_time(F.col("expires_at")).alias("expires_at"))
 
 
+@query("route_cache_misses_snapped", using("routes", """, mid AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS at FROM routes),
+    w AS (SELECT 'route:' || lats[3] || ':' || lngs[3] AS key, ts AS written, place FROM routes, mid WHERE epoch_us(ts) < mid.at
+      QUALIFY row_number() OVER (PARTITION BY key, ts ORDER BY id DESC) = 1),
+    r AS (SELECT id, 'route:' || lats[3] || ':' || lngs[3] AS key, ts, place FROM routes, mid WHERE epoch_us(ts) >= mid.at),
+    f AS (SELECT r.id, r.place, CASE WHEN r.ts < w.written + INTERVAL 5 DAY THEN w.place END AS held
+      FROM r ASOF LEFT JOIN w ON r.key = w.key AND r.ts >= w.written)
+    SELECT id, coalesce(held, place) AS "placeId", held IS NOT NULL AS cached FROM f"""))
+def route_cache_misses_snapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the first half of the time fill the cache; those of the second look there first and snap the rest."""
+    every = windows.count_windows(ev.gps(spark, sf_dir))
+    roads = ev.road_points(spark, sf_dir)
+    placed = routes.snap_windows(every, roads)
+    first, last = placed.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
+    early = F.unix_micros("event_time") < ((first or 0) + (last or 0)) // 2
+    found = routes.cached_or_snapped(every.where(~early), roads, routes.cache_writes(placed.where(early)), "5 days")
+    return found.select("id", "placeId", "cached")
+
+
 def cache_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     key = F.concat(F.lit("route:"), F.col("id") % 97)
     reads = ev.gps(spark, sf_dir).select(key.alias("key"), "id", "event_time")

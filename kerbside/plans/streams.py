@@ -100,8 +100,9 @@ def stream_trip_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def halves(log: DataFrame) -> list[DataFrame]:
-    """Two stages in time order, split at noon of the 15th: state has to survive the restart between them."""
-    middle = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    """Two stages in time order, split half-way between the first and the last message: state has to survive the restart."""
+    first, last = log.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
+    middle = F.timestamp_micros(F.lit(((first or 0) + (last or 0)) // 2))
     return [log.where(F.col("timestamp") < middle), log.where(F.col("timestamp") >= middle)]
 
 
@@ -129,6 +130,17 @@ def stream_alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("id", "deviceId", "action", "target_speed", "suppressed")
 
 
+@query("stream_alerts_sink", using("alerts", f"""SELECT "deviceId" AS key, "deviceId", d.action, d.target_speed, a.reason
+    FROM ({DEDUPE_SQL}) d JOIN alerts a ON d.id = a.id WHERE NOT d.suppressed"""))
+def stream_alerts_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the alert topic gets: the whole advice, reason and all, unless it is a near-duplicate."""
+    log = ev.alert_messages(spark, sf_dir)
+    fields = ["deviceId", "action", "target_speed", "reason"]
+    done = run.replay(spark, "alerts-sink", halves(log), lambda x: writers.to_messages(
+        stateful.alert_dedupe_stream(numbered_alerts(x)).where(~F.col("suppressed")), "deviceId", fields))
+    return done.select("key", F.from_json("value", s.MESSAGES[s.ALERTS_TOPIC]).alias("a")).select("key", *[f"a.{c}" for c in fields])
+
+
 @query("stream_route_count_window", using("windows", """SELECT window_no, device AS "deviceId", id, array_to_string(ids, ',') AS fix_ids FROM windows"""))
 def stream_route_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = ev.gps_messages(spark, sf_dir)
@@ -198,6 +210,24 @@ for _topic, _columns in TOPIC_COLUMNS.items():
 _register_archive(s.GPS_TOPIC, "gps", ["speed", "direction", "vehicle_type"], "speed, 'North-East' AS direction, 'private' AS vehicle_type")
 
 
+ARCHIVED = {s.VEHICLE_TOPIC: "vehicles", s.GPS_TOPIC: "gps", s.TRAFFIC_TOPIC: "traffic", s.WEATHER_TOPIC: "weather", s.EMERGENCY_TOPIC: "emergency"}
+
+
+@query("archive_all", using(" ".join(ARCHIVED.values()), " UNION ALL ".join(
+    f"SELECT '{t}' AS topic, strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS messages FROM {v} GROUP BY ALL" for t, v in ARCHIVED.items())))
+def archive_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five archive queries running at the same time, from topics in a folder."""
+    folder = work_folder(spark, "archive-all")
+    for topic in ARCHIVED:
+        ev.MESSAGES[topic](spark, sf_dir).write.parquet(f"{folder}/topics/{topic}")
+    at = jobs.Topics(spark, f"{folder}/checkpoints", folder=f"{folder}/topics")
+    run.run_all(spark, jobs.archive_job(at, f"{folder}/archive"), availableNow=True)
+    return union_all([
+        spark.read.parquet(f"{folder}/archive/{topic}").groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("event_date"))
+        .agg(F.count(F.lit(1)).alias("messages")).select(F.lit(topic).alias("topic"), "event_date", "messages") for topic in ARCHIVED
+    ])
+
+
 def _stream_advice_sql() -> str:
     latest = ", ".join(
         f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in "speed lim label kind status auto_braking abs_system traction".split()
