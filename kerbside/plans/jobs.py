@@ -18,6 +18,9 @@ from kerbside.streaming import stateful
 
 #: Advice before near-duplicates are dropped; the second half of the assistant reads it.
 ADVICE_TOPIC = "driver_advice"
+#: A device silent for so long starts afresh, so that state does not grow with every device there ever was; and how late
+#: a message may be.
+FORGET, LATE = "30 days", "1 day"
 ASSISTANT_TOPICS = [s.GPS_TOPIC, s.WEATHER_TOPIC, s.TRAFFIC_TOPIC, s.EMERGENCY_TOPIC, s.ROUTES_TOPIC, s.VEHICLE_TOPIC]
 
 
@@ -81,7 +84,7 @@ def routes_job(at: Topics, roads: DataFrame, out: str, size: int = 3, posted: Da
     spark = at.spark
     checked = topics.validate_gps(at.read(s.GPS_TOPIC))
     fixes = topics.valid_gps(checked).where(topics.has_two_coordinates(F.col("location")))
-    windows = stateful.count_windows_stream(fixes.withColumn("id", F.xxhash64("id")), size)
+    windows = stateful.count_windows_stream(fixes.withColumn("id", F.xxhash64("id")).withWatermark("event_time", LATE), size, FORGET)
     kinds = "key STRING, value STRING, event_time TIMESTAMP, id BIGINT"
     sent = "deviceID STRING, placeId STRING, timestamp STRING, SpeedLimit DOUBLE"
     for name, kind in (("cache", kinds), ("routes", sent)):  # so that there is something to read
@@ -108,8 +111,8 @@ def routes_job(at: Topics, roads: DataFrame, out: str, size: int = 3, posted: Da
 def advice_rows(log: DataFrame, gap: str = "2 seconds") -> DataFrame:
     """Messages of all topics -> device state -> throttle -> advice, with the request text a model would get."""
     messages = topics.multi_topic_stream(log, ASSISTANT_TOPICS).where("event_time IS NOT NULL")
-    named = messages.withColumn("id", F.coalesce("id", F.lit("")))
-    known = stateful.state_stream(named, state.STATE_TYPES, gap)
+    named = messages.withColumn("id", F.coalesce("id", F.lit(""))).withWatermark("event_time", LATE)
+    known = stateful.state_stream(named, state.STATE_TYPES, gap, FORGET)
     road = rules.road_condition(F.col("weatherCondition"))
     abilities = [F.col(c) for c in ("auto_braking_supported", "abs_supported", "traction_control_supported")]
     advice = rules.rule_advice(F.col("speed"), F.col("SpeedLimit"), F.col("weatherCondition"), road,
@@ -131,7 +134,7 @@ def alerts_job(at: Topics) -> list[DataStreamWriter]:
     """Advice that is no near-duplicate of the device's last four."""
     log = at.read(ADVICE_TOPIC).withColumn("id", F.xxhash64("value"))
     rows = topics.good(topics.parse_messages(log, s.MESSAGES[s.ALERTS_TOPIC], keep=["id"]))
-    done = stateful.alert_dedupe_stream(rows).where(~F.col("suppressed")).withColumn("ts", F.unix_millis("event_time"))
+    done = stateful.alert_dedupe_stream(rows.withWatermark("event_time", LATE), forget=FORGET).where(~F.col("suppressed")).withColumn("ts", F.unix_millis("event_time"))
     return [at.write(done, s.ALERTS_TOPIC, "deviceId", ["deviceId", "action", "target_speed", "reason", "ts"])]
 
 

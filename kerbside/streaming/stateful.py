@@ -28,14 +28,35 @@ def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return batch.iloc[np.lexsort((batch["id"].to_numpy(), batch["at_us"].to_numpy()))]
 
 
+def forgetful(step: Step, forget: str | None) -> tuple[Step, str]:
+    """``step`` that drops the state of a key once the watermark, which its rows must carry, is ``forget`` past the key's
+    newest row; and the timeout to run it with. Without ``forget`` state stays, as in the batch twins."""
+    if not forget:
+        return step, GroupStateTimeout.NoTimeout
+    wait = micros(forget) // 1000
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = list(parts)
+        newest = max(int(p["at_us"].max()) for p in held) // 1000
+        yield from step(key, iter(held), state)
+        state.setTimeoutTimestamp(max(newest + wait, state.getCurrentWatermarkMs() + 1))
+
+    return run, GroupStateTimeout.EventTimeTimeout
+
+
 def _keyed(rows: DataFrame, key: str, step: Step, columns: list[str], added: str, state: str,
-           timeout: str = GroupStateTimeout.NoTimeout) -> DataFrame:
+           timeout: str = GroupStateTimeout.NoTimeout, forget: str | None = None) -> DataFrame:
+    if forget:
+        step, timeout = forgetful(step, forget)
     sent = rows.select(*columns, F.unix_micros("event_time").alias("at_us"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields if f.name != "at_us")
     return sent.groupBy(key).applyInPandasWithState(step, f"{kinds}, {added}", state, "append", timeout)
 
 
-def throttle_stream(rows: DataFrame, gap: str = "2 seconds") -> DataFrame:
+def throttle_stream(rows: DataFrame, gap: str = "2 seconds", forget: str | None = None) -> DataFrame:
     """Stream twin of ``throttle``: needs ``id``, ``deviceId``, ``event_time``."""
     gap_us = micros(gap)
 
@@ -45,10 +66,10 @@ def throttle_stream(rows: DataFrame, gap: str = "2 seconds") -> DataFrame:
         state.update((last,))
         yield batch.drop(columns="at_us").assign(emitted=flags)
 
-    return _keyed(rows, "deviceId", step, ["id", "deviceId", "event_time"], "emitted boolean", "last_emission long")
+    return _keyed(rows, "deviceId", step, ["id", "deviceId", "event_time"], "emitted boolean", "last_emission long", forget=forget)
 
 
-def state_stream(messages: DataFrame, fields: dict[str, str], gap: str | None = None) -> DataFrame:
+def state_stream(messages: DataFrame, fields: dict[str, str], gap: str | None = None, forget: str | None = None) -> DataFrame:
     """Stream twin of ``device_state``: each message with the device's state after it (``fields``: name -> SQL type).
 
     With ``gap`` only messages that pass the throttle come out; the others still update the state. Messages need ``id``,
@@ -79,9 +100,8 @@ def state_stream(messages: DataFrame, fields: dict[str, str], gap: str | None =
     sent = messages.select(*columns, *names, F.unix_micros("event_time").alias("at_us"))
     ids = sent.schema["id"].dataType.simpleString()
     out = f"id {ids}, topic string, deviceId string, event_time timestamp, {kinds}"
-    return sent.groupBy("deviceId").applyInPandasWithState(
-        step, out, f"last_emission long, {kinds}", "append", GroupStateTimeout.NoTimeout
-    )
+    step, timeout = forgetful(step, forget)
+    return sent.groupBy("deviceId").applyInPandasWithState(step, out, f"last_emission long, {kinds}", "append", timeout)
 
 
 def _plain(value):
@@ -91,7 +111,8 @@ def _plain(value):
     return value.item() if isinstance(value, np.generic) else value
 
 
-def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: int = LOOK_BACK) -> DataFrame:
+def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_back: int = LOOK_BACK,
+                        forget: str | None = None) -> DataFrame:
     """Stream twin of ``alert_dedupe``; alerts need an ``id``, further columns come out as they went in."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -107,12 +128,13 @@ def alert_dedupe_stream(alerts: DataFrame, within: float = SIMILAR_WITHIN, look_
         yield batch.drop(columns="at_us").assign(suppressed=similar[len(known_actions):])
 
     columns = ["id", "deviceId", "event_time", "action", "target_speed", *[c for c in ("reason",) if c in alerts.columns]]
-    return _keyed(alerts, "deviceId", step, columns, "suppressed boolean", "actions array<string>, targets array<double>")
+    return _keyed(alerts, "deviceId", step, columns, "suppressed boolean", "actions array<string>, targets array<double>",
+                  forget=forget)
 
 
-def count_windows_stream(gps: DataFrame, size: int = 3) -> DataFrame:
+def count_windows_stream(gps: DataFrame, size: int = 3, forget: str | None = None) -> DataFrame:
     """Stream twin of ``count_windows`` per device; fixes need a whole-number ``id``. A window that is not full yet waits
-    in the state, across restarts too."""
+    in the state, across restarts too, until the device is forgotten."""
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         batch = _in_order(parts)
@@ -137,7 +159,7 @@ def count_windows_stream(gps: DataFrame, size: int = 3) -> DataFrame:
     columns = ["id", "deviceId", "event_time", "location"]
     added = "window_no long, fix_ids array<bigint>, path array<array<double>>"
     held = "next_window long, ids array<bigint>, places array<array<double>>, times array<bigint>"
-    return _keyed(gps, "deviceId", step, columns, added, held)
+    return _keyed(gps, "deviceId", step, columns, added, held, forget=forget)
 
 
 def cache_write_stream(writes: DataFrame, ttl: str = TIME_TO_LIVE) -> DataFrame:

@@ -194,3 +194,21 @@ def test_taps_tag_and_count(spark):
     seen = Observation("gps")
     rows = writers.counted(writers.tap(gps(spark, (0, 1), (1, 2)), "GPS RAW"), seen)
     assert {r["DEBUG_TAG"] for r in rows.collect()} == {"GPS RAW"} and seen.get == {"rows": 2}
+
+
+def test_silent_devices_are_forgotten(spark, tmp_path):
+    """Once the watermark is well past a device's last message its state goes, and it starts afresh."""
+    kinds = "id long, deviceId string, event_time timestamp"
+    start = datetime(2024, 1, 1)
+
+    def send(*rows):
+        spark.createDataFrame([(i, d, start + timedelta(seconds=t)) for i, d, t in rows], kinds).write.mode("append").parquet(str(tmp_path / "in"))
+        log = spark.readStream.schema(kinds).parquet(str(tmp_path / "in")).withWatermark("event_time", "1 second")
+        out = stateful.throttle_stream(log, "2 hours", "1 minute").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        run.run_available(spark, out.option("checkpointLocation", str(tmp_path / "c")), 1)
+
+    send((1, "a", 0), (2, "a", 1), (3, "b", 2))
+    send((4, "b", 3600))  # the watermark passes the end of "a"
+    send((5, "a", 3601), (6, "b", 3602))
+    got = {r["id"]: r["emitted"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: False, 5: True, 6: False}
