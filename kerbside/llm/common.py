@@ -69,9 +69,10 @@ def bloom_filter(ids: DataFrame, bits: int = 1 << 24) -> Callable[[Column], Colu
     """
     name, seeds = ids.columns[0], (1, 2, 3)
     places = F.array(*[F.pmod(F.xxhash64(F.lit(s), F.col(name)), F.lit(bits)) for s in seeds])
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))
     words = (
         ids.select(F.explode(places).alias("p"))
-        .groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("mask"))
+        .groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(mask).alias("mask"))
     )
     table = np.zeros(bits >> 6, np.int64)
     for r in words.toLocalIterator():  # at most bits / 64 rows

@@ -14,13 +14,15 @@ with equal sets are one class. Two sets link when 100 * |intersection| >= ``perc
    with the members' smallest and largest size and largest partner. A class asks the groups larger than its own through its
    prefix; hits plus what lies beyond the prefix bound the overlap, and only groups that
    can reach the threshold are opened.
-5. Members of opened groups that share a prefix hash and fit in size are verified on the full sets.
+5. Members of opened groups that fit in size, and whose prefix has enough in common with the asking one for the
+   threshold still to be in reach, are verified on the full sets.
 
 Links inside a group need no further look, links between groups are all found, so the components are exact
 up to collisions of 64-bit hashes.
 
-Edge cases: null, empty and blank texts have no set and stay alone; rows with equal ids are separate and share the id; a null id sorts after all others; ties go to the smaller id; an empty table gives an empty
-result; further columns are ignored.
+Edge cases: null, empty and blank texts have no set and stay alone; rows with equal ids are separate and share the
+id; a null id sorts after all others; ties go to the smaller id; an empty table gives an empty result; further
+columns are ignored.
 
 Scale: what is shuffled are first hashes of all sets, then the texts still in question (a Bloom filter of fixed size
 holds the others back), then full sets of their classes. Counts are combined before their shuffle; joins on a hash that many classes
@@ -135,11 +137,13 @@ def profiles(full: DataFrame, rule: Rule) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("shared"),
         F.min(F.xxhash64(F.lit(1), "hash")).alias("key0"), F.min(F.xxhash64(F.lit(2), "hash")).alias("key1"))
     size = F.size("shared").cast("long")
+    unique = F.col("n") - size
+    prefix = F.slice("shared", 1, (rule.miss_column(F.col("n")) + 1 - unique).cast("int"))
     return stored(
         per_class.filter(100 * size >= rule.percent * F.col("n")).select(
             "cls", "n", size.alias("s"), "key0", "key1",
             (F.floor(size * (100 + rule.percent) / rule.percent) - F.col("n")).alias("cap"),
-            F.transform(F.slice("shared", 1, (rule.miss_column(F.col("n")) + 1 - F.col("n") + size).cast("int")), lambda x: x["hash"]).alias("prefix")),
+            F.transform(prefix, lambda x: x["hash"]).alias("prefix")),
         "jaccard-profiles")
 
 
@@ -173,8 +177,8 @@ def matrix_links(found: DataFrame, groups: DataFrame, full: DataFrame, rule: Rul
         .join(sizes.withColumnRenamed("component", "grp"), "grp", "left")
         .withColumn("members", F.coalesce("members", F.lit(1)))
     )
-    cells_of = stored(placed.select("cls", "grp", "members", "n", "cap", "s", F.size("prefix").alias("p"), F.explode("prefix").alias("hash")),
-                      "jaccard-prefixes")
+    placed = stored(placed.select("cls", "grp", "members", "n", "cap", "s", F.size("prefix").alias("p"), "prefix"), "jaccard-placed")
+    cells_of = placed.select("cls", "grp", "members", "n", "cap", "s", "p", F.explode("prefix").alias("hash"))
     matrix = cells_of.groupBy("hash", "grp").agg(
         F.first("members").alias("g_members"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("cap").alias("g_cap"))
     asked = (
@@ -188,12 +192,18 @@ def matrix_links(found: DataFrame, groups: DataFrame, full: DataFrame, rule: Rul
         asked.groupBy("q.cls", "g.grp", "q.n", "q.s", "q.p").agg(F.count("*").alias("hits"), F.min("g.low").alias("low"))
         .filter(F.col("hits") + F.col("s") - F.col("p") >= needed).select("cls", "grp")
     )
-    asking = cells_of.select("cls", "n", "cap", "hash").join(opened, "cls")
+    # of two prefixes the one that ends first in the common order holds all common hashes up to its end; what
+    # lies beyond it in that set bounds the rest
+    asking = placed.join(opened.withColumnRenamed("grp", "target"), "cls")
+    rest = F.greatest(F.col("q.s") - F.col("q.p"), F.col("x.s") - F.col("x.p"))
+    least = F.ceil(rule.percent * (F.col("q.n") + F.col("x.n")) / (100 + rule.percent))
     pairs = (
-        asking.alias("q").join(cells_of.alias("x"), (F.col("q.hash") == F.col("x.hash")) & (F.col("q.grp") == F.col("x.grp")))
-        .filter("x.n <= q.cap and q.n <= x.cap")
-        .filter((100 * F.col("x.n") >= rule.percent * F.col("q.n")) & (100 * F.col("q.n") >= rule.percent * F.col("x.n")))
-        .select(F.col("q.cls").alias("a"), F.col("x.cls").alias("b")).distinct()
+        asking.alias("q").join(
+            placed.alias("x"),
+            (F.col("q.target") == F.col("x.grp")) & F.expr("x.n <= q.cap and q.n <= x.cap")
+            & (100 * F.col("x.n") >= rule.percent * F.col("q.n")) & (100 * F.col("q.n") >= rule.percent * F.col("x.n"))
+            & (F.size(F.array_intersect("q.prefix", "x.prefix")) >= F.greatest(least - rest, F.lit(1))))
+        .select(F.col("q.cls").alias("a"), F.col("x.cls").alias("b"))
     )
     return verified(pairs, full, rule, "jaccard-matrix-links")
 

@@ -244,7 +244,8 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
                 edges = [0, *(x for span in own for x in span), len(data)]
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 spans.append([{"start": a, "stop": b} for a, b in own])
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(x) for x in batch["bytes"]], "removed": spans, "kept": kept})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(x) for x in batch["bytes"]],
+                                "removed": spans, "kept": kept})
 
     return rows.join(removed, ROW, "left").select("doc_id", "bytes", "starts", "stops").mapInPandas(
         cut, "doc_id long, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary")
