@@ -160,7 +160,7 @@ def joined(spans: list) -> list[list[int]]:
     return out
 
 
-def shared_strings(counted: DataFrame, length: int, group: int) -> DataFrame:
+def shared_strings(counted: DataFrame, length: int, gram: int, group: int) -> DataFrame:
     """(gram, hi, lo, smallest, largest): start distances before the anchor of strings that occur again.
 
     ``counted`` has a context once per stretch of a task that holds it.
@@ -181,7 +181,7 @@ def shared_strings(counted: DataFrame, length: int, group: int) -> DataFrame:
             data = np.frombuffer(b"".join(held["context"].iloc[mixed_]), np.uint8)
             begin = np.r_[0, np.cumsum(size[mixed_])[:-1]]
             smallest[mixed_], largest[mixed_] = Suffixes(
-                data, begin + left[mixed_], left[mixed_], (size - left)[mixed_], number[mixed_]).shared(length)
+                data, begin + left[mixed_], left[mixed_], (size - left)[mixed_], number[mixed_], gram).shared(length)
         alike = (n > 1) & (size >= length)  # the whole context occurs again
         smallest = np.where(alike, np.maximum(0, length - (size - left)), smallest)
         largest = np.where(alike, left, largest)
@@ -228,7 +228,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
     rows = rows_of(docs)
     found = contexts(rows, repeated_grams(rows, length, gram), length, gram)
     members = found.filter("place is not null")
-    shared = shared_strings(found.filter("context is not null").select(*CONTEXT, "n", "left", "context"), length, group)
+    shared = shared_strings(found.filter("context is not null").select(*CONTEXT, "n", "left", "context"), length, gram, group)
     removed = (
         members.select(*ROW, "place", *CONTEXT).join(shared, CONTEXT)
         .select(*ROW, (F.col("place") - F.col("largest")).alias("start"), (F.col("place") - F.col("smallest") + length).alias("stop"))

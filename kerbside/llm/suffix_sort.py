@@ -13,6 +13,7 @@ from kerbside.llm.cuckoo import mixed
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+REFINEMENTS = 3
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -38,9 +39,11 @@ class Hashes:
 class Suffixes:
     """Contexts around places of ``data``: ``right[i]`` bytes from place i on and ``left[i]`` before it."""
 
-    def __init__(self, data: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray,
+                 known: int = 0) -> None:
+        """Groups ascend; the first ``known`` bytes to the right are the same in a group."""
         self.hashes, self.data = Hashes(data), data
-        self.place, self.left, self.right, self.group = place, left, right, group  # groups ascend
+        self.place, self.left, self.right, self.group, self.known = place, left, right, group, known
 
     def extension(self, i: np.ndarray, j: np.ndarray, forward: bool) -> np.ndarray:
         """Common bytes of contexts i and j, found by binary search over hashes."""
@@ -63,13 +66,51 @@ class Suffixes:
         a, b = self.data[np.clip(self.place[i] + step, 0, last)], self.data[np.clip(self.place[j] + step, 0, last)]
         return np.where(ended_j, False, np.where(ended_i, True, a < b))
 
+    def bytes_after(self, which: np.ndarray, skipped: np.ndarray, forward: bool) -> np.ndarray:
+        """Eight bytes of each context's side after the skipped ones as one number; zeros follow its end."""
+        size = (self.right if forward else self.left)[which] - skipped
+        step = np.arange(8)
+        at = (self.place[which] + skipped)[:, None] + step if forward else (self.place[which] - 1 - skipped)[:, None] - step
+        found = self.data[np.clip(at, 0, len(self.data) - 1)]
+        return np.where(step < size[:, None], found, 0).astype(np.uint8).view(">u8").reshape(-1).astype(np.uint64)
+
     def sorted(self, forward: bool) -> np.ndarray:
-        """Contexts in order within each group, by a mergesort whose runs all merge at once."""
-        n = len(self.group)
-        order = np.arange(n)
-        first = np.searchsorted(self.group, self.group)
-        size = np.searchsorted(self.group, self.group, side="right") - first
-        local = order - first
+        """Contexts in order within each group.
+
+        Sides with equal hashes are sorted once. The bytes after what a group has in common split it, a few times
+        over; those still together are put in order by a mergesort whose runs all merge at once.
+        """
+        size = self.right if forward else self.left
+        whole = mixed(self.hashes.of(self.place if forward else self.place - size, size) ^ size.astype(np.uint64))
+        by_side = np.lexsort((whole, self.group))
+        differs = (whole[by_side][1:] != whole[by_side][:-1]) | (self.group[by_side][1:] != self.group[by_side][:-1])
+        side = np.r_[0, np.cumsum(differs)] if len(by_side) else by_side
+        one = by_side[np.r_[True, differs]] if len(by_side) else by_side
+        group, skipped = self.group[one], np.full(len(one), self.known if forward else 0)
+        for _ in range(REFINEMENTS):  # by the bytes after what all of a group have in common
+            following = self.bytes_after(one, skipped, forward)
+            place = np.lexsort((following, group))
+            one, following, old = one[place], following[place], group[place]
+            changes = np.r_[True, (following[1:] != following[:-1]) | (old[1:] != old[:-1])] if len(one) else following
+            starts = np.flatnonzero(changes)
+            group = np.cumsum(changes).astype(np.int64)
+            if len(starts) == len(one):
+                break
+            common = self.extension(one, np.repeat(one[starts], np.diff(np.r_[starts, len(one)])), forward)
+            skipped = np.repeat(np.minimum.reduceat(common, starts), np.diff(np.r_[starts, len(one)]))
+        one = self._merged(one, group, forward)
+        rank = np.empty(len(one), np.int64)
+        number = np.empty(len(self.group), np.int64)
+        number[by_side] = side
+        rank[number[one]] = np.arange(len(one))
+        return np.argsort(rank[number], kind="stable") if len(one) else one
+
+    def _merged(self, order: np.ndarray, group: np.ndarray, forward: bool) -> np.ndarray:
+        """``order`` with the contexts of each (ascending) group sorted."""
+        order = order.copy()
+        first = np.searchsorted(group, group)
+        size = np.searchsorted(group, group, side="right") - first
+        local = np.arange(len(order)) - first
         width = 1
         while width < size.max(initial=0):
             at = np.flatnonzero(size > width)

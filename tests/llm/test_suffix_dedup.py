@@ -72,8 +72,10 @@ def test_sort_and_verification(hashes_lie, monkeypatch):
     suffixes = Suffixes(data, place, left, right, group)
     if hashes_lie:
         monkeypatch.setattr(suffixes.hashes, "of", lambda start, length: np.zeros(len(start), np.uint64))
-    order, common = suffixes.order_and_common(True)
-    exact_order, exact_common = suffixes.by_bytes(True)
-    own = lambda i: (group[i], data[place[i]:place[i] + right[i]].tobytes())
-    assert [own(i) for i in order] == [own(i) for i in exact_order]
-    assert common.tolist() == exact_common.tolist()
+    for forward in (True, False):
+        order, common = suffixes.order_and_common(forward)
+        exact_order, exact_common = suffixes.by_bytes(forward)
+        own = lambda i: (group[i], data[place[i]:place[i] + right[i]].tobytes() if forward
+                         else data[place[i] - left[i]:place[i]][::-1].tobytes())
+        assert [own(i) for i in order] == [own(i) for i in exact_order]
+        assert common.tolist() == exact_common.tolist()
