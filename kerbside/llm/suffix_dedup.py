@@ -222,7 +222,7 @@ def shared_strings(counted: DataFrame, length: int, gram: int, group: int) -> Da
     return few.unionByName(many)
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int = 20_000) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int = 50_000) -> DataFrame:
     """Per row: doc_id, n_bytes, ``removed`` (array of start, stop) and ``kept`` (the remaining bytes)."""
     small_batches(docs.sparkSession)
     rows = rows_of(docs)

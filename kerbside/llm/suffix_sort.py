@@ -14,6 +14,8 @@ from kerbside.llm.cuckoo import mixed
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 REFINEMENTS = 3
+#: Bytes whose hashes are summed up at a time.
+STRETCH = 1 << 20
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -24,16 +26,27 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Hashes:
-    """Hash of any substring of ``data`` from one pass over it."""
+    """Hash of any substring of ``data`` from one pass over it.
 
-    def __init__(self, data: np.ndarray) -> None:
+    ``exponent`` numbers the bytes; by default from 0 on. Texts that lie one after the other may each start at 0, if
+    no substring crosses them: what is kept per byte is then its running sum and its number.
+    """
+
+    def __init__(self, data: np.ndarray, exponent: np.ndarray | None = None) -> None:
         self.data = data
+        self.exponent = np.arange(len(data), dtype=np.int32) if exponent is None else exponent
+        highest = int(self.exponent.max(initial=0)) + 1
+        power, self.back = powers(BASE, highest), powers(UNBASE, highest)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)), out=self.prefix[1:])
-        self.back = powers(UNBASE, len(data) + 1)
+        for at in range(0, len(data), STRETCH):
+            part = slice(at, at + STRETCH)
+            values = BYTE_VALUES[data[part]] * power[self.exponent[part]]
+            values[:1] += self.prefix[at:at + 1]
+            np.cumsum(values, out=self.prefix[at + 1:at + 1 + len(values)])
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
-        return (self.prefix[start + length] - self.prefix[start]) * self.back[start]
+        first = self.exponent[np.minimum(start, len(self.data) - 1)] if len(self.data) else start
+        return (self.prefix[start + length] - self.prefix[start]) * self.back[first]
 
 
 class Suffixes:
@@ -42,7 +55,10 @@ class Suffixes:
     def __init__(self, data: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray,
                  known: int = 0) -> None:
         """Groups ascend; the first ``known`` bytes to the right are the same in a group."""
-        self.hashes, self.data = Hashes(data), data
+        begin, size = place - left, left + right
+        apart = len(place) > 0 and (begin[1:] == (begin + size)[:-1]).all() and begin[0] == 0 and size.sum() == len(data)
+        number = (np.arange(len(data), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)) if apart else None
+        self.hashes, self.data = Hashes(data, number), data
         self.place, self.left, self.right, self.group, self.known = place, left, right, group, known
 
     def extension(self, i: np.ndarray, j: np.ndarray, forward: bool) -> np.ndarray:
