@@ -50,7 +50,8 @@ DOTTED = re.compile(rf"{LETTER}(?:[.\-_*~·,']{{1,2}}(?:{LETTER}|{SIGN})){{3,}}"
 REPEATED = re.compile(rf"({LETTER})\1\1")
 WORDS = re.compile(rf"{LETTER}+")
 EDGES = ".,;:!?\"'()[]{}<>"
-KNOWN = 100_000
+#: Readings that a task keeps, and features that it counts before it passes them on.
+KNOWN, COUNTED = 20_000, 200_000
 #: Channel log probabilities: a letter as it is, a sign for a letter, a separator or repeat left out, a sign as it is.
 PLAIN, STANDS, DROPPED, LITERAL = -0.1, -1.0, -0.7, -6.0
 
@@ -180,17 +181,25 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 20_000, features: int
     if not toxic or not clean:
         return Toxicity(model, {}, np.array([np.log(prior / (1 - prior)), 0, 0, 0]))
 
+    def passed_on(seen: tuple[Counter, Counter]) -> pd.DataFrame:
+        names = list(seen[0] | seen[1])
+        out = pd.DataFrame({"feature": pd.Series(names, dtype=object), "toxic": [seen[1][f] for f in names], "clean": [seen[0][f] for f in names]})
+        for counter in seen:
+            counter.clear()
+        return out
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[str, ...]] = {}
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"]):
                 seen[int(label > 0)].update({f for w in words_in(text, model, known) for f in features_of(w)})
-        names = list(seen[0] | seen[1])
-        yield pd.DataFrame({"feature": pd.Series(names, dtype=object), "toxic": [seen[1][f] for f in names], "clean": [seen[0][f] for f in names]})
+            if sum(map(len, seen)) > COUNTED:
+                yield passed_on(seen)
+        yield passed_on(seen)
 
     counted = (
-        sample.repartition(16).mapInPandas(count, "feature string, toxic long, clean long")
+        sample.repartition(64).mapInPandas(count, "feature string, toxic long, clean long")
         .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
