@@ -40,7 +40,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
-@query("op10_line_dedup")
+LINES_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    r AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+    x AS (SELECT k.*, coalesce(k.doc_id > r.owner, false) AS gone FROM k LEFT JOIN r ON k.key = r.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256 FROM x GROUP BY doc_id"""
+
+
+@query("op10_line_dedup", LINES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
