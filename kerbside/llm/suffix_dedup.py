@@ -19,7 +19,7 @@ empty result; further columns are ignored.
 
 Scale: a pass over the texts leaves one row per distinct anchor (about 2 in ``length - gram``
 bytes); texts meet the anchors that remain, and later the intervals, in joins on the document, which carry no hot
-key. Counts of grams and contexts are combined before the shuffle.
+key. A Bloom filter of fixed size keeps texts without such anchors out of both. Counts of grams and contexts are combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import LAST_ID, small_batches, stored
+from kerbside.llm.common import LAST_ID, bloom_filter, small_batches, stored
 from kerbside.llm.cuckoo import mixed
 from kerbside.llm.suffix_sort import Hashes, Suffixes
 
@@ -226,7 +226,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
     """Per row: doc_id, n_bytes, ``removed`` (array of start, stop) and ``kept`` (the remaining bytes)."""
     small_batches(docs.sparkSession)
     rows = rows_of(docs)
-    found = contexts(rows, repeated_grams(rows, length, gram), length, gram)
+    wanted = stored(repeated_grams(rows, length, gram), "suffix-grams")
+    number = F.xxhash64(*ROW)
+    may_lose = bloom_filter(wanted.select(number.alias("id")))
+    suspect = rows.filter(may_lose(number))
+    found = contexts(suspect, wanted, length, gram)
     members = found.filter("place is not null")
     shared = shared_strings(found.filter("context is not null").select(*CONTEXT, "n", "left", "context"), length, gram, group)
     removed = (
@@ -247,5 +251,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(x) for x in batch["bytes"]],
                                 "removed": spans, "kept": kept})
 
-    return rows.join(removed, ROW, "left").select("doc_id", "bytes", "starts", "stops").mapInPandas(
+    nothing = F.lit(None).cast("array<long>")
+    others = rows.filter(~may_lose(number)).select("doc_id", "bytes", nothing.alias("starts"), nothing.alias("stops"))
+    return suspect.join(removed, ROW, "left").select("doc_id", "bytes", "starts", "stops").unionByName(others).mapInPandas(
         cut, "doc_id long, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary")
