@@ -180,7 +180,8 @@ def matrix_links(found: DataFrame, groups: DataFrame, full: DataFrame, rule: Rul
     placed = stored(placed.select("cls", "grp", "members", "n", "cap", "s", F.size("prefix").alias("p"), "prefix"), "jaccard-placed")
     cells_of = placed.select("cls", "grp", "members", "n", "cap", "s", "p", F.explode("prefix").alias("hash"))
     matrix = cells_of.groupBy("hash", "grp").agg(
-        F.first("members").alias("g_members"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("cap").alias("g_cap"))
+        F.first("members").alias("g_members"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("cap").alias("g_cap"),
+        F.max(F.col("s") - F.col("p")).alias("g_rest"))
     asked = (
         cells_of.alias("q").join(matrix.alias("g"), F.col("q.hash") == F.col("g.hash"))
         .filter(F.struct("q.members", "q.grp") < F.struct("g.g_members", "g.grp"))  # the smaller group asks
@@ -189,8 +190,9 @@ def matrix_links(found: DataFrame, groups: DataFrame, full: DataFrame, rule: Rul
     )
     needed = F.ceil(rule.percent * (F.col("n") + F.col("low")) / (100 + rule.percent))
     opened = (
-        asked.groupBy("q.cls", "g.grp", "q.n", "q.s", "q.p").agg(F.count("*").alias("hits"), F.min("g.low").alias("low"))
-        .filter(F.col("hits") + F.col("s") - F.col("p") >= needed).select("cls", "grp")
+        asked.groupBy("q.cls", "g.grp", "q.n", "q.s", "q.p").agg(
+            F.count("*").alias("hits"), F.min("g.low").alias("low"), F.max("g.g_rest").alias("g_rest"))
+        .filter(F.col("hits") + F.greatest(F.col("s") - F.col("p"), "g_rest") >= needed).select("cls", "grp")
     )
     # of two prefixes the one that ends first in the common order holds all common hashes up to its end; what
     # lies beyond it in that set bounds the rest

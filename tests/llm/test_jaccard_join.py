@@ -90,3 +90,20 @@ def test_component_rounds(spark):
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == {k: v for k, v in parent.items() if k in got}
     assert set(got) >= {x for a, b in path + star + other if a != b for x in (a, b)}
+
+
+def growing():
+    """A passage, the passage with words of its own at the end, and pieces of it that are the typical sets of its min-hashes."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for family in range(25):
+        base = [f"f{family}_{i}" for i in range(203)]
+        texts += [base, base + [f"own{family}_{i}" for i in range(20)]]
+        texts += [base[i:i + size] for size in (40, 60, 80, 100, 120) for i in range(0, 203 - size // 2, size // 2)]
+    return [(int(k), " ".join(t), "x", "y", 1) for k, t in zip(rng.permutation(len(texts)), texts)]
+
+
+def test_growing_texts(spark):
+    rows = growing()
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), 4, 85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 4, 85)
