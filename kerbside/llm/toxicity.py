@@ -2,7 +2,7 @@
 
 A disguised stretch (letters mixed with look-alike digits and signs, letters spaced out one by one, letters
 repeated) becomes a lattice: each character offers itself, what it may stand for, or nothing (a
-separator, a repeat). Viterbi decoding finds the reading with the best sum of the channel's log
+separator, a repeat). Every such stretch of a text is decoded. Viterbi decoding finds the reading with the best sum of the channel's log
 probabilities and those of a character trigram model. The model is counted over the words of all
 documents, so it grows with the corpus; only its fixed-size table reaches the driver.
 
@@ -42,14 +42,19 @@ PARTS, HELD_OUT = 5, 0
 
 LETTER = r"[^\W\d_]"
 SIGN = "[" + re.escape("".join(LOOKALIKES)) + "]"
-#: In a text: letters spaced one by one. In a token: signs before or among letters; the same with separators after each
-#: letter; a letter three times or more.
-SPACED = re.compile(rf"(?<!\w){LETTER}(?:[ .\-_*~·,']{{1,2}}(?:{LETTER}|{SIGN})(?!\w)){{3,}}")
-MIXED = re.compile(rf"{SIGN}*{LETTER}*(?:{SIGN}+{LETTER}+)+")
-DOTTED = re.compile(rf"{LETTER}(?:[.\-_*~·,']{{1,2}}(?:{LETTER}|{SIGN})){{3,}}")
+ONE = f"(?:{LETTER}|{SIGN})"
+SEPARATOR = r"[ .\-_*~·,']"
+#: In a text: letters or signs spaced one by one. In a token: a run of letters and signs; letters or signs with separators after
+#: each; a letter three times or more.
+SPACED = re.compile(rf"(?<!\w){ONE}(?:{SEPARATOR}{{1,3}}{ONE}(?!\w)){{3,}}")
+WIDE = re.compile(f"{SEPARATOR}{{3,}}")
+RUN = re.compile(f"{ONE}+")
+DOTTED = re.compile(rf"{ONE}(?:[.\-_*~·,']{{1,3}}{ONE}){{3,}}")
 REPEATED = re.compile(rf"({LETTER})\1\1")
 WORDS = re.compile(rf"{LETTER}+")
 EDGES = ".,;:!?\"'()[]{}<>"
+#: Signs that may also be punctuation around a stretch.
+POINTS = "".join(c for c in LOOKALIKES if not c.isalnum())
 #: Readings that a task keeps, and features that it counts before it passes them on.
 KNOWN, COUNTED = 20_000, 200_000
 #: Channel log probabilities: a letter as it is, a sign for a letter, a separator or repeat left out, a sign as it is.
@@ -96,16 +101,16 @@ def trigram_model(docs: DataFrame) -> np.ndarray:
 def decoded(stretch: str, model: np.ndarray) -> str:
     """The best reading of a disguised stretch; ``model`` as ``trigram_model`` gives it."""
     lower = stretch.lower()
-    best: dict[tuple[str, str], tuple[float, str]] = {(" ", " "): (0.0, "")}
+    best: dict[tuple[str, str], tuple[float, tuple]] = {(" ", " "): (0.0, ())}  # readings as (reading before, character)
     for i, char in enumerate(lower):
         if char.isalpha():
             options = [(char, PLAIN)]
         else:
             options = [(x, STANDS - np.log(len(LOOKALIKES[char]))) for x in LOOKALIKES.get(char, "")] or [(char, LITERAL)]
-        then: dict[tuple[str, str], tuple[float, str]] = {}
+        then: dict[tuple[str, str], tuple[float, tuple]] = {}
         for (a, b), (score, text) in best.items():
             row = model[class_of(a), class_of(b)]
-            moves = [((b, x), score + p + float(row[class_of(x)]), text + x) for x, p in options]
+            moves = [((b, x), score + p + float(row[class_of(x)]), (text, x)) for x, p in options]
             if char in SEPARATORS or (i and char == lower[i - 1]) or (b != " " and char == b):
                 moves.append(((a, b), score + DROPPED, text))
             for state, value, reading in moves:
@@ -113,21 +118,59 @@ def decoded(stretch: str, model: np.ndarray) -> str:
                     then[state] = (value, reading)
         best = then
     ended = {s: v + float(model[class_of(s[0]), class_of(s[1]), 0]) for s, (v, _) in best.items()}
-    return best[max(ended, key=lambda s: (ended[s], best[s][1]))][1]
+    most = max(ended.values())
+
+    def text_of(reading: tuple) -> str:
+        chars = []
+        while reading:
+            reading, char = reading
+            chars.append(char)
+        return "".join(reversed(chars))
+
+    return max(text_of(best[s][1]) for s, v in ended.items() if v == most)
+
+
+def stretches(token: str) -> set[str]:
+    """The stretches of a lower-case token that look disguised, with and without what may be punctuation or a neighbour's letter."""
+    found = set()
+    for match in DOTTED.finditer(token):
+        stretch = match.group()
+        # the words around may touch the first and the last letter
+        first = re.search(ONE, stretch[1:]).start() + 1 if re.match(r"\w", token[match.start() - 1:match.start()]) else 0
+        last = re.search(f"{SEPARATOR}+.$", stretch, re.S).start() if re.match(r"\w", token[match.end():match.end() + 1]) else len(stretch)
+        found |= {stretch, stretch[first:], stretch[:last], stretch[first:last]}
+    for match in RUN.finditer(token):
+        if not (stretch := match.group()).isalpha():
+            found |= {stretch, stretch.lstrip(POINTS), stretch.rstrip(POINTS), stretch.strip(POINTS)}
+    found = {x for x in found if not x.isalpha() and any(c.isalpha() for c in x)}
+    return found | {x for x in WORDS.findall(token) if REPEATED.search(x)}
 
 
 def readings(token: str, model: np.ndarray) -> tuple[str, ...]:
-    """The words of a lower-case token as written and, if it looks disguised, as restored."""
+    """The words of a lower-case token as written and, where it looks disguised, as restored."""
     core = token.strip(EDGES)
-    if core.isalpha():
+    if core.isalpha() and token in (core, core + ".", core + ","):
         return (core, *WORDS.findall(decoded(core, model))) if REPEATED.search(core) else (core,)
     words = WORDS.findall(core)
     if not words:
         return ()
-    for pattern in (DOTTED, MIXED):
-        if match := pattern.search(token):
-            return (*words, *WORDS.findall(decoded(match.group(), model)))
-    return (*words, *WORDS.findall(decoded(core, model))) if REPEATED.search(core) else tuple(words)
+    found = stretches(token) | ({core} if REPEATED.search(core) else set())
+    return tuple({*words, *(w for x in found for w in WORDS.findall(decoded(x, model)))})
+
+
+def spaced_out(match: str, model: np.ndarray) -> set[str]:
+    """The words that letters spaced one by one may spell."""
+    words: set[str] = set()
+    for part in {match, *WIDE.split(match)}:
+        letters = [x for x in re.split(f"{SEPARATOR}+", part) if x]
+        first = next((i for i, x in enumerate(letters) if x.isalpha()), None)
+        if first is None or len(letters) < 2:
+            continue
+        for skip in {*range(3), *range(first, first + 3)}:  # signs and one-letter words of the sentence may stand before
+            words.update(WORDS.findall(decoded(" ".join(letters[skip:]), model)))
+        if "*" in part:  # a sign for a letter, or a separator
+            words.update(WORDS.findall(decoded(part, model)))
+    return words
 
 
 def words_in(text: str | None, model: np.ndarray, known: dict[str, tuple[str, ...]]) -> set[str]:
@@ -140,11 +183,8 @@ def words_in(text: str | None, model: np.ndarray, known: dict[str, tuple[str, ..
         if (read := known.get(token)) is None:
             read = known[token] = readings(token, model)
         words.update(read)
-    if sum(len(t) == 1 for t in tokens) >= 3:
-        for match in SPACED.finditer(lower):
-            letters = re.split(r"[ .\-_*~·,']+", match.group())
-            for skip in range(3):  # one-letter words of the sentence may stand before
-                words.update(WORDS.findall(decoded(" ".join(letters[skip:]), model)))
+    for match in SPACED.finditer(lower):
+        words |= spaced_out(match.group(), model)
     return words
 
 

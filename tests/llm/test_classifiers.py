@@ -56,6 +56,21 @@ def test_restoration(corpus):
     assert toxicity.decoded("winter", model) == "winter"
 
 
+@pytest.mark.parametrize("text, word", [
+    ("x1y,id10t", "idiot"), ("w1nd0w/l0ser", "loser"), ("river,st0ne,br1ght,$cumb@g", "scumbag"),  # every stretch of a token
+    ("l0$3r!", "loser"), ("idi0+", "idiot"), ("scumb@9", "scumbag"), ("lo5e|2", "lose"), ("the idio7 here", "idiot"),  # signs at the end
+    ("i. d. i. o. t", "idiot"), ("l o o s e r", "loser"), ("! d i o t", "idiot"), ("l - o - s - e - r", "loser"),  # spaced out
+    ("l o l o l o", "lo"), ("1.d.1.0.t", "idiot"), ("you,i.d.i.o.t,you", "idiot"), ("1 i a l o s e r", "loser")])
+def test_every_disguise(corpus, text, word):
+    model = toxicity.trigram_model(corpus[0])
+    assert any(w.startswith(word) for w in toxicity.words_in(text, model, {}))
+
+
+def test_long_stretch(corpus):
+    model = toxicity.trigram_model(corpus[0])
+    assert toxicity.decoded("st0ne" * 20_000, model) == "stone" * 20_000
+
+
 def test_without_labels(spark, corpus):
     docs, labels = corpus
     assert {r.predicted for r in toxicity.toxicity(docs.limit(3), labels.limit(0)).collect()} == {0}
