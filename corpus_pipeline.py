@@ -29,7 +29,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
-    verdict = jaccard_join.jaccard_join(docs)
+    verdict = jaccard_join.jaccard_components(docs)
     stays = verdict.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
     return docs.select(COLUMNS).join(stays, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
 

@@ -17,8 +17,12 @@ with equal sets are one class. Two sets link when 100 * |intersection| >= ``perc
 5. Members of opened groups that fit in size, and whose prefix has enough in common with the asking one for the
    threshold still to be in reach, are verified on the full sets.
 
-Links inside a group need no further look, links between groups are all found, so the components are exact
-up to collisions of 64-bit hashes.
+Links inside a group need no further look for the components, links between groups are all found, so the components are
+exact up to collisions of 64-bit hashes.
+
+6. For the number of links, the classes of a component are cut into blocks in the order of their min-hash; blocks that
+   share a prefix hash, and each block with itself, are compared whole by matrix products, and counts, not pairs, leave the task.
+   A linked class counts with all its rows, a copy as one link. That takes time with the square of a component's classes.
 
 Edge cases: null, empty and blank texts have no set and stay alone; rows with equal ids are separate and share the
 id; a null id sorts after all others; ties go to the smaller id; an empty table gives an empty result; further
@@ -36,6 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +49,8 @@ from kerbside.llm.components import components
 from kerbside.llm.cuckoo import mixed
 from kerbside.llm.suffix_sort import Hashes
 
+#: A block of classes whose links are counted together: so many classes, or hashes, at most (or one class), and hashes at a time.
+BLOCK, BLOCK_HASHES, COLUMNS = 256, 1 << 17, 2048
 #: Hashes beyond miss + 1 that the first comparison looks at, in percent of the set.
 EXTRA = 3
 
@@ -125,8 +132,11 @@ def full_sets(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             yield pd.DataFrame(out, columns=["cls", "n", "hashes"])
 
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text").filter(may_be_open(F.col("doc_id")))
-    return stored(keyed.join(open_, "doc_id").select("text", "cls", "cls2").mapInPandas(rows, "cls long, n long, hashes array<long>"),
+    full = stored(keyed.join(open_, "doc_id").select("text", "cls", "cls2").mapInPandas(rows, "cls long, n long, hashes array<long>"),
                   "jaccard-full")
+    if full.groupBy("cls").count().filter("count > 1").isEmpty():
+        return full
+    return stored(full.dropDuplicates(["cls"]), "jaccard-full-once")  # a row that comes twice with its id brings its class twice
 
 
 def profiles(full: DataFrame, rule: Rule) -> DataFrame:
@@ -210,27 +220,124 @@ def matrix_links(found: DataFrame, groups: DataFrame, full: DataFrame, rule: Rul
     return verified(pairs, full, rule, "jaccard-matrix-links")
 
 
+def blocks_of(members: DataFrame) -> DataFrame:
+    """(component, block, classes, sizes, copies, hashes, prefix): classes near in min-hash together; arrays run over the classes."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list = []
+        part, made = TaskContext.get().partitionId(), 0
+
+        def block() -> pd.DataFrame:
+            return pd.DataFrame({
+                "component": [held[0].component], "block": [(part << 32) + made], "classes": [[r.cls for r in held]],
+                "sizes": [[len(r.hashes) for r in held]], "copies": [[r.copies for r in held]],
+                "hashes": [np.concatenate([r.hashes for r in held])], "prefix": [np.unique(np.concatenate([r.prefix for r in held]))]})
+
+        hashes = 0
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                if held and (r.component != held[0].component or len(held) == BLOCK or hashes + len(r.hashes) > BLOCK_HASHES):
+                    yield block()
+                    held, hashes, made = [], 0, made + 1
+                held.append(r)
+                hashes += len(r.hashes)
+        if held:
+            yield block()
+
+    ordered = members.repartitionByRange("component", "key0", "cls").sortWithinPartitions("component", "key0", "cls")
+    return stored(ordered.mapInPandas(
+        rows, "component long, block long, classes array<long>, sizes array<long>, copies array<long>, hashes array<long>, "
+        "prefix array<long>"), "jaccard-blocks")
+
+
+def common_counts(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> np.ndarray:
+    """How many hashes each set of one block has in common with each of another."""
+    both = np.intersect1d(a, b)
+
+    def places(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        column = np.searchsorted(both, hashes)
+        inside = (column < len(both)) & (both[np.minimum(column, len(both) - 1)] == hashes)
+        row, column = np.repeat(np.arange(len(sizes)), sizes)[inside], column[inside]
+        order = np.argsort(column, kind="stable")
+        return row[order], column[order]
+
+    out = np.zeros((len(a_sizes), len(b_sizes)), np.int64)
+    if not len(both):
+        return out
+    sides = [(*places(a, a_sizes), len(a_sizes)), (*places(b, b_sizes), len(b_sizes))]
+    for start in range(0, len(both), COLUMNS):
+        held = []
+        for row, column, n in sides:
+            lo, hi = np.searchsorted(column, (start, start + COLUMNS))
+            table = np.zeros((n, COLUMNS), np.float32)
+            table[row[lo:hi], column[lo:hi] - start] = 1
+            held.append(table)
+        out += np.rint(held[0] @ held[1].T).astype(np.int64)
+    return out
+
+
+def link_counts(found: DataFrame, joined: DataFrame, full: DataFrame, copies: DataFrame, rule: Rule) -> DataFrame:
+    """(node, linked): rows of other classes that link to a class, for the classes of ``joined``."""
+    spark = full.sparkSession
+    members = stored(
+        joined.withColumnRenamed("node", "cls").join(found.select("cls", "key0", "prefix"), "cls").join(copies, "cls")
+        .join(full.select("cls", "hashes"), "cls"), "jaccard-members")
+    blocks = blocks_of(members)
+    cells = blocks.select("component", "block", F.explode("prefix").alias("hash"))
+    pairs = cells.alias("p").join(cells.alias("q"), ["component", "hash"]).filter("p.block <= q.block").select(
+        F.col("p.block").alias("a"), F.col("q.block").alias("b")).distinct()
+    of = lambda c: blocks.select(
+        F.col("block").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("classes", "sizes", "copies", "hashes")])
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                a, b = np.asarray(r.sizes_a), np.asarray(r.sizes_b)
+                common = common_counts(np.asarray(r.hashes_a), a, np.asarray(r.hashes_b), b)
+                linked = 100 * common >= rule.percent * (a[:, None] + b - common)
+                if r.a == r.b:
+                    np.fill_diagonal(linked, False)
+                yield pd.DataFrame({"node": r.classes_a, "linked": linked @ np.asarray(r.copies_b)})
+                if r.a != r.b:
+                    yield pd.DataFrame({"node": r.classes_b, "linked": np.asarray(r.copies_a) @ linked})
+
+    small_batches(spark, 2)  # blocks, not texts
+    counted = stored(pairs.join(of("a"), "a").join(of("b"), "b").mapInPandas(rows, "node long, linked long").groupBy("node").agg(
+        F.sum("linked").alias("linked")), "jaccard-link-counts")
+    small_batches(spark)
+    return counted
+
+
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links), n_links (links found of its class)."""
+    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links), n_links (other rows that it links to)."""
+    return _joined(docs, Rule(words, percent), counts=True)
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``jaccard_join`` without n_links, for callers who only need the components."""
+    return _joined(docs, Rule(words, percent), counts=False)
+
+
+def _joined(docs: DataFrame, rule: Rule, counts: bool) -> DataFrame:
     small_batches(docs.sparkSession)
-    rule = Rule(words, percent)
     sets = measured(docs, rule)
     full = full_sets(docs, sets, rule)
     found = profiles(full, rule)
     inside = group_links(found, full, rule)
     links = inside.unionByName(matrix_links(found, components(inside), full, rule))
     joined = stored(components(links), "jaccard-components")
-    degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("node")).agg(
-        F.count("*").alias("n_links"))
     # classes by component, components by their smallest document
-    classes = sets.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("owner"))
+    classes = sets.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("owner"), F.count("*").alias("copies"))
     placed = classes.withColumnRenamed("cls", "node").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("owner").alias("component_id"))
-    labels = placed.join(smallest, "component").join(degree, "node", "left").select(
-        F.col("node").alias("cls"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    labels = placed.join(smallest, "component")
+    if counts:
+        linked = link_counts(found, joined, full, classes.select("cls", "copies"), rule)
+        labels = labels.join(linked, "node", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
+    n_links = ["n_links"] if counts else []
+    labels = labels.select(F.col("node").alias("cls"), "component_id", *n_links)
     null_id = lambda c: F.when(c != LAST_ID, c)
     return sets.drop("first", "cls2", "row").join(labels, "cls", "left").select(
         null_id(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
         null_id(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in n_links])

@@ -86,4 +86,4 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_jaccard_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), words=4, percent=85).select(
-        "doc_id", "n_shingles", "component_id")
+        "doc_id", "n_shingles", "component_id", "n_links")

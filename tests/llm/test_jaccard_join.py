@@ -107,3 +107,17 @@ def test_growing_texts(spark):
     rows = growing()
     got = jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), 4, 85).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 4, 85)
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_links(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rows = fixture() + [(10_000 + i, t, "x", "y", 1) for i, (_, t, *_) in enumerate(growing()[:100])]
+    rows += [(20_000 + i, " ".join([f"near{j}" for j in range(100)] + [f"own{i // 2}"]), "x", "y", 1) for i in range(60)]
+    sets = [sets_of(t, 4) for _, t, *_ in rows]
+    want = [sum(1 for j, b in enumerate(sets) if j != i and a and b and 100 * len(a & b) >= 85 * len(a | b)) for i, a in enumerate(sets)]
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, SCHEMA), 4, 85).collect()
+    top = 1 << 62
+    assert sorted((top if r.doc_id is None else r.doc_id, r.n_links) for r in got) == sorted(
+        (top if r[0] is None else r[0], n) for r, n in zip(rows, want))
+    assert max(want) == 59
