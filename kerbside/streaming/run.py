@@ -56,12 +56,16 @@ def run_all(spark: SparkSession, writers: Sequence[DataStreamWriter], partitions
         queries = [(w.trigger(**trigger) if trigger else w).start() for w in writers]
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
+            # waits on these queries alone: what else ran in this session, and how that ended, is not asked
             for query in queries:
-                if not query.isActive and query.exception():
+                query.awaitTermination(1)
+                if not query.isActive and not trigger:
+                    break
+            ended = [q for q in queries if not q.isActive]
+            for query in ended:
+                if query.exception():
                     raise query.exception()
-            if not trigger:
+            if ended and not trigger:
                 return
         for query in queries:
             if query.exception():

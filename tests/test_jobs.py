@@ -120,6 +120,9 @@ def test_queries_run_together_until_one_fails(spark, done, tmp_path):
     with pytest.raises(Exception, match="no"):
         run_all(spark, [broken, *jobs.metrics_job(jobs.Topics(spark, str(tmp_path / "d"), folder=f"{done}/topics"))], 1)
     assert not spark.streams.active
+    # an earlier failure in the session is not raised again
+    run_all(spark, jobs.archive_job(jobs.Topics(spark, str(tmp_path / "e"), folder=f"{done}/topics"), str(tmp_path / "b")), 1, availableNow=True)
+    assert spark.read.parquet(str(tmp_path / "b" / s.GPS_TOPIC)).count() == 13
 
 
 def test_archive(spark, done):
