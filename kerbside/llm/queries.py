@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
+from kerbside.llm import filter_audit, imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -87,3 +87,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), words=4, percent=85).select(
         "doc_id", "n_shingles", "component_id", "n_links")
+
+
+AUDIT_SQL = r"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, regexp_extract_all(text, '[^ \t-\r]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+    m AS (SELECT doc_id, part, (len(words) < 200)::INT AS a, (100 * len(list_distinct(words)) < 50 * len(words))::INT AS b,
+        (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT AS c,
+        regexp_matches(text, '[#$%&*|]')::INT AS d, (doc_id > first)::INT AS e FROM w),
+    l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    n AS (SELECT part, [a, b, c, d, e] AS fails, a + b + c + d + e AS n_fails, count(*) AS n, sum(coalesce(good, 0)) AS good,
+        sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL),
+    f AS (SELECT unnest(range(1, 6)) AS i),
+    o AS (SELECT [p.i, q.i, r.i, s.i, t.i] AS o FROM f p, f q, f r, f s, f t
+        WHERE len(list_distinct([p.i, q.i, r.i, s.i, t.i])) = 5),
+    s AS (SELECT o, unnest(range(1, 6)) AS step FROM o),
+    x AS (SELECT part, array_to_string([substr('ABCDE', i, 1) for i in o], '') AS filter_order, step, n, good, toxic, n_fails,
+        fails[o[step]] = 1 AS fail, len([i for i in o[1:step - 1] if fails[i] = 1]) > 0 AS gone FROM n, s)
+    SELECT part, filter_order, step::INT AS step, coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0)::BIGINT AS kept,
+      coalesce(sum(n) FILTER (NOT gone AND fail), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND fail), 0)::BIGINT AS redundant,
+      coalesce(sum(n) FILTER (fail AND n_fails = 1), 0)::BIGINT AS unique_fails,
+      coalesce(sum(good) FILTER (NOT gone AND fail), 0)::BIGINT AS good_lost,
+      coalesce(sum(toxic) FILTER (NOT gone AND fail), 0)::BIGINT AS toxic_lost,
+      coalesce(sum(n * 120 // greatest(n_fails, 1)) FILTER (fail), 0)::BIGINT AS shapley
+    FROM x GROUP BY part, filter_order, step"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
