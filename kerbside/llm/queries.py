@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import filter_audit, imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
+from kerbside.llm import collocations, filter_audit, imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -115,3 +115,26 @@ AUDIT_SQL = r"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce
 @query("op11_filter_audit", AUDIT_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+PHRASES_SQL = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM p),
+    s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+    g AS (SELECT lang, w[i:i + m - 1] AS g, count(*)::HUGEINT AS f FROM s, range(1, 6) r(m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+    n AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang HAVING sum(len(w)) > 0),
+    c AS (SELECT * FROM g WHERE len(g) > 1 AND f >= 100),
+    k AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM c),
+    x AS (SELECT k.lang, k.g, k.k, k.a, a.f AS l, b.f AS r, n.n, 1000 * k.a * n.n // (a.f * b.f) AS score FROM k JOIN n ON n.lang = k.lang
+      JOIN g a ON a.lang = k.lang AND a.g = k.g[1:k.k] JOIN g b ON b.lang = k.lang AND b.g = k.g[k.k + 1:len(k.g)]),
+    y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    q AS (SELECT lang, f, g[i:i + m - 1] AS h FROM c, range(2, 5) u(m), range(1, 5) v(i) WHERE m < len(g) AND i + m - 1 <= len(g)),
+    d AS (SELECT DISTINCT q.lang, q.h AS g FROM q JOIN c ON c.lang = q.lang AND c.g = q.h WHERE 100 * q.f >= 100 * c.f),
+    z AS (SELECT y.*, array_to_string(y.g, ' ') AS phrase FROM y LEFT JOIN d ON d.lang = y.lang AND d.g = y.g WHERE d.g IS NULL)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l,
+      r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM z QUALIFY rank <= 2000"""
+
+
+@query("op12_collocations", PHRASES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
