@@ -39,7 +39,7 @@ from kerbside.llm import sketches
 from kerbside.llm.common import stored
 
 LONGEST = 5
-CHUNK = 12 << 20  # bytes of text counted at a time
+CHUNK = 4 << 20  # bytes of text counted at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLAIN = bytes(
     10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c in b" \t" else c + 32 if 65 <= c <= 90 else c for c in range(256))
