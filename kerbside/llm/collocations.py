@@ -25,8 +25,7 @@ phrase up to 64 MB. A language's report is ranked among the best of each range.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,12 +40,34 @@ from kerbside.llm.common import stored
 LONGEST = 5
 CHUNK = 4 << 20  # bytes of text counted at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _PLAIN = bytes(
     10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c in b" \t" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def hashed(values: list[bytes]) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.blake2b(v, digest_size=8).digest(), "little") for v in values], np.uint64)
+def hashed(values: pa.LargeBinaryArray) -> np.ndarray:
+    """64-bit hashes of the values' bytes, from running sums of a polynomial over all of them. Equal bytes have equal hashes; the
+    hashes choose what is counted and never tell phrases apart."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64) + np.uint64(1)
+    at = offsets - offsets[0]
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * powers(_BASE, len(data)))])
+        value = (sums[at[1:]] - sums[at[:-1]]) * powers(_INVERSE, len(data) + 1)[at[:-1]]
+        value ^= value >> np.uint64(32)
+        value = (value + (at[1:] - at[:-1]).astype(np.uint64)) * _STEP
+        return value ^ (value >> np.uint64(29))
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def binary(values: Iterable[bytes]) -> pa.LargeBinaryArray:
+    return pa.array(list(values), pa.large_binary())
 
 
 class Words:
@@ -56,8 +77,8 @@ class Words:
         sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         data = np.frombuffer(b"\n".join([*texts, b""]).translate(_PLAIN), np.uint8)
         letter = (data != 10) & (data != 32)
-        edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        edges = np.flatnonzero(np.diff(letter, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
         offsets = np.concatenate([[0], np.cumsum(ends - starts)])
         coded = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[letter])]).dictionary_encode()
@@ -66,7 +87,6 @@ class Words:
         self.piece = np.cumsum(data == 10, dtype=np.int32)[starts]
         self.langs, of_text = np.unique(np.array(langs, object), return_inverse=True)
         self.lang = of_text[np.searchsorted(np.cumsum(sizes), starts, "right")].astype(np.int64)
-        self.hashes = hashed(self.vocabulary.to_pylist())[self.codes]
 
     def phrases(self, length: int) -> np.ndarray:
         """Places where a phrase of ``length`` words begins."""
@@ -75,10 +95,11 @@ class Words:
         return np.flatnonzero(self.piece[: len(self.piece) - length + 1] == self.piece[length - 1:])
 
     def phrase_hashes(self, at: np.ndarray, length: int) -> np.ndarray:
-        value = hashed([x.encode("utf-8", "surrogatepass") for x in self.langs])[self.lang[at]] if len(at) else np.empty(0, np.uint64)
+        value = hashed(binary(x.encode() for x in self.langs))[self.lang[at]]
+        words = hashed(self.vocabulary)
         with np.errstate(over="ignore"):
             for j in range(length):
-                value = value * _STEP + self.hashes[at + j]
+                value = value * _STEP + words[self.codes[at + j]]
         return value
 
     def counts(self, at: np.ndarray, length: int) -> pa.RecordBatch:
@@ -105,9 +126,8 @@ def counted(docs: DataFrame, length: int, shorter: np.ndarray | None) -> DataFra
         def count(texts: list[bytes], langs: list[str]) -> pa.RecordBatch:
             words = Words(texts, langs)
             at = words.phrases(length)
-            if shorter is not None:
-                at = at[sketches.inside(shorter, words.phrase_hashes(at, length - 1))]
-                at = at[sketches.inside(shorter, words.phrase_hashes(at + 1, length - 1))]
+            for part in (0, 1) if shorter is not None else ():
+                at = at[sketches.inside(shorter, words.phrase_hashes(at + part, length - 1))]
             return words.counts(at, length)
 
         texts, langs, size = [], [], 0
@@ -131,11 +151,11 @@ def known(frequent: DataFrame, length: int) -> np.ndarray:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                value = hashed([x.encode() for x in batch["lang"]])
+                value = hashed(binary(x.encode() for x in batch["lang"]))
                 words = [p.encode().split(b" ") for p in batch["phrase"]]
                 with np.errstate(over="ignore"):
                     for j in range(length):
-                        value = value * _STEP + hashed([w[j] for w in words])
+                        value = value * _STEP + hashed(binary(w[j] for w in words))
                 yield pd.DataFrame({"hash": value.view(np.int64)})
 
     bits = sketches.bits_for(frequent.count())
