@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import collocations, filter_audit, imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity
+from kerbside.llm import collocations, filter_audit, imatch, jaccard_join, line_dedup, mixing, packing, quality_gam, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from kerbside.llm.common import table
 from kerbside.plans.catalogue import query
 
@@ -138,3 +138,15 @@ PHRASES_SQL = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string
 @query("op12_collocations", PHRASES_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    m AS (SELECT page_id, strlen(html) AS bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+    SELECT page_id, bytes AS payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::INT >> (15 - 5 * (i % 4))) & 31) + 1, 1) for i in range(32)], '') AS payload_digest,
+      CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM m"""
+
+
+@query("op13_warc", WARC_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(warc.write_archives(table(spark, sf_dir, "pages"), least=0))
