@@ -158,8 +158,7 @@ def known(frequent: DataFrame, length: int) -> np.ndarray:
                         value = value * _STEP + hashed(binary(w[j] for w in words))
                 yield pd.DataFrame({"hash": value.view(np.int64)})
 
-    bits = sketches.bits_for(frequent.count())
-    return sketches.bloom_of(frequent.select("lang", "phrase").mapInPandas(rows, "hash long"), bits)
+    return sketches.bloom_of(frequent.select("lang", "phrase").mapInPandas(rows, "hash long"), frequent.count())
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -188,13 +187,24 @@ def ordered(stream: DataFrame, key: str, per_range: int = 100_000) -> tuple[Data
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stream.count() // per_range))
     cut = stored(stream.repartitionByRange(ranges, "lang", key).withColumn("range", F.spark_partition_id()), f"phrases-by-{key}")
     begins = cut.groupBy("range").agg(F.min(F.struct("lang", key)).alias("first")).select("first.*")
-    before = begins.select("lang", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size(key) - 1, F.lit(1))), lambda j: F.slice(key, 1, j))).alias("part")).distinct()
-    at = F.broadcast(before)  # a few rows per range
-    counts = cut.join(at, [cut["lang"] == at["lang"], cut[key] == at["part"]]).select(at["lang"], "part", "f", F.lit(0).alias("wider"))
-    wider = cut.join(at, [cut["lang"] == at["lang"], F.slice(cut[key], 1, F.size(cut[key]) - 1) == at["part"]]).select(
-        at["lang"], "part", F.lit(0).alias("f"), F.col("f").alias("wider"))
-    rows = counts.unionByName(wider).groupBy("lang", "part").agg(F.max("f").alias("f"), F.max("wider").alias("wider"))
-    crossing = {(r.lang, tuple(r.part)): (r.f, r.wider) for r in rows.toLocalIterator()}
+    before = {(r.lang, tuple(r[key][:j])) for r in begins.collect() for j in range(1, len(r[key]))}
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[tuple, list] = {}
+        for batch in batches:
+            for lang, words, f in zip(batch["lang"], map(tuple, batch[key]), batch["f"]):
+                if (lang, words) in before:
+                    found.setdefault((lang, words), [0, 0])[0] = f
+                if (lang, words[:-1]) in before:
+                    own = found.setdefault((lang, words[:-1]), [0, 0])
+                    own[1] = max(own[1], f)
+        yield pd.DataFrame([(lang, list(part), *v) for (lang, part), v in found.items()], columns=["lang", "part", "f", "wider"])
+
+    crossing: dict[tuple, tuple] = {}
+    if before:
+        for r in cut.select("lang", key, "f").mapInPandas(met, "lang string, part array<string>, f long, wider long") \
+                .groupBy("lang", "part").agg(F.max("f").alias("f"), F.max("wider").alias("wider")).collect():  # a few rows per range
+            crossing[r.lang, tuple(r.part)] = (r.f, r.wider)
     return cut.repartition(ranges, "range").sortWithinPartitions("range", "lang", key), crossing
 
 

@@ -76,7 +76,7 @@ def bitmap_of(cells: DataFrame, bits: int) -> np.ndarray:
     )
     out = np.zeros(bits >> 3, np.uint8)
     width = 1 << SEGMENT_BITS - 3
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # at most MOST_BITS
         out[r.segment * width:(r.segment + 1) * width] = np.frombuffer(r.bytes, np.uint8)
     return out
 
@@ -92,9 +92,15 @@ def cells_of(hashes: DataFrame, bits: int, k: int = 2) -> DataFrame:
     return hashes.mapInPandas(rows, "cell long")
 
 
-def bloom_of(hashes: DataFrame, bits: int, k: int = 2) -> np.ndarray:
-    """A Bloom filter of the hashes (one BIGINT column)."""
-    return bitmap_of(cells_of(hashes, bits, k).distinct(), bits)
+def bloom_of(hashes: DataFrame, rows: int, k: int = 2, by_driver: int = 1 << 20) -> np.ndarray:
+    """A Bloom filter of ``rows`` distinct hashes (one BIGINT column). Up to ``by_driver`` of them (8 MB) the driver sets the bits itself."""
+    bits = bits_for(rows)
+    if rows > by_driver:
+        return bitmap_of(cells_of(hashes, bits, k), bits)
+    own = np.zeros(bits, np.uint8)
+    for p in places(hashes.toPandas().iloc[:, 0].to_numpy(np.int64), bits, k):
+        own[p] = 1
+    return np.packbits(own, bitorder="little")
 
 
 def asked(bitmap: np.ndarray, k: int = 2):

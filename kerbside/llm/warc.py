@@ -165,8 +165,7 @@ def write_archives(pages: DataFrame, least: int = 0, folder: str | None = None,
         rows.filter(F.col("payload_bytes") >= least).groupBy(*SAME)
         .agg(F.max(F.struct("id", "url", "row")).alias("holder"), F.count("*").alias("n")).filter("n > 1"), "archive-groups")
     again = F.col("payload_bytes") >= least
-    bits = sketches.bits_for(groups.count())
-    may = sketches.asked(sketches.bloom_of(groups.select("mark"), bits))
+    may = sketches.asked(sketches.bloom_of(groups.select("mark"), groups.count()))
     one_each = every.filter(again & may("mark")).groupBy(*SAME).agg(F.max(F.struct("id", "url")).alias("holder"), F.first("payload").alias("payload"))
     responses = every.filter(~(again & may("mark"))).unionByName(one_each.select("holder.id", "holder.url", "payload", *SAME))
     revisits = revisits_of(rows.filter(again & may("mark")), groups, total)
