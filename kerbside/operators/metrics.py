@@ -344,6 +344,25 @@ def driver_scorecard(gps: DataFrame, limits: DataFrame, weather: DataFrame, aler
     return rate(rows)
 
 
+def driver_scorecard_stream(fixes: DataFrame, limits: DataFrame, answered: DataFrame, tolerance: str = "5 minutes",
+                            window: str = "1 minute", salts: int = 1) -> DataFrame:
+    """The same on streams: ``fixes`` with their ``weatherCondition``, ``answered`` alerts with the ``speed`` of the next fix.
+
+    Pairs and ignored alerts meet in one windowed aggregate instead of a join of two; a window without pairs has no metrics.
+    """
+    over = (F.col("speed") - F.col("SpeedLimit")).alias("over")
+    risky = F.coalesce(rules.is_risky_weather(F.col("weatherCondition")), F.lit(False)).cast("int").alias("risky")
+    pairs = interval_join(fixes, limits, tolerance, "inner", salts=salts).where(f"speed > SpeedLimit AND NOT isnan(speed) AND {NUMBER}")
+    # no filter on the alerts: it would be pushed below their watermark, which heeded ones have to move as well
+    missed = F.coalesce((F.col("action") == "slow_down") & (F.col("speed") > F.col("target_speed")), F.lit(False)).cast("int")
+    both = pairs.select("deviceId", "event_time", over, risky, F.lit(0).alias("missed")).unionByName(answered.select(
+        "deviceId", "event_time", F.lit(None).cast("double").alias("over"), F.lit(0).alias("risky"), missed.alias("missed")))
+    totals = both.groupBy(F.window("event_time", window).alias("w"), "deviceId").agg(
+        F.sum("over").alias("total_speed_over_limit"), F.count("over").alias("overspeed_events"), F.max("over").alias("max_speed_over_limit"),
+        F.sum("risky").alias("risky_weather_overspeed"), F.sum("missed").alias("ignored_alerts"))
+    return rate(metric_columns(totals.where("overspeed_events > 0"), "risky_weather_overspeed", "ignored_alerts"))
+
+
 def rate(metrics: DataFrame) -> DataFrame:
     """Metric rows with ``rating``, ``class`` and feedback; inputs that were not measured count as zero."""
     def column(name: str) -> Column:

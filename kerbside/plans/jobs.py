@@ -14,7 +14,7 @@ from kerbside.operators.cache import TIME_TO_LIVE
 from kerbside.operators.joins import interval_join
 from kerbside.sinks import writers
 from kerbside.sources import topics
-from kerbside.streaming import stateful
+from kerbside.streaming import asof, stateful
 
 #: Advice before near-duplicates are dropped; the second half of the assistant reads it.
 ADVICE_TOPIC = "driver_advice"
@@ -138,6 +138,37 @@ def alerts_job(at: Topics) -> list[DataStreamWriter]:
     return [at.write(done, s.ALERTS_TOPIC, "deviceId", ["deviceId", "action", "target_speed", "reason", "ts"])]
 
 
+def scorecard_job(at: Topics, folder: str, tolerance: str = "5 minutes", window: str = "1 minute", horizon: str = "30 seconds",
+                  late: str = "30 seconds", salts: int = 1) -> list[DataStreamWriter]:
+    """Fixes, limits, weather and alerts -> rated scorecards per device and window, published as evaluations.
+
+    Two queries settle what lies side by side in time, each fix's weather and each alert's next fix, and append it below ``folder``;
+    the third joins the fixes with the limits, aggregates and rates. What the first two write comes in the order their watermark
+    moved, so the third needs no slack for it beyond ``horizon``, by which an answered alert may come earlier than another.
+    """
+    gps = topics.topic_rows(at.read(s.GPS_TOPIC), s.GPS_TOPIC).select("id", "deviceId", "speed", "event_time")
+    weather = topics.topic_rows(at.read(s.WEATHER_TOPIC), s.WEATHER_TOPIC).select("id", "deviceId", "weatherCondition", "event_time")
+    alerts = topics.topic_rows(at.read(s.ALERTS_TOPIC), s.ALERTS_TOPIC).select("deviceId", "action", "target_speed", "event_time")
+    settled = {
+        "fixes": asof.as_of_stream(gps, weather, ["weatherCondition"], late=late, forget=FORGET),
+        "answered": asof.as_of_stream(alerts.where("action = 'slow_down'"), gps, ["speed"], max_age=horizon, forward=True, late=late),
+    }
+    started, tables = [], {}
+    for name, rows in settled.items():
+        path = f"{folder}/{name}"
+        at.spark.createDataFrame([], rows.schema).write.mode("append").parquet(path)  # so that there is something to read
+        started.append(rows.writeStream.format("parquet").option("path", path)
+                       .option("checkpointLocation", f"{at.checkpoints}/{name}").queryName(name))
+        tables[name] = at.spark.readStream.schema(rows.schema).parquet(path)
+    cards = m.driver_scorecard_stream(
+        tables["fixes"].withWatermark("event_time", "0 seconds"), topics.speed_limit_stream(at.read(s.ROUTES_TOPIC), s.ROUTES_TOPIC),
+        tables["answered"].withWatermark("event_time", horizon), tolerance, window, salts)
+    published = m.evaluations(cards, F.current_timestamp())
+    extra = [c for c in cards.columns if c not in published.columns]
+    rows = cards.withColumns({"index": F.lit(0), "ts": F.unix_millis(F.current_timestamp())}).select(*published.columns, *extra)
+    return [*started, at.write(rows, s.EVALUATIONS_TOPIC, "deviceId")]
+
+
 def evaluator_job(at: Topics) -> list[DataStreamWriter]:
     """Metrics -> rating, class and feedback."""
     log = at.read(s.METRICS_TOPIC)

@@ -252,3 +252,39 @@ def stream_assistant_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All topics -> device state -> throttle -> advice, with a restart in the middle."""
     log = union_all([ev.MESSAGES[t](spark, sf_dir) for t in jobs.ASSISTANT_TOPICS])
     return run.replay(spark, "advice", halves(log), lambda x: jobs.advice_rows(x, "1 day").drop("prompt"))
+
+
+def scorecard_stages(log: DataFrame) -> list[DataFrame]:
+    """The log in two halves, then records of an extra device, twice: what settles the first of them closes the windows before."""
+    end = log.agg(F.max("timestamp").alias("end"))
+    stages = halves(log)
+    for days in (5, 10):
+        rows = end.select((F.col("end") + F.expr(f"INTERVAL {days} days")).alias("event_time"), F.lit("closer").alias("deviceId"),
+                          F.lit("slow_down").alias("action"), F.lit(1000.0).alias("target_speed"))
+        alert = to_envelope(rows.withColumn("ts", F.unix_millis("event_time")), s.ALERTS_TOPIC, "deviceId", "event_time",
+                            ["deviceId", "action", "target_speed", "ts"])
+        stages.append(run.closers(log, f"{days} days").unionByName(alert))
+    return stages
+
+
+def published_scorecards(spark: SparkSession, stages: list[DataFrame], **settings: str) -> DataFrame:
+    """Evaluations that the scorecard job publishes as the stages come in; every stage resumes from the checkpoints."""
+    folder = work_folder(spark, "scorecard")
+    for stage in stages:
+        for topic in (s.GPS_TOPIC, s.WEATHER_TOPIC, s.ALERTS_TOPIC, s.ROUTES_TOPIC):
+            stage.where(F.col("topic") == topic).write.mode("append").parquet(f"{folder}/topics/{topic}")
+        at = jobs.Topics(spark, f"{folder}/checkpoints", folder=f"{folder}/topics")
+        *settle, rate = jobs.scorecard_job(at, f"{folder}/settled", **settings)
+        run.run_all(spark, settle, availableNow=True)
+        run.run_all(spark, [rate], availableNow=True)
+    fields = "deviceId string, period string, avg_speed_over_limit double, overspeed_events long, max_speed_over_limit double, " \
+        "risky_weather_overspeed long, ignored_alerts long, rating int, class string"
+    sent = spark.read.schema("key string, value string").parquet(f"{folder}/topics/{s.EVALUATIONS_TOPIC}")
+    return sent.select(F.from_json("value", fields).alias("m")).select("m.*").where("deviceId <> 'closer'")
+
+
+@query("stream_driver_scorecard", using("classed", "SELECT * FROM classed"))
+def stream_driver_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = union_all([ev.MESSAGES[t](spark, sf_dir) for t in (s.GPS_TOPIC, s.ROUTES_TOPIC, s.WEATHER_TOPIC, s.ALERTS_TOPIC)])
+    cards = published_scorecards(spark, scorecard_stages(log), **WIDE, horizon="1 day")
+    return metric_rows(cards, "risky_weather_overspeed", "ignored_alerts", "rating", "class")

@@ -126,9 +126,14 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNotNull()).withColumn("reject_reason", F.lit("malformed"))
 
 
+def topic_rows(envelope: DataFrame, topic: str) -> DataFrame:
+    """Clean typed rows of one topic, without a watermark."""
+    return good(parse_messages(envelope.where(F.col("topic") == topic), MESSAGES[topic]))
+
+
 def topic_stream(envelope: DataFrame, topic: str) -> DataFrame:
     """Clean typed rows of one topic; a streaming input also gets the topic's watermark."""
-    rows = good(parse_messages(envelope.where(F.col("topic") == topic), MESSAGES[topic]))
+    rows = topic_rows(envelope, topic)
     if rows.isStreaming and topic in WATERMARKS:
         rows = rows.withWatermark("event_time", WATERMARKS[topic])
     return rows
