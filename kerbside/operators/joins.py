@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from kerbside.functions.rules import posted_limit_for
@@ -155,21 +155,14 @@ def _columns(band: Column, size: float) -> Column:
     return F.greatest(F.floor(360.0 * width / size), F.lit(1)).cast("bigint")
 
 
-def snap_to_road(places: DataFrame, roads: DataFrame, max_metres: float = 5_000.0,
-                 rows_per_slice: int | None = None) -> DataFrame:
-    """Nearest road point at most ``max_metres`` away of each distinct (latitude, longitude) in ``places``: ``placeId`` and
-    ``distance_m``. A place without one is left out.
-
-    Copies collapse first on both sides: equal places are looked up once, of road points at one spot the smallest
-    ``placeId`` counts. The globe is cut into bands of latitude and each band into cells, both at least ``max_metres`` wide, and
-    cell numbers run on across the date line; so the 3x3 cells around a place hold all there is to find, in one join.
-    Candidates are reduced to the nearest inside the joining task; a cell with very many places is salted, one with very
-    many roads is split by adaptive execution.
-    """
+def _near_roads(places: DataFrame, roads: DataFrame, max_metres: float, rows_per_slice: int | None,
+                along: Sequence[str] = ()) -> tuple[DataFrame, Column]:
+    """Distinct places next to the road points around them, and how far apart the two are (see ``snap_to_road``)."""
     size = max_metres * 1.001 / METRES_PER_DEGREE
     located = "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180"
     todo = places.select("latitude", "longitude").where(located).distinct()
-    spots = roads.where(located).groupBy("latitude", "longitude").agg(F.min("placeId").alias("placeId"))
+    spots = roads.where(located).groupBy("latitude", "longitude").agg(F.min(F.struct("placeId", *along)).alias("_p")) \
+        .select("latitude", "longitude", "_p.*")
 
     def cell(band: Column) -> Column:
         count = _columns(band, size)
@@ -183,7 +176,34 @@ def snap_to_road(places: DataFrame, roads: DataFrame, max_metres: float = 5_000.
         .withColumnsRenamed({"latitude": "_rlat", "longitude": "_rlng"})
     left, right, keys = spread(near, grid, ["_y", "_x"], ["latitude", "longitude"], rows_per_slice)
     metres = haversine(F.col("latitude"), F.col("longitude"), F.col("_rlat"), F.col("_rlng"))
+    return left.join(right, keys).where(metres <= max_metres), metres
+
+
+def road_candidates(places: DataFrame, roads: DataFrame, max_metres: float, most: int, along: Sequence[str] = (),
+                    rows_per_slice: int | None = None) -> DataFrame:
+    """Each distinct place with its ``most`` nearest road points at most ``max_metres`` away, in the order of ``placeId``:
+    ``candidates``, structs of placeId, latitude, longitude, distance_m and the columns ``along``. Spark keeps ``most``
+    rows per place and task before it shuffles them."""
+    near, metres = _near_roads(places, roads, max_metres, rows_per_slice, along)
+    order = Window.partitionBy("latitude", "longitude").orderBy(metres, "placeId")
+    kept = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
+    point = F.struct("placeId", F.col("_rlat").alias("latitude"), F.col("_rlng").alias("longitude"), metres.alias("distance_m"), *along)
+    return kept.groupBy("latitude", "longitude").agg(F.sort_array(F.collect_list(point)).alias("candidates"))
+
+
+def snap_to_road(places: DataFrame, roads: DataFrame, max_metres: float = 5_000.0,
+                 rows_per_slice: int | None = None) -> DataFrame:
+    """Nearest road point at most ``max_metres`` away of each distinct (latitude, longitude) in ``places``: ``placeId`` and
+    ``distance_m``. A place without one is left out.
+
+    Copies collapse first on both sides: equal places are looked up once, of road points at one spot the smallest
+    ``placeId`` counts. The globe is cut into bands of latitude and each band into cells, both at least ``max_metres`` wide, and
+    cell numbers run on across the date line; so the 3x3 cells around a place hold all there is to find, in one join.
+    Candidates are reduced to the nearest inside the joining task; a cell with very many places is salted, one with very
+    many roads is split by adaptive execution.
+    """
+    near, metres = _near_roads(places, roads, max_metres, rows_per_slice)
     candidate = F.struct(metres.alias("distance_m"), "placeId", F.col("_rlat").alias("road_latitude"),
                          F.col("_rlng").alias("road_longitude"))
-    best = left.join(right, keys).where(metres <= max_metres).groupBy("latitude", "longitude").agg(F.min(candidate).alias("_best"))
+    best = near.groupBy("latitude", "longitude").agg(F.min(candidate).alias("_best"))
     return best.select("latitude", "longitude", "_best.*")

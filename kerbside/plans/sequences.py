@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside import schemas as s
-from kerbside.operators import cache, joins, metrics as m, routes, windows
+from kerbside.operators import cache, joins, map_matching, metrics as m, routes, windows
 from kerbside.plans.analysis import DAY, gps_and_limits, wide_metrics
 from kerbside.plans.catalogue import WIDE, query
 from kerbside.plans.sql_views import ISO, POSTED, using
@@ -85,6 +85,40 @@ def snap_nearest_road(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("latitude", "longitude", "placeId", F.round("distance_m", 3).alias("distance_m"))
 
 
+SNAP_PATH_SQL = """, shaken AS (SELECT id, device, ts, lat + 0.0003::DOUBLE * ((id // 7) % 3 - 1) AS lat, lng FROM gps),
+    n AS (SELECT *, row_number() OVER (PARTITION BY device ORDER BY ts, id) - 1 AS n FROM shaken),
+    f AS (SELECT id, device, lat, lng, n // 3 AS window_no, n % 3 AS step FROM n
+      QUALIFY count(*) OVER (PARTITION BY device, n // 3) = 3),
+    spots AS (SELECT lat, lng, min(place) AS place, (min(place) // 100) % 3 AS road, (min(place) % 100) * 1635.0::DOUBLE AS along FROM roads GROUP BY lat, lng),
+    near AS (SELECT p.lat, p.lng, s.place, s.road, s.along, s.lat AS rlat, s.lng AS rlng, {apart_ps} AS metres
+      FROM (SELECT DISTINCT lat, lng FROM f) p JOIN spots s ON s.lat BETWEEN p.lat - 0.002 AND p.lat + 0.002 AND s.lng BETWEEN p.lng - 0.004 AND p.lng + 0.004),
+    c AS (SELECT *, round(500.0::DOUBLE * pow(metres / 20.0::DOUBLE, 2))::BIGINT AS cost FROM near WHERE metres <= 200
+      QUALIFY row_number() OVER (PARTITION BY lat, lng ORDER BY metres, place) <= 8),
+    o AS (SELECT f.id, f.device, f.window_no, f.step, f.lat, f.lng, c.place, c.road, c.along, c.rlat, c.rlng, c.metres, c.cost FROM f JOIN c ON c.lat = f.lat AND c.lng = f.lng),
+    ways AS (SELECT a.device, a.window_no, a.place AS p0, b.place AS p1, d.place AS p2, a.cost + b.cost + d.cost
+        + round(10 * abs(CASE WHEN a.road = b.road THEN abs(a.along - b.along) ELSE {apart_ab} + 500 END - {straight_ab}))::BIGINT
+        + round(10 * abs(CASE WHEN b.road = d.road THEN abs(b.along - d.along) ELSE {apart_bd} + 500 END - {straight_bd}))::BIGINT AS cost
+      FROM o a JOIN o b ON b.device = a.device AND b.window_no = a.window_no AND b.step = 1
+        JOIN o d ON d.device = a.device AND d.window_no = a.window_no AND d.step = 2 WHERE a.step = 0),
+    best AS (SELECT * FROM ways QUALIFY row_number() OVER (PARTITION BY device, window_no ORDER BY cost, p0, p1, p2) = 1)
+    SELECT o.device AS "deviceId", o.window_no, o.step::INT AS step, o.id AS fix_id, o.place AS "placeId", o.road AS "roadId", round(o.metres, 3) AS distance_m
+    FROM o JOIN best b ON b.device = o.device AND b.window_no = o.window_no AND o.place = CASE o.step WHEN 0 THEN b.p0 WHEN 1 THEN b.p1 ELSE b.p2 END"""
+
+
+def _apart(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
+    return f"""(2 * 6371008.8::DOUBLE * asin(least(1, sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2)
+      + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lng2}) - radians({lng1})) / 2), 2)))))"""
+
+
+@query("snap_path", using("gps roads", SNAP_PATH_SQL.format(
+    apart_ps=_apart("p.lat", "p.lng", "s.lat", "s.lng"), apart_ab=_apart("a.rlat", "a.rlng", "b.rlat", "b.rlng"), apart_bd=_apart("b.rlat", "b.rlng", "d.rlat", "d.rlng"),
+    straight_ab=_apart("a.lat", "a.lng", "b.lat", "b.lng"), straight_bd=_apart("b.lat", "b.lng", "d.lat", "d.lng"))))
+def snap_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of three fixes, seen beside their road, matched to three parallel roads."""
+    paths = windows.count_windows(ev.shaken(ev.gps(spark, sf_dir)), 3)
+    return map_matching.snap_path(paths, ev.parallel_roads(spark, sf_dir)).withColumn("distance_m", F.round("distance_m", 3))
+
+
 def snapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routes.snapped_routes(ev.gps(spark, sf_dir), ev.road_points(spark, sf_dir))
 

@@ -116,6 +116,19 @@ def road_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def parallel_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The road points as three roads side by side, with how far along its road each lies."""
+    roads = road_points(spark, sf_dir)
+    return roads.withColumns({"roadId": F.floor(F.col("placeId") / 100) % 3, "along_m": (F.col("placeId") % 100) * F.lit(1635.0)})
+
+
+def shaken(gps: DataFrame) -> DataFrame:
+    """Fixes up to 33 metres off their place, to the one side or the other."""
+    place = F.col("location")
+    off = F.lit(0.0003) * (F.floor(F.col("id") / 7) % 3 - 1)
+    return gps.withColumn("location", F.array(F.get(place, F.lit(0)) + off, F.get(place, F.lit(1))))
+
+
 def _message_rows(rows: DataFrame, **extra: Column) -> DataFrame:
     return rows.withColumn("timestamp", iso_time(F.col("event_time"))).withColumn("id", F.col("id").cast("string")) \
         .withColumns(extra)
