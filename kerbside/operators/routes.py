@@ -28,13 +28,17 @@ def snap_windows(windows: DataFrame, roads: DataFrame, rows_per_slice: int | Non
     return found.select("id", "deviceId", "event_time", "location", "placeId", "road_latitude", "road_longitude")
 
 
+def cache_keys(windows: DataFrame) -> DataFrame:
+    """Windows with the cache ``key`` of their last place."""
+    place = F.col("location")
+    return windows.withColumn("key", route_key(F.get(place, F.lit(0)), F.get(place, F.lit(1))))
+
+
 def cached_or_snapped(windows: DataFrame, roads: DataFrame, writes: DataFrame, ttl: str = TIME_TO_LIVE,
                       rows_per_slice: int | None = None) -> DataFrame:
     """As ``snap_windows``, but a window whose last place has a live cache entry takes the point from there; only the others
     are snapped. Adds ``cached``. ``writes`` are cache writes (``key``, ``value``, ``event_time``, ``id``)."""
-    place = F.col("location")
-    reads = windows.withColumn("key", route_key(F.get(place, F.lit(0)), F.get(place, F.lit(1))))
-    looked = cache_lookup(reads, writes, ttl, rows_per_slice)
+    looked = cache_lookup(cache_keys(windows), writes, ttl, rows_per_slice)
     kind = roads.schema["placeId"].dataType
     point = F.from_json("value", CACHED_POINT)
     hits = looked.where("value IS NOT NULL").withColumn("_p", point).select(

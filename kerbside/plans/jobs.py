@@ -11,6 +11,7 @@ from kerbside import schemas as s
 from kerbside.functions import rules, text
 from kerbside.operators import metrics as m, routes, state
 from kerbside.operators.cache import TIME_TO_LIVE
+from kerbside.operators.cache_table import CacheTable
 from kerbside.operators.joins import interval_join
 from kerbside.sinks import writers
 from kerbside.sources import topics
@@ -78,26 +79,24 @@ def routes_job(at: Topics, roads: DataFrame, out: str, size: int = 3, posted: Da
     """Every ``size`` valid fixes of a device -> a road point with a limit, published as route messages.
 
     The point comes from the cache below ``out`` if the place has a live entry written by an earlier batch, else from the
-    nearest road; what was snapped is cached. A batch that runs again sees the same entries and replaces its own. A second
+    nearest road; what was snapped is cached (``CacheTable``). A batch that runs again sees the same entries and replaces its own. A second
     query publishes the routes, a third keeps messages that are no valid fixes below ``out``, with the reason.
     """
     spark = at.spark
     checked = topics.validate_gps(at.read(s.GPS_TOPIC))
     fixes = topics.valid_gps(checked).where(topics.has_two_coordinates(F.col("location")))
     windows = stateful.count_windows_stream(fixes.withColumn("id", F.xxhash64("id")).withWatermark("event_time", LATE), size, FORGET)
-    kinds = "key STRING, value STRING, event_time TIMESTAMP, id BIGINT"
+    cache = CacheTable(spark, f"{out}/cache", ttl, LATE)
     sent = "deviceID STRING, placeId STRING, timestamp STRING, SpeedLimit DOUBLE"
-    for name, kind in (("cache", kinds), ("routes", sent)):  # so that there is something to read
-        spark.createDataFrame([], kind).write.mode("overwrite").parquet(f"{out}/{name}/batch_id=-1")
+    spark.createDataFrame([], sent).write.mode("overwrite").parquet(f"{out}/routes/batch_id=-1")  # so that there is something to read
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        earlier = spark.read.schema(f"{kinds}, batch_id BIGINT").parquet(f"{out}/cache").where(F.col("batch_id") < batch_id).drop("batch_id")
+        cache.compact(batch_id)
+        earlier = cache.writes_before(batch_id, routes.cache_keys(batch))
         found = routes.cached_or_snapped(batch, roads, earlier, ttl).persist()
         messages = routes.route_messages(routes.with_limit(found, posted))
         messages.write.mode("overwrite").parquet(f"{out}/routes/batch_id={batch_id}")
-        snapped = routes.cache_writes(found.where("NOT cached"))
-        newest = snapped.groupBy("key").agg(F.max(F.struct("event_time", "id", "value")).alias("w"))
-        newest.select("key", "w.value", "w.event_time", "w.id").write.mode("overwrite").parquet(f"{out}/cache/batch_id={batch_id}")
+        cache.write(routes.cache_writes(found.where("NOT cached")), batch_id)
         found.unpersist()
 
     routed = windows.writeStream.foreachBatch(save).option("checkpointLocation", f"{at.checkpoints}/routes").queryName("routes")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside import schemas as s
@@ -288,3 +289,44 @@ def stream_driver_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = union_all([ev.MESSAGES[t](spark, sf_dir) for t in (s.GPS_TOPIC, s.ROUTES_TOPIC, s.WEATHER_TOPIC, s.ALERTS_TOPIC)])
     cards = published_scorecards(spark, scorecard_stages(log), **WIDE, horizon="1 day")
     return metric_rows(cards, "risky_weather_overspeed", "ignored_alerts", "rating", "class")
+
+
+@query("stream_join_state", using("gps lim", """, mark AS (SELECT time_bucket(INTERVAL 1 MILLISECOND, least((SELECT max(ts) FROM gps) - INTERVAL 10 SECOND, (SELECT max(ts) FROM lim) - INTERVAL 30 SECOND))
+      - INTERVAL 1 DAY AS mark),
+    rows AS (SELECT 'left' AS side, ts FROM gps UNION ALL SELECT 'right', ts FROM lim)
+    SELECT side, count(*) AS kept, count(*) FILTER (ts > mark) AS after_eviction FROM rows, mark GROUP BY side"""))
+def stream_join_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the interval join holds after its first batch, and after the watermark has let it forget."""
+    folder = work_folder(spark, "join-state")
+    position_log(spark, sf_dir).write.parquet(f"{folder}/messages")
+    log = spark.readStream.schema(topics.ENVELOPE).parquet(f"{folder}/messages")
+    joined = joins.interval_join(gps_stream(log), limit_stream(log), "1 day", "left")
+    run.run_available(spark, joined.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint"))
+    first, last = (run.join_state(spark, f"{folder}/checkpoint", b).groupBy("side").agg(F.count("*").alias(name)) for b, name in ((0, "kept"), (None, "after_eviction")))
+    return first.join(last, "side", "left").select("side", "kept", F.coalesce("after_eviction", F.lit(0)).alias("after_eviction"))
+
+
+@query("stream_written_once", """SELECT event_id AS id, CAST(user_id AS VARCHAR) AS key FROM events WHERE event_type IN ('click', 'view', 'signup')""")
+def stream_written_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fix is delivered twice and the write of the first batch fails half-way, so that it runs again."""
+    folder = work_folder(spark, "once")
+    for stage in halves(ev.gps_messages(spark, sf_dir)):
+        stage.unionByName(stage).write.mode("append").parquet(f"{folder}/messages")
+        log = spark.readStream.schema(topics.ENVELOPE).parquet(f"{folder}/messages")
+        sent = topics.topic_rows(log, s.GPS_TOPIC).select("id", F.col("deviceId").alias("key"), "event_time")
+        failed = []
+
+        def fail_once(rows: DataFrame, batch_id: int) -> None:
+            if batch_id == 0 and not failed:
+                failed.append(batch_id)
+                rows.limit(1).write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+                raise RuntimeError("lost")
+
+        for attempt in (fail_once, None):
+            writer = writers.once_writer(sent, f"{folder}/out", f"{folder}/checkpoint", ["id", "key"], "1 day", attempt)
+            try:
+                run.run_available(spark, writer)
+            except StreamingQueryException:
+                if not failed:
+                    raise
+    return spark.read.parquet(f"{folder}/out").select(number("id"), "key")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -68,3 +68,19 @@ def tap_counts(taps: Mapping[str, DataFrame]) -> DataFrame:
         rows.agg(F.count(F.lit(1)).alias("rows_seen")).select(F.lit(tag).alias("tag"), "rows_seen")
         for tag, rows in taps.items()
     ])
+
+
+def once_writer(messages: DataFrame, path: str, checkpoint: str, by: Sequence[str] = ("key", "value"), late: str = "10 minutes",
+                first: Callable[[DataFrame, int], None] | None = None) -> DataStreamWriter:
+    """Messages with the effect of being written once: what a source delivers again within ``late`` of its first time, by the
+    columns ``by``, is dropped in state, and each micro-batch is one transaction, the folder ``batch_id=N``, which replaces what a
+    failed attempt at the same batch left. ``event_time`` carries the watermark. ``first`` is called with each batch before it is
+    written; it may be called again for a batch whose write failed."""
+    distinct = messages.withWatermark("event_time", late).dropDuplicatesWithinWatermark(list(by))
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        if first:
+            first(rows, batch_id)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return distinct.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)

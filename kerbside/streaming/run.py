@@ -119,3 +119,16 @@ def replay(spark: SparkSession, label: str, stages: Sequence[DataFrame], build:
         return spark.read.schema(result.schema).parquet(sink)
     schema = StructType([*result.schema.fields, StructField("batch_id", LongType(), True)])
     return spark.read.schema(schema).option("basePath", sink).parquet(sink)
+
+
+def join_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None, operator: int = 0) -> DataFrame:
+    """What a stream-stream join of a query keeps, read from its checkpoint as a table: ``side`` and the row's ``key`` and ``value``.
+
+    ``batch_id``: as it stood after that batch; without, after the last one.
+    """
+    sides = []
+    for side in ("left", "right"):
+        reader = spark.read.format("statestore").option("joinSide", side).option("operatorId", operator)
+        rows = (reader if batch_id is None else reader.option("batchId", batch_id)).load(checkpoint)
+        sides.append(rows.select(F.lit(side).alias("side"), F.to_json("key").alias("key"), F.to_json("value").alias("value")))
+    return sides[0].unionByName(sides[1])

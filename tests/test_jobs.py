@@ -9,6 +9,7 @@ from kerbside import schemas as s
 from kerbside.plans import jobs
 from kerbside.sources import topics
 from kerbside.operators import routes
+from kerbside.operators.cache_table import CacheTable
 from kerbside.streaming.run import run_all, run_available
 
 START = datetime(2024, 1, 1, 12, 0, 20)
@@ -88,7 +89,7 @@ def test_routes_and_cache(spark, done):
     sent = spark.read.schema("key string, value string").parquet(f"{done}/topics/{s.ROUTES_TOPIC}").where("key <> 'k'")
     rows = sent.select(F.get_json_object("value", "$.placeId").alias("p"), "key")
     assert sorted((r["key"], r["p"]) for r in rows.collect()) == [("bmw", "1")] * 2 + [("lada", "1")] * 2
-    [entry] = spark.read.parquet(f"{done}/routes/cache").select("key").distinct().collect()
+    [entry] = CacheTable(spark, f"{done}/routes/cache").writes_before(1_000).select("key").distinct().collect()
     assert entry["key"] == "route:51.5:-0.13"
     assert sorted(r["reject_reason"] for r in spark.read.parquet(f"{done}/routes/rejected").collect()) == ["direction", "malformed"]
 
