@@ -288,15 +288,25 @@ def trip_summary(gps: DataFrame, limits: DataFrame, gap: str = "30 minutes", tol
     )
 
 
-def trip_summary_stream(gps: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Trips of a stream, emitted once the watermark passes their silence."""
-    trips = gps.groupBy("deviceId", F.session_window("event_time", gap).alias("s")).agg(
-        F.count(F.lit(1)).alias("fixes"), F.sum("speed").alias("total_speed"), F.max("speed").alias("max_speed"),
-        F.min("event_time").alias("trip_start"), F.max("event_time").alias("trip_end"),
+def trip_summary_stream(gps: DataFrame, gap: str = "30 minutes", limits: DataFrame | None = None, tolerance: str = "5 minutes",
+                        salts: int = 1) -> DataFrame:
+    """Trips of a stream, emitted once the watermark passes their silence; with ``limits`` (a speed-limit stream) also their overspeed
+    pairs. Fixes and the pairs that the interval join finds go into one session window, which closes when neither can
+    bring anything any more."""
+    fixes = gps.select("deviceId", "event_time", "speed", F.lit(1).alias("fix"))
+    if limits is not None:
+        pairs = interval_join(gps.select("deviceId", "event_time", "speed"), limits, tolerance, "inner", salts=salts)
+        over = pairs.where(f"speed > SpeedLimit AND NOT isnan(speed) AND {NUMBER}")
+        fixes = fixes.unionByName(over.select("deviceId", "event_time", "speed", F.lit(0).alias("fix")))
+    seen = F.when(F.col("fix") == 1, F.col("speed"))
+    trips = fixes.groupBy("deviceId", F.session_window("event_time", gap).alias("s")).agg(
+        F.sum("fix").alias("fixes"), F.sum(seen).alias("total_speed"), F.max(seen).alias("max_speed"),
+        F.min("event_time").alias("trip_start"), F.max("event_time").alias("trip_end"), (F.count("*") - F.sum("fix")).alias("overspeed_events"),
     )
     return trips.select(
-        "deviceId", "trip_start", "trip_end", "fixes",
+        "deviceId", "trip_start", "trip_end", ((F.unix_micros("trip_end") - F.unix_micros("trip_start")) / 1_000_000).alias("duration_s"), "fixes",
         (F.col("total_speed") / F.col("fixes")).alias("avg_speed"), "max_speed",
+        *([] if limits is None else ["overspeed_events"]),
     )
 
 

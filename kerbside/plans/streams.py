@@ -86,17 +86,19 @@ def stream_watermark_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.replay(spark, "late", [log, late, run.closers(log, "5 days")], lambda x: day_counts(gps_stream(x)))
 
 
-@query("stream_trip_summary", using("gps", """, flagged AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 12 HOUR THEN 1 ELSE 0 END AS s
+@query("stream_trip_summary", using("gps over", """, pairs AS (SELECT id, count(*) AS n FROM over GROUP BY id),
+    flagged AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 12 HOUR THEN 1 ELSE 0 END AS s
       FROM gps WINDOW w AS (PARTITION BY device ORDER BY ts, id)),
     tripped AS (SELECT *, sum(s) OVER (PARTITION BY device ORDER BY ts, id) AS trip FROM flagged)
     SELECT device AS "deviceId", strftime(min(ts), """ + ISO + """) AS trip_start, strftime(max(ts), """ + ISO + """) AS trip_end, count(*) AS fixes,
-      round(sum(speed), 2) / count(*) AS avg_speed, max(speed) AS max_speed FROM tripped GROUP BY device, trip"""))
+      (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE AS duration_s, round(sum(speed), 2) / count(*) AS avg_speed, max(speed) AS max_speed,
+      CAST(coalesce(sum(n), 0) AS BIGINT) AS overspeed_events FROM tripped LEFT JOIN pairs USING (id) GROUP BY device, trip"""))
 def stream_trip_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = ev.gps_messages(spark, sf_dir)
-    rows = run.replay(spark, "trips", with_closer(log), lambda x: m.trip_summary_stream(gps_stream(x), "12 hours"))
+    rows = run.replay(spark, "trips", [*halves(position_log(spark, sf_dir)), run.closers(position_log(spark, sf_dir), "5 days")],
+                      lambda x: m.trip_summary_stream(gps_stream(x), "12 hours", limit_stream(x), "1 day"))
     return rows.where("deviceId <> 'closer'").select(
-        "deviceId", iso_time(F.col("trip_start")).alias("trip_start"), iso_time(F.col("trip_end")).alias("trip_end"), "fixes",
-        settled("avg_speed", "fixes"), "max_speed",
+        "deviceId", iso_time(F.col("trip_start")).alias("trip_start"), iso_time(F.col("trip_end")).alias("trip_end"), "duration_s", "fixes",
+        settled("avg_speed", "fixes"), "max_speed", "overspeed_events",
     )
 
 
