@@ -13,6 +13,8 @@ from kerbside.operators import metrics as m, routes, state
 from kerbside.operators.cache import TIME_TO_LIVE
 from kerbside.operators.cache_table import CacheTable
 from kerbside.operators.joins import interval_join
+from kerbside.operators.retrieval import TOP_K, requests_with_context
+from kerbside.operators.vector_index import VectorIndex
 from kerbside.sinks import writers
 from kerbside.sources import topics
 from kerbside.streaming import asof, stateful
@@ -129,6 +131,20 @@ def assistant_job(at: Topics, gap: str = "2 seconds") -> list[DataStreamWriter]:
     return [at.write(advice_rows(at.read(*ASSISTANT_TOPICS), gap), ADVICE_TOPIC, "deviceId", fields)]
 
 
+def context_job(at: Topics, index: VectorIndex, chunks: DataFrame, out: str, k: int = TOP_K, gap: str = "2 seconds") -> list[DataStreamWriter]:
+    """What a model would be asked for each piece of advice: the prompt behind the chunks (``vec_id``, ``chunk``) that the index
+    finds nearest to it, per micro-batch below ``out``."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn("query_id", F.xxhash64("deviceId", "ts", "prompt"))
+        distinct = named.select("query_id", "prompt").distinct()
+        asked = requests_with_context(distinct, chunks, lambda queries: index.search(queries, k))
+        rows = named.join(asked.select("query_id", "request"), "query_id", "left").drop("query_id", "prompt")
+        rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    advice = advice_rows(at.read(*ASSISTANT_TOPICS), gap)
+    return [advice.writeStream.foreachBatch(save).option("checkpointLocation", f"{at.checkpoints}/requests").queryName("requests")]
+
+
 def alerts_job(at: Topics) -> list[DataStreamWriter]:
     """Advice that is no near-duplicate of the device's last four."""
     log = at.read(ADVICE_TOPIC).withColumn("id", F.xxhash64("value"))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from kerbside import schemas as s
 from kerbside.plans import jobs
 from kerbside.sources import topics
+from kerbside.sources.documents import build_chunk_vectors
 from kerbside.operators import routes
 from kerbside.operators.cache_table import CacheTable
+from kerbside.operators.vector_index import build_index
 from kerbside.streaming.run import run_all, run_available
 
 START = datetime(2024, 1, 1, 12, 0, 20)
@@ -135,3 +137,21 @@ def test_archive(spark, done):
 def test_all_taps_of_the_metrics_job_can_start(spark, done):
     at = jobs.Topics(spark, f"{done}/other", folder=f"{done}/topics")
     assert len(jobs.metrics_job(at, taps=True)) == 6
+
+
+def test_requests_carry_the_nearest_chunks(spark, done, tmp_path):
+    texts = [(1, 0, "fog and rain make the road wet, slow down"), (2, 0, "vehicle car speed limit weather road abs braking system"), (3, 0, "zebra")]
+    chunks = build_chunk_vectors(spark.createDataFrame(texts, "doc_id long, chunk_no int, chunk string"))
+    index = build_index(chunks, cells=2)
+    at = jobs.Topics(spark, str(tmp_path / "c"), folder=f"{done}/topics")
+    for writer in jobs.context_job(at, index, chunks, str(tmp_path / "r"), k=2):
+        run_available(spark, writer, 1)
+    requests = spark.read.parquet(str(tmp_path / "r")).collect()
+    assert requests and all(r["request"].count("\n\n") >= 1 and "The vehicle is a" in r["request"] for r in requests)
+    assert any("zebra" not in r["request"] and "abs braking" in r["request"] for r in requests)
+
+
+def test_scorecard_job_runs_next_to_the_others(spark, done, tmp_path):
+    at = jobs.Topics(spark, str(tmp_path / "c"), folder=f"{done}/topics")
+    names = [w._jwrite is not None for w in jobs.scorecard_job(at, str(tmp_path / "s"))]
+    assert names == [True] * 3
