@@ -21,10 +21,12 @@ texts are never shuffled but for the bounded sample.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -46,36 +48,55 @@ ONE = f"(?:{LETTER}|{SIGN})"
 SEPARATOR = r"[ .\-_*~·,']"
 #: In a text: letters or signs spaced one by one. In a token: a run of letters and signs; letters or signs with separators after
 #: each; a letter three times or more.
-SPACED = re.compile(rf"(?<!\w){ONE}(?:{SEPARATOR}{{1,3}}{ONE}(?!\w)){{3,}}")
+SPACED = re.compile(rf"(?<!\w){ONE}(?:{SEPARATOR}{{1,3}}{ONE}(?!\w)){{2,}}")
 WIDE = re.compile(f"{SEPARATOR}{{3,}}")
 RUN = re.compile(f"{ONE}+")
-DOTTED = re.compile(rf"{ONE}(?:[.\-_*~·,']{{1,3}}{ONE}){{3,}}")
+DOTTED = re.compile(rf"{ONE}(?:[.\-_*~·,']{{1,3}}{ONE}){{2,}}")
 REPEATED = re.compile(rf"({LETTER})\1\1")
+TWICE = re.compile(rf"({SIGN})\1")
 WORDS = re.compile(rf"{LETTER}+")
 EDGES = ".,;:!?\"'()[]{}<>"
 #: Signs that may also be punctuation around a stretch.
 POINTS = "".join(c for c in LOOKALIKES if not c.isalnum())
 #: Readings that a task keeps, and features that it counts before it passes them on.
-KNOWN, COUNTED = 20_000, 200_000
+KNOWN, COUNTED = 300_000, 200_000
 #: Channel log probabilities: a letter as it is, a sign for a letter, a separator or repeat left out, a sign as it is.
 PLAIN, STANDS, DROPPED, LITERAL = -0.1, -1.0, -0.7, -6.0
+LOG = [0.0, *np.log(np.arange(1, 6)).tolist()]
 
-#: Character classes of the model: 0 for anything else and word ends, then a-z, then U+00DF to U+00FF.
-N_CLASSES = 60
+#: Character classes of the model: 0 for anything else and word ends, then a-z, then U+00DF to U+00FF, then the letters of other
+#: scripts by their place modulo 32, which keeps the letters of one alphabet apart.
+N_CLASSES = 92
 
 
 def class_of(char: str) -> int:
     code = ord(char)
     if 97 <= code <= 122:
         return code - 96
-    return code - 0xDF + 27 if 0xDF <= code <= 0xFF else 0
+    if 0xDF <= code <= 0xFF:
+        return code - 0xDF + 27
+    return 60 + code % 32 if code > 0xFF and char.isalpha() else 0
 
 
+@cache
 def _class_table() -> np.ndarray:
-    table = np.zeros(0x110000, np.uint8)
-    for code in (*range(97, 123), *range(0xDF, 0x100)):
-        table[code] = class_of(chr(code))
-    return table
+    return np.array([class_of(chr(code)) for code in range(0x110000)], np.uint8)
+
+
+class Classes(dict):
+    """The class of a character, kept once it is known."""
+
+    def __missing__(self, char: str) -> int:
+        self[char] = value = class_of(char)
+        return value
+
+
+CLASSES = Classes()
+
+
+def as_lists(model: np.ndarray | list) -> list:
+    """The table as nested lists, which single look-ups read several times as fast."""
+    return model.tolist() if isinstance(model, np.ndarray) else model
 
 
 def trigram_model(docs: DataFrame) -> np.ndarray:
@@ -98,26 +119,34 @@ def trigram_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(2, keepdims=True)).astype(np.float32)
 
 
-def decoded(stretch: str, model: np.ndarray) -> str:
-    """The best reading of a disguised stretch; ``model`` as ``trigram_model`` gives it."""
-    lower = stretch.lower()
+def decoded(stretch: str, model: np.ndarray | list, squeeze: bool = True) -> str:
+    """The best reading of a disguised stretch; ``model`` as ``trigram_model`` gives it. Without ``squeeze`` a sign that is
+    repeated stands for as many letters."""
+    lower, model = stretch.lower(), as_lists(model)
     best: dict[tuple[str, str], tuple[float, tuple]] = {(" ", " "): (0.0, ())}  # readings as (reading before, character)
     for i, char in enumerate(lower):
         if char.isalpha():
-            options = [(char, PLAIN)]
+            options = ((char, CLASSES[char], PLAIN),)
+        elif (meant := LOOKALIKES.get(char)):
+            options = tuple((x, CLASSES[x], STANDS - LOG[len(meant)]) for x in meant)
         else:
-            options = [(x, STANDS - np.log(len(LOOKALIKES[char]))) for x in LOOKALIKES.get(char, "")] or [(char, LITERAL)]
+            options = ((char, CLASSES[char], LITERAL),)
+        separator = char in SEPARATORS
+        repeats = i > 0 and char == lower[i - 1] and (squeeze or char.isalpha())
         then: dict[tuple[str, str], tuple[float, tuple]] = {}
-        for (a, b), (score, text) in best.items():
-            row = model[class_of(a), class_of(b)]
-            moves = [((b, x), score + p + float(row[class_of(x)]), (text, x)) for x, p in options]
-            if char in SEPARATORS or (i and char == lower[i - 1]) or (b != " " and char == b):
-                moves.append(((a, b), score + DROPPED, text))
-            for state, value, reading in moves:
-                if state not in then or value > then[state][0]:
-                    then[state] = (value, reading)
+        for state, (score, text) in best.items():
+            a, b = state
+            row = model[CLASSES[a]][CLASSES[b]]
+            for x, kind, p in options:
+                value = score + p + row[kind]
+                if (known := then.get((b, x))) is None or value > known[0]:
+                    then[b, x] = (value, (text, x))
+            if separator or repeats or (b != " " and char == b):
+                value = score + DROPPED
+                if (known := then.get(state)) is None or value > known[0]:
+                    then[state] = (value, text)
         best = then
-    ended = {s: v + float(model[class_of(s[0]), class_of(s[1]), 0]) for s, (v, _) in best.items()}
+    ended = {s: v + model[CLASSES[s[0]]][CLASSES[s[1]]][0] for s, (v, _) in best.items()}
     most = max(ended.values())
 
     def text_of(reading: tuple) -> str:
@@ -155,7 +184,8 @@ def readings(token: str, model: np.ndarray) -> tuple[str, ...]:
     if not words:
         return ()
     found = stretches(token) | ({core} if REPEATED.search(core) else set())
-    return tuple({*words, *(w for x in found for w in WORDS.findall(decoded(x, model)))})
+    ways = [(x, squeeze) for x in found for squeeze in ((True, False) if TWICE.search(x) else (True,))]
+    return tuple({*words, *(w for x, squeeze in ways for w in WORDS.findall(decoded(x, model, squeeze)))})
 
 
 def spaced_out(match: str, model: np.ndarray) -> set[str]:
@@ -173,19 +203,26 @@ def spaced_out(match: str, model: np.ndarray) -> set[str]:
     return words
 
 
-def words_in(text: str | None, model: np.ndarray, known: dict[str, tuple[str, ...]]) -> set[str]:
-    """The distinct words of a text as written and as restored; ``known`` keeps readings and is emptied when large."""
+def found_in(text: str | None, model: np.ndarray | list, known: dict[str, tuple], pick: Callable[[Iterable[str]], tuple]) -> set:
+    """What ``pick`` takes from the distinct words of a text as written and as restored; ``known`` keeps it by token and is emptied
+    when large."""
     lower = (text or "").lower()
-    tokens, words = set(lower.split()), set()
+    found: set = set()
     if len(known) > KNOWN:
         known.clear()
-    for token in tokens:
-        if (read := known.get(token)) is None:
-            read = known[token] = readings(token, model)
-        words.update(read)
+    for token in set(lower.split()):
+        if (own := known.get(token)) is None:
+            own = known[token] = pick(readings(token, model))
+        if own:
+            found.update(own)
     for match in SPACED.finditer(lower):
-        words |= spaced_out(match.group(), model)
-    return words
+        found.update(pick(spaced_out(match.group(), model)))
+    return found
+
+
+def words_in(text: str | None, model: np.ndarray | list, known: dict[str, tuple]) -> set[str]:
+    """The distinct words of a text as written and as restored."""
+    return found_in(text, as_lists(model), known, tuple)
 
 
 def features_of(word: str) -> list[str]:
@@ -193,6 +230,10 @@ def features_of(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k)]
 
 
+def features_in(words: Iterable[str]) -> tuple[str, ...]:
+    return tuple({f for w in words for f in features_of(w)})
+
+
 @dataclass
 class Toxicity:
     """What the scorer needs: the character model, weights by feature, coefficients of the regression."""
@@ -201,10 +242,13 @@ class Toxicity:
     weights: dict[str, float]
     coefficients: np.ndarray
 
+    def weighted(self, words: Iterable[str]) -> tuple[str, ...]:
+        return tuple(f for f in features_in(words) if f in self.weights)
+
     def inputs(self, text: str | None, known: dict[str, tuple[str, ...]]) -> list[float]:
-        features = {f for w in words_in(text, self.model, known) for f in features_of(w)}
-        found = [self.weights[f] for f in features & self.weights.keys()]
-        return [1.0, max(found, default=0.0), float(np.log1p(sum(found))), float(np.log1p(len(found)))]
+        self.model = as_lists(self.model)  # of this task's copy
+        found = [self.weights[f] for f in found_in(text, self.model, known, self.weighted)]
+        return [1.0, max(found, default=0.0), float(np.log1p(math.fsum(found))), float(np.log1p(len(found)))]
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = 20_000, features: int = 20_000) -> Toxicity:
@@ -231,9 +275,10 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 20_000, features: int
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[str, ...]] = {}
         seen: tuple[Counter, Counter] = (Counter(), Counter())
+        lists = as_lists(model)
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"]):
-                seen[int(label > 0)].update({f for w in words_in(text, model, known) for f in features_of(w)})
+                seen[int(label > 0)].update(found_in(text, lists, known, features_in))
             if sum(map(len, seen)) > COUNTED:
                 yield passed_on(seen)
         yield passed_on(seen)

@@ -60,6 +60,7 @@ def test_restoration(corpus):
     ("x1y,id10t", "idiot"), ("w1nd0w/l0ser", "loser"), ("river,st0ne,br1ght,$cumb@g", "scumbag"),  # every stretch of a token
     ("l0$3r!", "loser"), ("idi0+", "idiot"), ("scumb@9", "scumbag"), ("lo5e|2", "lose"), ("the idio7 here", "idiot"),  # signs at the end
     ("i. d. i. o. t", "idiot"), ("l o o s e r", "loser"), ("! d i o t", "idiot"), ("l - o - s - e - r", "loser"),  # spaced out
+    ("k i t", "kit"), ("k.i.t", "kit"), ("such k-i-t!", "kit"), ("ye11ow", "yellow"),
     ("l o l o l o", "lo"), ("1.d.1.0.t", "idiot"), ("you,i.d.i.o.t,you", "idiot"), ("1 i a l o s e r", "loser")])
 def test_every_disguise(corpus, text, word):
     model = toxicity.trigram_model(corpus[0])
