@@ -4,11 +4,13 @@ Every document gets ratios in ten-thousandths (symbols, repeated lines, words in
 case, mean word length). Per (language, source) and rule a log-bucket sketch holds their distribution:
 values below 64 have a bucket each, then 32 buckets per power of two, so a quantile is off by 1/32 at
 most. A sketch is a set of (bucket, count) rows; sketches merge by adding counts, which a plain
-aggregation does, exactly and in any order. Groups with fewer than ``least`` documents use the merged
-sketch of their language, then of all. The upper fence of a rule is its median plus ``spread`` times
-the distance from the lower quartile to the median, plus the rule's allowance, which keeps the fence
-off the data where a group hardly varies; the lower fence (word length) mirrors it. Thresholds are
-joined back and a document outside any fence is rejected.
+aggregation does, exactly and in any order. The upper fence of a rule is the group's median plus ``spread`` times
+the distance from there to the ninth decile; where nine tenths of the group are alike, as with symbols that most
+texts do without, it is half-way between the median and the 99th percentile. The lower fence (word length) mirrors the first
+by the first decile. A group with fewer than ``least`` documents, or whose 99th percentile is its median, takes the
+merged sketch of its language, then that of all; a rule in which even these show no tail rejects nothing. No constant
+decides: every fence is made of quantiles. Thresholds are joined back and a document outside any fence is rejected;
+one that stands exactly on a fence stays.
 
 Edge cases: a null or blank text has no words, fails the base and takes no part in a sketch; null
 language or source form their own group; repeated rows count as often as they come; an empty table
@@ -26,9 +28,9 @@ from pyspark.sql import functions as F
 from kerbside.llm.common import count_of, let, stored, words_of
 
 SYMBOLS = "#*$%&|<>"
-#: rule: (allowance above the fence, allowance below it or None)
-RULES = {"symbols": (150, None), "dup_lines": (2500, None), "repeats": (2500, None), "uppers": (1000, None),
-         "word_length": (20000, 15000)}
+#: rule: whether it has a lower fence too
+RULES = {"symbols": False, "dup_lines": False, "repeats": False, "uppers": False, "word_length": True}
+PERCENTS = (10, 50, 90, 99)
 RATIO = 10_000
 
 
@@ -104,40 +106,39 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
     return sketch.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """Lower quartile, median and upper quartile of each sketch."""
+def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
+    """The values below which ``PERCENTS`` of each sketch lie, and its size."""
     group = Window.partitionBy(*keys, "rule")
     run = sketch.withColumn("_run", F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
     run = run.withColumn("_all", F.sum("n").over(group))
-    at = lambda q: F.min(F.when(F.col("_run") * 4 >= F.col("_all") * q, F.col("bucket")))
-    return run.groupBy(*keys, "rule").agg(*[value_of(at(q)).alias(f"q{q}") for q in (1, 2, 3)], F.first("_all").alias("seen"))
+    at = lambda p: F.min(F.when(F.col("_run") * 100 >= F.col("_all") * p, F.col("bucket")))
+    return run.groupBy(*keys, "rule").agg(*[value_of(at(p)).alias(f"p{p}") for p in PERCENTS], F.first("_all").alias("seen"))
 
 
 def fences(sketch: DataFrame, least: int, spread: int) -> DataFrame:
     """(lang, source, bounds by rule), from the group's own sketch or the merged one it falls back on."""
-    own = quartiles(sketch, "lang", "source")
-    by_lang = quartiles(merged(sketch, "lang"), "lang")
-    overall = quartiles(merged(sketch))
+    own = quantiles(sketch, "lang", "source")
+    by_lang = quantiles(merged(sketch, "lang"), "lang")
+    overall = quantiles(merged(sketch))
+    tells = lambda side: (F.col(f"{side}.seen") >= least) & (F.col(f"{side}.p99") > F.col(f"{side}.p50"))
     chosen = (
         own.alias("o").join(by_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.rule") == F.col("l.rule")))
         .join(overall.alias("a"), F.col("o.rule") == F.col("a.rule"))
         .select("o.lang", "o.source", "o.rule", *[
-            F.when(F.col("o.seen") >= least, F.col(f"o.{q}")).when(F.col("l.seen") >= least, F.col(f"l.{q}"))
-            .otherwise(F.col(f"a.{q}")).alias(q) for q in ("q1", "q2", "q3")])
+            F.when(tells("o"), F.col(f"o.p{p}")).when(tells("l"), F.col(f"l.p{p}")).otherwise(F.col(f"a.p{p}")).alias(f"p{p}") for p in PERCENTS])
     )
-    allowance = F.create_map(*[F.lit(x) for k, (up, _) in RULES.items() for x in (k, up)])
-    below = F.create_map(*[F.lit(x) for k, (_, down) in RULES.items() for x in (k, down if down is not None else -1)])
+    two_sided = F.col("rule").isin([k for k, both in RULES.items() if both])
     bounds = chosen.select(
         "lang", "source", "rule",
-        (F.col("q2") + spread * (F.col("q2") - F.col("q1")) + F.element_at(allowance, F.col("rule"))).alias("high"),
-        F.when(F.element_at(below, F.col("rule")) >= 0,
-               F.col("q2") - spread * (F.col("q3") - F.col("q2")) - F.element_at(below, F.col("rule"))).alias("low"))
+        F.when(F.col("p90") > F.col("p50"), F.col("p50") + spread * (F.col("p90") - F.col("p50")))
+        .when(F.col("p99") > F.col("p50"), F.floor((F.col("p50") + F.col("p99")) / 2).cast("long")).alias("high"),
+        F.when(two_sided & (F.col("p50") > F.col("p10")), F.col("p50") - spread * (F.col("p50") - F.col("p10"))).alias("low"))
     return bounds.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("rule") == k, F.struct("low", "high"))).alias(f"_{k}") for k in RULES])
 
 
 def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, least: int = 100,
-                  spread: int = 4) -> DataFrame:
+                  spread: int = 5) -> DataFrame:
     """Counts, ratios, the base's and the adaptive verdict per row of ``docs``."""
     measures = stored(measured(docs), "quality-measures")
     bounds = fences(sketches(measures), least, spread)

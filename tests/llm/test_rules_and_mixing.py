@@ -1,6 +1,8 @@
 """Quality rules and mixing against plain Python."""
 
+import random
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -46,6 +48,62 @@ def test_quality_counts_and_verdicts(spark):
     assert all(verdict[100 + i] for i in range(150)) and not verdict[500]
 
 
+def ratios(text):
+    n_words, chars, symbols, dup_lines, repeats = counts(text)
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    upper = len([c for c in text or "" if unicodedata.category(c) == "Lu"])
+    share = lambda a, b: 10_000 * a // max(b, 1)
+    return {"symbols": share(symbols, chars), "dup_lines": share(dup_lines, len(lines)), "repeats": share(repeats, n_words),
+            "uppers": share(upper, chars), "word_length": share(chars, n_words)}
+
+
+def in_sketch(value):
+    """The lower end of the value's bucket: itself below 64, then 32 buckets per power of two."""
+    width = 1 << max(0, value.bit_length() - 6)
+    return value // width * width
+
+
+def brute_kept(data, least, spread):
+    measures = [(ratios(t), lang, source) for _, t, lang, source, *_ in data if counts(t)[0]]
+    def quantile(rule, p, group):
+        values = sorted(in_sketch(r[rule]) for r, *g in measures if group(*g))
+        return values[-(-len(values) * p // 100) - 1], len(values)
+
+    kept, high_fences = {}, {}
+    for i, t, lang, source, *_ in data:
+        n_words, *_, repeats = counts(t)
+        ok = n_words >= 50 and 100 * repeats <= 50 * n_words
+        for rule, value in ratios(t).items() if n_words else ():
+            for group in (lambda a, b: (a, b) == (lang, source), lambda a, b: a == lang, lambda a, b: True):  # noqa: B023
+                (p10, seen), (p50, _), (p90, _), (p99, _) = (quantile(rule, p, group) for p in (10, 50, 90, 99))
+                if seen >= least and p99 > p50:
+                    break
+            high = p50 + spread * (p90 - p50) if p90 > p50 else (p50 + p99) // 2 if p99 > p50 else None
+            high_fences[lang, source, rule] = high
+            ok &= high is None or value <= high
+            ok &= rule != "word_length" or p50 == p10 or value >= p50 - spread * (p50 - p10)
+        kept[i] = ok
+    return kept, high_fences
+
+
+def test_fences_adapt_to_each_source(spark):
+    """Two sources with symbols at different levels, one without any, a small one, ties at a fence."""
+    rng = random.Random(9)
+    data = []
+    for source, level in (("plain", 0), ("code", 3), ("math", 9)):
+        for i in range(60):
+            words = [f"{rng.choice('abcdefgh')}word{rng.randrange(500)}" for _ in range(60)]
+            words += ["$%#"] * (rng.randrange(level + 1) if level else 0)
+            text = "\n".join(" ".join(words[j:j + 9]) for j in range(0, len(words), 9)) + "\nsame\nsame" * rng.randrange(3)
+            data.append((len(data), text + (" ###" * 60 if i % 20 == 7 else ""), "en", source, 1, "", 0))
+    data += [(1000 + i, data[i][1], "en", "tiny", 1, "", 0) for i in range(5)] + [(2000, None, "en", "plain", 1, "", 0), (2001, "short", None, None, 1, "", 0)]
+    got = quality_rules.quality_rules(spark.createDataFrame(data, SCHEMA), least=40)
+    want, fences = brute_kept(data, 40, 5)
+    assert {r.doc_id: r.kept for r in got.collect()} == want
+    assert len({fences["en", s, "symbols"] for s in ("plain", "code", "math")}) == 3
+    assert 0 < sum(not v for v in want.values()) < 40
+
+
 def test_sketch_buckets_and_merging(spark):
     values = spark.range(0, 200_000, 7).select(F.col("id").alias("x"))
     off = values.select((F.col("x") - quality_rules.value_of(quality_rules.bucket_of(F.col("x")))).alias("d"), "x")
