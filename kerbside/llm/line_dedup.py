@@ -3,12 +3,15 @@
 A line's key is the line without ASCII blanks at its ends, A-Z lower-cased; keys shorter than
 ``min_chars`` code points are left alone. The state lies below one folder: ``log``, the exact table
 with a row (shard, key, document, +1 or -1) per change, and ``filters``, a cuckoo filter per shard and
-version. A key's reference count is the number of documents that hold it, its owner the smallest of
+version. ``LineIndex.open`` takes a state up again; filters that a lost driver did not finish are made from the log. A key's reference count is the number of documents that hold it, its owner the smallest of
 their ids. ``insert`` asks the filters first: only keys that they may know, or that the batch itself
 holds twice, are looked up in the exact table, whose answer decides. New keys enter the filters; ``delete`` takes a
 document's keys back and removes those without references. Deleting documents gives the state
 that it would be had they never come. Deletions of unknown documents change nothing.
 
+``dedup_lines`` brings the documents in as ``generations``, chosen by a hash of their ids: most of them at once, then what
+arrives later, of which the filters say whether its keys may be known, then takes the last generation out and in again.
+
 Keys are 128 bits of BLAKE2b of the key text; the shard comes from the key.
 
 Edge cases: a null or empty text is one empty line; a null id stands after all others; rows with equal
@@ -64,24 +67,26 @@ def held(docs: DataFrame, min_chars: int) -> DataFrame:
 def cleaned(docs: DataFrame, losses: DataFrame, min_chars: int) -> DataFrame:
     """``docs`` without the lines whose keys ``losses`` (doc_id, hi, lo) lists for their document."""
     docs = docs.drop("n_lines", "n_dropped")
-    lost = losses.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct(*KEY)).alias("_lost"))
-    joined = docs.withColumn("_id", F.coalesce("doc_id", F.lit(LAST_ID))).join(lost, "_id", "left").drop("_id")
-    joined = joined.withColumn("_lost", F.transform("_lost", lambda k: F.concat_ws(":", k["hi"], k["lo"])))
+    taken = {c.lower() for c in docs.columns}
+    own, gone = (next(n for k in range(len(taken) + 1) if (n := name + "_" * k) not in taken) for name in ("_id", "_lost"))
+    lost = losses.groupBy(F.col("doc_id").alias(own)).agg(F.collect_list(F.struct(*KEY)).alias(gone))
+    joined = docs.withColumn(own, F.coalesce(docs["doc_id"], F.lit(LAST_ID))).join(lost, own, "left").drop(own)
+    joined = joined.withColumn(gone, F.transform(gone, lambda k: F.concat_ws(":", k["hi"], k["lo"])))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_lines long, n_dropped long"
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, counts, drops = [], [], []
-            for text, lost in zip(batch["text"], batch["_lost"]):
+            for text, lost in zip(batch["text"], batch[gone]):
                 lines = (text or "").split("\n")
                 keep = lines
                 if lost is not None:
-                    gone = {np.array([int(x) for x in k.split(":")], np.int64).tobytes() for k in lost}
-                    keep = [line for line in lines if line_key(line, min_chars) not in gone]
+                    out = {np.array([int(x) for x in k.split(":")], np.int64).tobytes() for k in lost}
+                    keep = [line for line in lines if line_key(line, min_chars) not in out]
                 texts.append("\n".join(keep))
                 counts.append(len(lines))
                 drops.append(len(lines) - len(keep))
-            yield batch.drop(columns="_lost").assign(text=pd.Series(texts, index=batch.index, dtype=object), n_lines=counts, n_dropped=drops)
+            yield batch.drop(columns=gone).assign(text=pd.Series(texts, index=batch.index, dtype=object), n_lines=counts, n_dropped=drops)
 
     return joined.mapInPandas(apply, schema)
 
@@ -93,22 +98,44 @@ class LineIndex:
         self.spark, self.min_chars, self.shards = spark, min_chars, shards
         self.folder = folder or work_folder(spark, "line-index")
         self.changes: list[str] = []
+        self.signs: list[int] = []
         self.filters: str | None = None
+        self.asked = spark.sparkContext.accumulator(0)  # keys that filters were asked for
         small_batches(spark)
+        spark.createDataFrame([(min_chars, shards)], "min_chars int, shards int").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/settings")
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> LineIndex:
+        """The state that lies below ``folder``."""
+        settings = spark.read.parquet(f"{folder}/settings").first()
+        index = cls(spark, folder, settings.min_chars, settings.shards)
+        log = spark.read.option("basePath", f"{folder}/log").parquet(f"{folder}/log")
+        index.signs = [r.change for r in log.groupBy("step").agg(F.max("change").alias("change")).orderBy("step").collect()]  # a row per change
+        index.changes = [f"{folder}/log/step={n}" for n in range(len(index.signs))]
+        filters = spark.read.option("basePath", f"{folder}/filters").parquet(f"{folder}/filters")
+        done = filters.agg(F.max("version")).first()[0]
+        index.filters = f"{folder}/filters/version={done}"
+        if done != len(index.changes):
+            index.filters = None
+            index._next_filters(index.log().select("shard", *KEY).distinct(), insert=True)
+        return index
 
     def log(self) -> DataFrame:
         """Live rows (shard, hi, lo, doc_id): who holds which key."""
-        if len(self.changes) == 1:  # one batch of insertions has each row once
-            return self.spark.read.parquet(*self.changes).drop("change")
-        return (
-            self.spark.read.parquet(*self.changes).groupBy("shard", *KEY, "doc_id").agg(F.sum("change").alias("change"))
-            .filter("change > 0").drop("change")
-        )
+        rows = self.spark.read.parquet(*self.changes)
+        if -1 not in self.signs:  # an insertion adds only what is not there, so insertions have each row once
+            return rows.drop("change")
+        # of documents that were ever taken out, what came and went is counted
+        gone = self.spark.read.parquet(*[p for p, sign in zip(self.changes, self.signs) if sign < 0]).select("doc_id").distinct()
+        live = rows.join(gone, "doc_id", "left_semi").groupBy("shard", *KEY, "doc_id").agg(F.sum("change").alias("change")).filter("change > 0")
+        columns = ["shard", *KEY, "doc_id"]
+        return rows.join(gone, "doc_id", "left_anti").select(columns).unionByName(live.select(columns))
 
     def _append(self, rows: DataFrame, change: int) -> DataFrame:
-        path = os.path.join(self.folder, "log", f"change={len(self.changes)}")
-        rows.withColumn("change", F.lit(change)).write.parquet(path)
+        path = os.path.join(self.folder, "log", f"step={len(self.changes)}")
+        rows.withColumn("change", F.lit(change)).write.mode("overwrite").parquet(path)
         self.changes.append(path)
+        self.signs.append(change)
         return self.spark.read.parquet(path).drop("change")
 
     def _shard(self):
@@ -126,17 +153,19 @@ class LineIndex:
         schema = "shard int, filter binary"
         old = self.spark.read.schema(schema).parquet(self.filters) if self.filters else self.spark.createDataFrame([], schema)
         path = os.path.join(self.folder, "filters", f"version={len(self.changes)}")
-        keys.groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, schema).write.parquet(path)
+        keys.groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, schema).write.mode("overwrite").parquet(path)
         self.filters = path
 
     def _known(self, keys: DataFrame) -> DataFrame:
         """Those of the distinct keys (shard, hi, lo) that the filters may know."""
         if not self.filters:
             return keys.limit(0)
+        asked = self.asked
 
         def ask(keys: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
             if not len(filters) or not len(keys):
                 return keys.iloc[:0]
+            asked.add(len(keys))
             return keys[CuckooFilter.from_bytes(filters["filter"].iloc[0]).contains(keys["lo"].to_numpy(np.int64).view(np.uint64))]
 
         filters = self.spark.read.parquet(self.filters)
@@ -185,12 +214,25 @@ class LineIndex:
         return cleaned(docs, losses, self.min_chars)
 
 
-def shards_for(docs: DataFrame, per_shard: int = 20_000, lines_each: int = 16) -> int:
-    """Shards so that each holds about ``per_shard`` keys, if documents have ``lines_each`` lines."""
-    return max(1, -(-docs.count() * lines_each // per_shard))
+def shards_for(docs: DataFrame, per_shard: int = 20_000) -> int:
+    """Shards so that each holds about ``per_shard`` keys; there are no more keys than lines."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lines = docs.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
+    return max(1, -(-lines // per_shard))
+
+
+def generations(docs: DataFrame, parts: int = 16) -> list[DataFrame]:
+    """Most of the documents, and twice one in ``parts``, by a hash of their ids."""
+    part = F.pmod(F.xxhash64(F.lit(5), F.coalesce("doc_id", F.lit(LAST_ID))), F.lit(parts))
+    return [docs.filter(part > 1), docs.filter(part == 0), docs.filter(part == 1)]
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """``docs`` without lines that a document with a smaller id holds, from an empty state."""
+    """``docs`` without lines that a document with a smaller id holds; the index is built in generations."""
     index = LineIndex(docs.sparkSession, min_chars=min_chars, shards=shards_for(docs))
-    return index.clean(docs, index.insert(docs))
+    parts = generations(docs.select("doc_id", "text"))
+    for part in parts:
+        index.insert(part)
+    index.delete(parts[-1].select("doc_id"))
+    index.insert(parts[-1])
+    return index.clean(docs)

@@ -1,6 +1,7 @@
 """Line dedup against plain Python, and its state after insertions and deletions."""
 
 import hashlib
+import shutil
 from collections import defaultdict
 
 import numpy as np
@@ -86,3 +87,36 @@ def test_cuckoo_filter():
 
 def test_same_digest_for_equal_lines():
     assert line_dedup.line_key(" Same LINE here ", 10) == hashlib.blake2b(b"same line here", digest_size=16).digest()
+
+
+def test_the_query_asks_the_filters(spark, monkeypatch):
+    made = []
+    plain = line_dedup.LineIndex.__init__
+    monkeypatch.setattr(line_dedup.LineIndex, "__init__", lambda self, *a, **b: (plain(self, *a, **b), made.append(self))[0])
+    rows = [(i, "\n".join(LINES[(i * 3 + j) % 7] for j in range(i % 6 + 1)) + f"\nonly once, number {i}", "x", "y") for i in range(200)]
+    assert got(line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    [index] = made
+    assert index.asked.value > 20 and index.signs == [1, 1, 1, -1, 1]
+
+
+def test_columns_named_as_the_operator_names_its_own(spark):
+    frame = spark.createDataFrame([(*r[:2], 5, "l", 1, 2) for r in docs()], "doc_id long, text string, _id int, _lost string, n_lines int, n_dropped int")
+    result = line_dedup.dedup_lines(frame)
+    assert result.columns == ["doc_id", "text", "_id", "_lost", "n_lines", "n_dropped"]
+    assert got(result) == brute(docs()) and {(r["_id"], r["_lost"]) for r in result.collect()} == {(5, "l")}
+
+
+def test_a_state_is_taken_up_again(spark, tmp_path):
+    rows, folder = docs()[:60], str(tmp_path / "index")
+    index = line_dedup.LineIndex(spark, folder, shards=3)
+    index.insert(spark.createDataFrame(rows[:30], SCHEMA))
+    index.insert(spark.createDataFrame(rows[30:45], SCHEMA))
+    index.delete(spark.createDataFrame([(i,) for i in range(5)], "doc_id long"))
+    index = line_dedup.LineIndex.open(spark, folder)
+    index.insert(spark.createDataFrame(rows[45:], SCHEMA))
+    shutil.rmtree(f"{folder}/filters/version=4")  # the driver was lost before it had written them
+    index = line_dedup.LineIndex.open(spark, folder)
+    index.insert(spark.createDataFrame(rows[:5], SCHEMA))
+    assert got(index.clean(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    keys = index.log().select("shard", "hi", "lo").distinct()
+    assert index._known(keys).count() == keys.count()
