@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.llm import sketches
 from kerbside.llm.common import BLANKS, LAST_ID, small_batches, stored
 from kerbside.llm.cuckoo import CuckooFilter
 from kerbside.session import work_folder
@@ -171,20 +172,26 @@ class LineIndex:
         filters = self.spark.read.parquet(self.filters)
         return keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(ask, "shard int, hi long, lo long")
 
+    @staticmethod
+    def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """``rows`` without most of those whose key is not in ``keys`` (stored, distinct): what a join would shuffle for nothing."""
+        return rows.filter(sketches.asked(sketches.bloom_of(keys.select("lo"), keys.count()))("lo"))
+
     def insert(self, docs: DataFrame) -> DataFrame:
         """Take documents in; returns the exact (hi, lo, refs, owner) of their keys that two or more documents hold."""
         rows = held(docs, self.min_chars).withColumn("shard", self._shard()).select("shard", *KEY, "doc_id").distinct()
         earlier = self.log() if self.changes else None
         if earlier is not None:  # documents that are in already add nothing
-            rows = rows.join(earlier, ["shard", *KEY, "doc_id"], "left_anti")
+            ids = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")).distinct()
+            rows = rows.join(earlier.join(ids, "doc_id", "left_semi"), ["shard", *KEY, "doc_id"], "left_anti")
         added = self._append(rows, 1)
         batch = stored(added.groupBy("shard", *KEY).agg(F.count("*").alias("refs"), F.min("doc_id").alias("owner")), "line-batch")
         if earlier is None:
             self._next_filters(batch.select("shard", *KEY), insert=True)
             return batch.filter("refs > 1").select(*KEY, "refs", "owner")
-        maybe = self._known(batch.select("shard", *KEY))
+        maybe = stored(self._known(batch.select("shard", *KEY)), "line-maybe")
         exact = stored(
-            earlier.join(maybe, ["shard", *KEY], "left_semi").groupBy("shard", *KEY)
+            self._among(earlier, maybe).join(maybe, ["shard", *KEY], "left_semi").groupBy("shard", *KEY)
             .agg(F.count("*").alias("_refs"), F.min("doc_id").alias("_owner")), "line-exact")
         self._next_filters(batch.join(exact, ["shard", *KEY], "left_anti").select("shard", *KEY), insert=True)
         both = batch.join(exact, ["shard", *KEY], "left").select(
@@ -196,8 +203,8 @@ class LineIndex:
         live = self.log()
         ids = doc_ids.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")).distinct()
         gone = stored(live.join(ids, "doc_id", "left_semi").select("shard", *KEY, "doc_id"), "line-gone")
-        touched = gone.select("shard", *KEY).distinct()
-        left = live.join(ids, "doc_id", "left_anti").join(touched, ["shard", *KEY], "left_semi").select("shard", *KEY).distinct()
+        touched = stored(gone.select("shard", *KEY).distinct(), "line-touched")
+        left = self._among(live, touched).join(ids, "doc_id", "left_anti").join(touched, ["shard", *KEY], "left_semi").select("shard", *KEY).distinct()
         freed = stored(touched.join(left, ["shard", *KEY], "left_anti"), "line-freed")
         self._append(gone, -1)
         self._next_filters(freed, insert=False)
@@ -209,8 +216,8 @@ class LineIndex:
 
     def clean(self, docs: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
         """``docs``, which are in, without the lines that another document owns; adds n_lines and n_dropped."""
-        repeated = self.repeated() if repeated is None else repeated
-        losses = self.log().join(repeated, KEY).filter("doc_id > owner").select("doc_id", *KEY)
+        repeated = stored(self.repeated() if repeated is None else repeated, "line-repeated")
+        losses = self._among(self.log(), repeated).join(repeated, KEY).filter("doc_id > owner").select("doc_id", *KEY)
         return cleaned(docs, losses, self.min_chars)
 
 
