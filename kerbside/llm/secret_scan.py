@@ -2,12 +2,13 @@
 
 Three kinds are certain and always reported: assignments, access identifiers, long hexadecimal runs.
 Three more are weak: ``login`` (a user or client name), ``loose`` (an unlabelled random-looking run) and
-``endpoint`` (a service address). Within a scope of ``scope`` code points around its start, a weak
-secret counts only beside an identifier or an endpoint, a weak identifier only beside a secret, and an endpoint
-only where both an identifier and a secret are near. A loose run that overlaps a certain span is that span.
+``endpoint`` (a service address). In ``scheme://user:password@host`` they are the user, the password and the rest.
+Parts are near if at most ``scope`` code points lie between them; parts that overlap are never near, so no part is its
+own partner. A weak secret counts only near an identifier or an endpoint, a weak identifier only near a secret, and an
+endpoint only where both an identifier and a secret are near. A loose run that overlaps a certain span is that span.
 
-The interval join between parts is a range window per document over the parts' starts: each part looks
-at ``scope`` code points to either side and counts the roles there, so no pairs are formed.
+The interval join between parts is a range window per document over starts and ends: a part counts the roles
+that end up to ``scope`` code points before its start, and those that start as close after its end. No pairs are formed.
 
 Spans are code points, end exclusive. The gaps between the matches of a pattern and the matches
 themselves add up to positions; that running sum is a window too, so a text with very many
@@ -26,15 +27,20 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import let, stored
 
+# The user and the password of an address such as scheme://user:password@host
+USER = r"""[^\x20\x09-\x0D"'<>:@/]{1,64}"""
+PASSWORD = r"""[^\x20\x09-\x0D"'<>@/]{1,128}"""
 # The certain kinds in the order in which spans of one start are listed, then the weak ones.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 PATTERNS = {
     "assign": ASSIGN,
     "access": r"AKIA[A-Z0-9]{16,}",
     "hex": r"[0-9a-f]{24,}",
-    "login": r"""(?i)(?:user(?:name)?|login|client_id|access_key_id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""",
-    "loose": r"[A-Za-z0-9+/=_-]{20,}",
-    "endpoint": r"""(?i)(?:https?|postgres|mysql|redis|amqp|mongodb)://[^\x20\x09-\x0D"'<>]+""",
+    "login": r"""(?i)(?:user(?:name)?|login|client_id|access_key_id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
+             + rf"|(?<=://){USER}(?=:{PASSWORD}@)",
+    "loose": rf"(?<=:)(?<=://{USER}:){PASSWORD}(?=@)|[A-Za-z0-9+/=_-]{{20,}}",
+    "endpoint": rf"(?<=@)(?<=://{USER}:{PASSWORD}@)" + r"""[^\x20\x09-\x0D"'<>]+"""
+                + rf"|(?i)(?:https?|postgres|mysql|redis|amqp|mongodb)://(?!{USER}:{PASSWORD}@)" + r"""[^\x20\x09-\x0D"'<>]+""",
 }
 KINDS = list(PATTERNS)
 CERTAIN = KINDS[:3]
@@ -92,10 +98,17 @@ def linked(spans: DataFrame, scope: int) -> DataFrame:
         .filter(certain | (F.col("kind") != KINDS.index("loose")) |
                 ((F.coalesce("_before", F.lit(0)) <= F.col("start")) & F.coalesce(F.col("_after") >= F.col("end"), F.lit(True))))
     )
-    near = row.rangeBetween(-scope, scope)
+    # each part as two rows, at its start and its end
+    edges = apart.select("row", "kind", "start", "end", F.explode(F.array(F.lit(True), F.lit(False))).alias("_opens")).withColumn(
+        "_at", F.when(F.col("_opens"), F.col("start")).otherwise(F.col("end")))
+    at = Window.partitionBy("row").orderBy("_at")
     role = F.element_at(F.array(*[F.lit(ROLES[k]) for k in KINDS]), F.col("kind") + 1)
-    for name in ("id", "secret", "endpoint"):
-        apart = apart.withColumn(f"_{name}", F.count(F.when(role == name, 1)).over(near))
+    names = ("id", "secret", "endpoint")
+    for name in names:
+        edges = edges.withColumn(f"_{name}", F.when(
+            F.col("_opens"), F.count(F.when((role == name) & ~F.col("_opens"), 1)).over(at.rangeBetween(-scope, 0))).otherwise(
+            F.count(F.when((role == name) & F.col("_opens"), 1)).over(at.rangeBetween(0, scope))))
+    apart = edges.groupBy("row", "kind", "start", "end").agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in names])
     beside = (
         F.when(role == "secret", (F.col("_id") > 0) | (F.col("_endpoint") > 0))
         .when(role == "id", F.col("_secret") > 0)

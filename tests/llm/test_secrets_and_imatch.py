@@ -1,7 +1,9 @@
 """Secret scans and I-Match fingerprints against plain Python."""
 
 import hashlib
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -44,6 +46,59 @@ def test_certain_spans_and_links(spark):
     assert secret_scan.secret_scan(frame(spark, [])).count() == 0
 
 
+LONG = "Zx9" + "q8W" * 8
+URLS = [(1, "see https://example.com/2019/07/some-long-article-title-42"), (2, f"https://bob:{LONG}@host/db only"),
+        (3, f"username={LONG}"), (4, f"user=anna https://host/a{'/b1' * 9} x"), (5, f"https://host/x?{LONG} token=abcdefg"),
+        (6, f"user=anna {'.' * 398} {LONG}"), (7, f"user=anna {'.' * 399} {LONG}"), (8, f"user=anna https://host/a token=abcdefgh")]
+
+
+def test_overlapping_parts_are_no_partners(spark):
+    rows = secret_scan.secret_scan(frame(spark, URLS)).select("doc_id", secret_scan.listed(F.col("found")).alias("spans")).collect()
+    spans = {r.doc_id: r.spans for r in rows}
+    assert spans[1] == spans[3] == ""
+    assert spans[2] == "login:8:11,loose:12:39,endpoint:40:47"
+    assert spans[4].startswith("login:0:9,loose:")  # the path is a run that an identifier stands beside
+    assert "endpoint" not in spans[4] and "endpoint" not in spans[5]  # its own path is no partner of the address
+    assert spans[6] == "login:0:9,loose:409:436"
+    assert spans[7] == ""
+    assert spans[8] == "login:0:9,endpoint:10:24,assign:25:39"
+
+
+def test_links_against_all_pairs(spark):
+    rng = random.Random(8)
+    rows, roles = [], secret_scan.ROLES
+    for row in range(60):
+        for kind in range(len(secret_scan.KINDS)):
+            at = rng.randrange(200)
+            for _ in range(rng.randrange(4)):  # those of one kind do not overlap
+                at += rng.randrange(1, 300)
+                rows.append((row, kind, at, end := at + rng.randrange(1, 60)))
+                at = end
+
+    def near(x, role):
+        return any(y[0] == x[0] and roles[secret_scan.KINDS[y[1]]] == role and (0 <= x[2] - y[3] <= 50 or 0 <= y[2] - x[3] <= 50) for y in parts)
+
+    parts = [x for x in rows if secret_scan.KINDS[x[1]] != "loose" or not any(
+        y[0] == x[0] and y[1] < 3 and y[2] < x[3] and x[2] < y[3] for y in rows)]
+    want = []
+    for x in parts:
+        role = roles[secret_scan.KINDS[x[1]]]
+        if x[1] < 3 or (role == "secret" and (near(x, "id") or near(x, "endpoint"))) or (role == "id" and near(x, "secret")) or (
+                role == "endpoint" and near(x, "id") and near(x, "secret")):
+            want.append(x)
+    got = secret_scan.linked(spark.createDataFrame(rows, "row long, kind int, start long, end long"), 50).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert 0 < sum(x[1] > 2 for x in want) < sum(x[1] > 2 for x in rows)
+
+
+def test_rows_that_come_often(spark):
+    texts = [(1, "one two three four"), *[(2, "five six seven")] * 3000, (3, "eight nine")]
+    started = time.time()
+    got = imatch.fingerprints(frame(spark, texts)).groupBy("doc_id", "edited_sha256", "next_fingerprint").count().collect()
+    assert sorted((r.doc_id, r["count"]) for r in got) == [(1, 1), (2, 3000), (3, 1)]
+    assert time.time() - started < 60  # 3,000 times 3,000 rows take minutes
+
+
 def test_fingerprints(spark):
     words = [f"w{i}" for i in range(300)]
     texts = [(i * 3, " ".join(words[(i * 5 + j * (1 + i % 3)) % 300] for j in range(40 + i % 50))) for i in range(120)]
