@@ -14,7 +14,8 @@ document of a single one is itself; an empty table gives an empty result; furthe
 Scale: the lexicon has at most (mean distinct terms per document) / ``rare`` terms whatever the number of
 documents, because each of its terms stands in ``rare`` of all documents; that bound lets it travel
 with the plan. Texts are shuffled once, to pass each document's beginning to its predecessor; the
-predecessor is found from (id, hash) rows in range partitions, not in one task.
+predecessor is found from (id, hash) rows in range partitions, not in one task. Rows equal in id and text
+are joined once for all, combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -124,7 +125,7 @@ def fingerprints(docs: DataFrame, rare: float = 0.002, common: float = 0.1, subs
     links = stored(followers(own.select("key", "mark", "n_chars")), "imatch-links")
     needed = links.select(F.col("next.key").alias("key"), F.col("next.mark").alias("mark"), F.col("key").alias("to_key"),
                           F.col("mark").alias("to_mark"), F.floor(F.col("n_chars") / 2).cast("int").alias("need"))
-    moved = texts.select("key", "mark", "text")
+    moved = texts.select("key", "mark", "text").dropDuplicates(["key", "mark"])
     beginnings = moved.join(needed, ["key", "mark"]).select(
         F.col("to_key").alias("key"), F.col("to_mark").alias("mark"), F.expr("substring(text, 1, need)").alias("beginning"))
     head = F.expr("substring(text, 1, cast(length(text) - floor(length(text) / 2) as int))")
@@ -132,12 +133,12 @@ def fingerprints(docs: DataFrame, rare: float = 0.002, common: float = 0.1, subs
         moved.join(beginnings, ["key", "mark"]).select("key", "mark", F.concat(head, "beginning").alias("edited"))
         .select("key", "mark", F.sha2("edited", 256).alias("edited_sha256"),
                 fingerprint_of(F.col("edited"), words, subsets, seed).alias("edited_fingerprint"))
-        .dropDuplicates(["key", "mark"])  # repeated rows meet here as often as they come
     )
     of_next = (
-        own.select(F.col("key").alias("_key"), F.col("mark").alias("_mark"), F.col("fingerprint").alias("next_fingerprint"))
+        own.dropDuplicates(["key", "mark"])
+        .select(F.col("key").alias("_key"), F.col("mark").alias("_mark"), F.col("fingerprint").alias("next_fingerprint"))
         .join(links.select("key", "mark", F.col("next.key").alias("_key"), F.col("next.mark").alias("_mark")), ["_key", "_mark"])
-        .drop("_key", "_mark").dropDuplicates(["key", "mark"])
+        .drop("_key", "_mark")
     )
     return own.join(edited, ["key", "mark"]).join(of_next, ["key", "mark"]).select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
