@@ -13,7 +13,8 @@ after all others; rows with equal ids are separate documents; an empty table giv
 further columns are ignored. Sizes and targets are summed exactly, so reruns agree.
 
 Scale: only (id, source, size) is shuffled. Running sums go over (source, hash range) and then over the
-ranges, ranks over (source, stretch of slots) and then over the stretches, so no task holds a source.
+ranges, whose number follows the count of documents, ranks over (source, stretch of slots) and then over the
+stretches, so no task holds a source.
 The list of sources is the only thing ordered in one task.
 """
 
@@ -29,7 +30,9 @@ from kerbside.llm.common import n_words_of, stored
 GOLDEN = 0.6180339887498949
 CELLS = 4096
 STRETCH = 1 << 16
-RANGE_BITS = 10
+#: Documents that a range of a source's stream holds on average, if all are of one source.
+PER_RANGE = 100_000
+LEAST_BITS = 10
 
 
 @dataclass
@@ -69,8 +72,9 @@ def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, cap
     spark = docs.sparkSession
     sized = stored(
         docs.select("doc_id", "source", *keep, n_words_of(F.col("text")).alias("size"))
-        .withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id"))
-        .withColumn("_range", F.shiftrightunsigned("_hash", 64 - RANGE_BITS)), "mix-sizes")
+        .withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id")), "mix-sizes")
+    bits = max(LEAST_BITS, (sized.count() // PER_RANGE).bit_length())
+    sized = sized.withColumn("_range", F.shiftrightunsigned("_hash", 64 - bits))
     ranges = sized.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
     sources = stored(
         with_targets(ranges.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, share, cap)
