@@ -61,6 +61,11 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 LAST_ID = (1 << 63) - 1
 
 
+def filter_bits(n: int) -> int:
+    """Bits of a Bloom filter for ``n`` ids: a power of two with 16 or more an id, from 2 MB up to 64 MB."""
+    return 1 << min(29, max(24, (16 * n - 1).bit_length()))
+
+
 def bloom_filter(ids: DataFrame, bits: int = 1 << 24) -> Callable[[Column], Column]:
     """A test of whether an id (BIGINT) may be among ``ids`` (one column): no id that is in is missed.
 

@@ -17,9 +17,10 @@ Edge cases: null texts are empty; texts shorter than ``length`` lose nothing; a
 documents, each the other's copy; a null id is an id of its own; an empty table gives an
 empty result; further columns are ignored.
 
-Scale: a pass over the texts leaves one row per distinct anchor (about 2 in ``length - gram``
-bytes); texts meet the anchors that remain, and later the intervals, in joins on the document, which carry no hot
-key. A Bloom filter of fixed size keeps texts without such anchors out of both. Counts of grams and contexts are combined before the shuffle.
+Scale: a pass over the texts writes one row per distinct anchor (about 2 in ``length - gram``
+bytes), which is counted and then joined; texts meet the anchors that remain, and later the intervals, in joins on the
+document, which carry no hot key. A Bloom filter, sized by the count of documents up to 64 MB, keeps texts without such
+anchors out of both. Counts of grams and contexts are combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import LAST_ID, bloom_filter, small_batches, stored
+from kerbside.llm.common import LAST_ID, bloom_filter, filter_bits, small_batches, stored
 from kerbside.llm.cuckoo import mixed
 from kerbside.llm.suffix_sort import Hashes, Suffixes
 
@@ -43,6 +44,8 @@ COLUMNS = [*ROW, "place", *CONTEXT, "left", "context", "n", "start", "stop"]
 PAIR = "<qq"
 #: Distinct contexts that a task holds before it passes them on.
 HELD = 50_000
+#: Bytes of texts hashed at a time.
+JOINT = 1 << 16
 
 
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -56,16 +59,28 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in one text that are the smallest gram of some string of ``length`` bytes, and the grams' hashes."""
-    if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    start = np.arange(len(data) - gram + 1)
-    grams = mixed(Hashes(data).of(start, gram))
-    smallest = sliding(grams, length - gram + 1, np.minimum)
-    edge = np.zeros(length - gram, np.uint64)
-    place = np.flatnonzero(sliding(np.r_[edge, smallest, edge], length - gram + 1, np.maximum) == grams)
-    return place, grams[place]
+def anchors(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per stretch of texts: the text's number, the place in it and the hash of each anchor, in order.
+
+    An anchor is the smallest gram of some string of ``length`` bytes. Texts are hashed together, about ``JOINT`` bytes at
+    a time, a longer one whole.
+    """
+    sizes = np.array([len(x) for x in texts], np.int64)
+    stretch = np.cumsum(sizes) // JOINT
+    cuts = np.flatnonzero(np.diff(stretch)) + 1
+    for first, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+        data = np.frombuffer(b"".join(texts[first:stop]), np.uint8)
+        if len(data) < length:
+            continue
+        end = np.cumsum(sizes[first:stop])
+        grams = mixed(Hashes(data).windows(gram))
+        smallest = sliding(grams, length - gram + 1, np.minimum)
+        # a string that would run over its text's end is none
+        smallest[np.repeat(end, sizes[first:stop])[:len(smallest)] - np.arange(len(smallest)) < length] = 0
+        edge = np.zeros(length - gram, np.uint64)
+        place = np.flatnonzero(sliding(np.r_[edge, smallest, edge], length - gram + 1, np.maximum) == grams)
+        owner = np.searchsorted(end, place, side="right")
+        yield first + owner, place - (end - sizes[first:stop])[owner], grams[place]
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -83,14 +98,15 @@ def repeated_grams(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """(row_id, mark, grams): per row the anchors' grams that occur again, in the row or elsewhere."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [np.unique(anchors(np.frombuffer(x, np.uint8), length, gram)[1], return_counts=True) for x in batch["bytes"]]
-            sizes = [len(grams) for grams, _ in found]
-            if sum(sizes):
-                yield pd.DataFrame({
-                    "gram": signed(np.concatenate([grams for grams, _ in found])), "row_id": np.repeat(batch["row_id"].to_numpy(), sizes),
-                    "mark": np.repeat(batch["mark"].to_numpy(), sizes), "times": np.minimum(np.concatenate([n for _, n in found]), 2)})
-
-    places = rows.select(*ROW, "bytes").mapInPandas(emit, "gram long, row_id long, mark long, times int")
+            row_id, mark = batch["row_id"].to_numpy(), batch["mark"].to_numpy()
+            for owner, _, found in anchors(list(batch["bytes"]), length, gram):
+                order = np.lexsort((found, owner))
+                owner, found = owner[order], found[order]
+                first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])][:len(owner)])
+                times = np.minimum(np.diff(np.r_[first, len(owner)]), 2)
+                yield pd.DataFrame({"gram": signed(found[first]), "row_id": row_id[owner[first]], "mark": mark[owner[first]], "times": times})
+
+    places = stored(rows.select(*ROW, "bytes").mapInPandas(emit, "gram long, row_id long, mark long, times int"), "suffix-places")
     again = places.groupBy("gram").agg(F.sum("times").alias("n")).filter("n > 1").select("gram")
     return places.drop("times").join(again, "gram").groupBy(*ROW).agg(F.collect_set("gram").alias("grams"))
 
@@ -112,13 +128,26 @@ def contexts(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> Data
             known.clear()
             return shaped(frame)
 
+        def covered(row: int, seen: dict[tuple, list[int]]) -> list[tuple]:
+            again = [p for at in seen.values() if len(at) > 1 for p in at]
+            if not again:
+                return []
+            size = len(texts[row])
+            both = [[p - min(p, reach), min(p + length, size)] for p in again if size - p + min(p, reach) >= length]
+            return [(row_ids[row], marks[row], start, stop) for start, stop in joined(both)]
+
         for batch in batches:
             places, spans = [], []
-            for row_id, mark, data, grams in zip(batch["row_id"], batch["mark"], batch["bytes"], batch["grams"]):
-                place, found = anchors(np.frombuffer(data, np.uint8), length, gram)
-                keep = np.isin(signed(found), np.asarray(grams))
-                seen: dict[tuple, list[int]] = {}
-                for p, g in zip(place[keep].tolist(), signed(found[keep]).tolist()):
+            texts, row_ids, marks = list(batch["bytes"]), batch["row_id"].tolist(), batch["mark"].tolist()
+            repeated = np.concatenate([np.asarray(x, np.int64) for x in batch["grams"]])  # in one row, so in all
+            for owner, place, found in anchors(texts, length, gram):
+                keep = np.isin(signed(found), repeated)
+                number, seen = -1, {}
+                for row, p, g in zip(owner[keep].tolist(), place[keep].tolist(), signed(found[keep]).tolist()):
+                    if row != number:
+                        spans += covered(number, seen)
+                        number, seen = row, {}
+                        data, row_id, mark = texts[row], row_ids[row], marks[row]
                     left = min(p, reach)
                     context = data[p - left:p + length]
                     digest = hashlib.blake2b(context, digest_size=16, salt=left.to_bytes(8, "little")).digest()
@@ -132,13 +161,14 @@ def contexts(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> Data
                             known[key] = [left, context, 1]
                     else:
                         seen[key].append(p)
-                covered = [[p - (left := min(p, reach)), p - left + len(data[p - left:p + length])]
-                           for at in seen.values() if len(at) > 1 for p in at if len(data) - p + min(p, reach) >= length]
-                spans += [(row_id, mark, start, stop) for start, stop in joined(covered)]
+                spans += covered(number, seen)
+                if len(places) > HELD:
+                    yield shaped(pd.DataFrame(places, columns=[*ROW, "place", *CONTEXT]))
+                    places = []
+                if len(known) > HELD:
+                    yield counted()
             yield shaped(pd.DataFrame(places, columns=[*ROW, "place", *CONTEXT]))
             yield shaped(pd.DataFrame(spans, columns=[*ROW, "start", "stop"]))
-            if len(known) > HELD:
-                yield counted()
         yield counted()
 
     def shaped(frame: pd.DataFrame) -> pd.DataFrame:
@@ -228,7 +258,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
     rows = rows_of(docs)
     wanted = stored(repeated_grams(rows, length, gram), "suffix-grams")
     number = F.xxhash64(*ROW)
-    may_lose = bloom_filter(wanted.select(number.alias("id")))
+    may_lose = bloom_filter(wanted.select(number.alias("id")), filter_bits(wanted.count()))
     suspect = rows.filter(may_lose(number))
     found = contexts(suspect, wanted, length, gram)
     members = found.filter("place is not null")
@@ -251,7 +281,10 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 50, group: int
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(x) for x in batch["bytes"]],
                                 "removed": spans, "kept": kept})
 
-    nothing = F.lit(None).cast("array<long>")
-    others = rows.filter(~may_lose(number)).select("doc_id", "bytes", nothing.alias("starts"), nothing.alias("stops"))
-    return suspect.join(removed, ROW, "left").select("doc_id", "bytes", "starts", "stops").unionByName(others).mapInPandas(
-        cut, "doc_id long, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary")
+    spans = "array<struct<start:long,stop:long>>"
+    losing = suspect.join(removed, ROW, "left").select("doc_id", "bytes", "starts", "stops").mapInPandas(
+        cut, f"doc_id long, n_bytes long, removed {spans}, kept binary")
+    # these lose nothing and need no second Python worker beside the filter's
+    others = rows.filter(~may_lose(number)).select(
+        "doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"), F.array().cast(spans).alias("removed"), F.col("bytes").alias("kept"))
+    return losing.unionByName(others)

@@ -1,12 +1,14 @@
 """Hash-compared suffix sort: prefix polynomial hashes, extensions by binary search, mergesort, verification.
 
 Substring hashes are polynomials modulo 2**64 over random 64-bit values of the bytes. Equal hashes only suggest equal
-bytes: every common extension that a result rests on is compared byte by byte afterwards, and a
+bytes: every common extension that a result rests on is compared byte by byte afterwards, with the byte after it, and a
 sort that a collision has misled is done again on the bytes themselves.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 
 from kerbside.llm.cuckoo import mixed
@@ -16,15 +18,24 @@ UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 REFINEMENTS = 3
 #: Bytes whose hashes are summed up at a time.
 STRETCH = 1 << 20
+#: Powers kept for all texts of a task; a longer text has its own.
+FIRST = 1 << 17
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
+    if n < FIRST:
+        return first_powers(base)[:n]
     steps = np.full(n, base, np.uint64)
     steps[:1] = 1
     return np.multiply.accumulate(steps)
 
 
+@cache
+def first_powers(base: np.uint64) -> np.ndarray:
+    return powers(base, FIRST)
+
+
 class Hashes:
     """Hash of any substring of ``data`` from one pass over it.
 
@@ -33,21 +44,27 @@ class Hashes:
     """
 
     def __init__(self, data: np.ndarray, exponent: np.ndarray | None = None) -> None:
-        self.data = data
-        self.exponent = np.arange(len(data), dtype=np.int32) if exponent is None else exponent
-        highest = int(self.exponent.max(initial=0)) + 1
+        self.data, self.exponent = data, exponent
+        highest = max(len(data), 1) if exponent is None else int(exponent.max(initial=0)) + 1
         power, self.back = powers(BASE, highest), powers(UNBASE, highest)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         for at in range(0, len(data), STRETCH):
             part = slice(at, at + STRETCH)
-            values = BYTE_VALUES[data[part]] * power[self.exponent[part]]
+            values = BYTE_VALUES[data[part]] * (power[part] if exponent is None else power[exponent[part]])
             values[:1] += self.prefix[at:at + 1]
             np.cumsum(values, out=self.prefix[at + 1:at + 1 + len(values)])
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
-        first = self.exponent[np.minimum(start, len(self.data) - 1)] if len(self.data) else start
+        first = np.minimum(start, max(len(self.data) - 1, 0))
+        if self.exponent is not None and len(self.data):
+            first = self.exponent[first]
         return (self.prefix[start + length] - self.prefix[start]) * self.back[first]
 
+    def windows(self, width: int) -> np.ndarray:
+        """Hashes of all substrings of ``width`` bytes, where the bytes are numbered from 0 on."""
+        sums = self.prefix[width:] - self.prefix[:-width]
+        return sums * self.back[:len(sums)]
+
 
 class Suffixes:
     """Contexts around places of ``data``: ``right[i]`` bytes from place i on and ``left[i]`` before it."""
@@ -155,7 +172,10 @@ class Suffixes:
         return order
 
     def neighbours(self, order: np.ndarray, forward: bool) -> tuple[np.ndarray, bool]:
-        """Verified common extension of each context in order with the next one (0 at a group's end); True if all held."""
+        """Common extension of each context in order with the next one (0 at a group's end).
+
+        True if the bytes agree so far and the first that differ ascend.
+        """
         common = np.zeros(len(order), np.int64)
         inner = np.flatnonzero(self.group[order[1:]] == self.group[order[:-1]])
         held = True
@@ -167,10 +187,17 @@ class Suffixes:
             last = len(self.data) - 1
             same = (self.data[np.clip(self.place[i][:, None] + move, 0, last)]
                     == self.data[np.clip(self.place[j][:, None] + move, 0, last)])
-            held = held and bool((same | (step >= n[:, None])).all())
+            held = held and bool((same | (step >= n[:, None])).all()) and self._ascends(i, j, n, forward)
             common[part] = n
         return common, held
 
+    def _ascends(self, i: np.ndarray, j: np.ndarray, n: np.ndarray, forward: bool) -> bool:
+        """Whether after ``n`` common bytes each context i ends or goes on with a smaller byte than j."""
+        size, last = self.right if forward else self.left, len(self.data) - 1
+        step = n if forward else -1 - n
+        a, b = self.data[np.clip(self.place[i] + step, 0, last)], self.data[np.clip(self.place[j] + step, 0, last)]
+        return bool(((n >= size[i]) | ((n < size[j]) & (a < b))).all())
+
     def by_bytes(self, forward: bool) -> tuple[np.ndarray, np.ndarray]:
         """Order and common extensions without hashes."""
         def own(i: int) -> bytes:
