@@ -4,6 +4,9 @@ A key's rows of one micro-batch are put in (time, id) order before they meet the
 micro-batch late are taken in arrival order. What one call holds is one key's share of one micro-batch, so the source's
 rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds it also for a very busy device. State travels with
 the rows in Arrow batches, many keys to a batch, so a key costs no round trip of its own.
+
+``state_stream``, and ``asof``, where every device comes in every batch, take the devices of one of ``SHARES`` shares in one call: the call
+costs the same for one device as for a hundred, and columns of a share are worked on as arrays.
 """
 
 from __future__ import annotations
@@ -12,16 +15,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from kerbside.operators.cache import TIME_TO_LIVE
 from kerbside.operators.timeline import micros
 from kerbside.operators.windows import LOOK_BACK, SIMILAR_WITHIN, emit_flags
 
+#: Shares that devices are dealt over; a share should have no more rows in a micro-batch than a call can hold. Choose before
+#: the first checkpoint.
+SHARES = 2048
+
 Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
 
+def share_of(key: str, shares: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(shares)).cast("int").alias("share")
+
+
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     parts = list(rows)
     batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
@@ -69,39 +80,74 @@ def throttle_stream(rows: DataFrame, gap: str = "2 seconds", forget: str | None
     return _keyed(rows, "deviceId", step, ["id", "deviceId", "event_time"], "emitted boolean", "last_emission long", forget=forget)
 
 
-def state_stream(messages: DataFrame, fields: dict[str, str], gap: str | None = None, forget: str | None = None) -> DataFrame:
+def state_stream(messages: DataFrame, fields: dict[str, str], gap: str | None = None, forget: str | None = None,
+                 shares: int = SHARES) -> DataFrame:
     """Stream twin of ``device_state``: each message with the device's state after it (``fields``: name -> SQL type).
 
     With ``gap`` only messages that pass the throttle come out; the others still update the state. Messages need ``id``,
-    ``topic``, ``deviceId``, ``event_time``; several at one instant are taken by id, then topic.
+    ``topic``, ``deviceId``, ``event_time``; several at one instant are taken by id, then topic. A call takes the devices of one share;
+    of a share the state holds, side by side, the devices, the time of their newest message, their last emission and their fields.
     """
     gap_us = micros(gap) if gap else None
+    wait = micros(forget) // 1000 if forget else None
     names = list(fields)
+    held_columns = ["device", "newest", "last_emission", *names]
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(parts), ignore_index=True).sort_values(["at_us", "id", "topic"])
-        last, *known = state.get if state.exists else (None, *[None] * len(names))
-        merged = {}
-        for name, before in zip(names, known):
-            line = np.empty(len(batch) + 1, dtype=object)
-            line[0], line[1:] = before, batch[name].to_numpy(dtype=object)
-            place = np.where(pd.notna(line), np.arange(len(line)), 0)
-            merged[name] = line[np.maximum.accumulate(place)]
-        flags = np.ones(len(batch), dtype=bool)
-        if gap_us is not None:
-            flags, last = emit_flags(batch["at_us"].to_numpy(), gap_us, last)
-        state.update((last, *[_plain(merged[name][-1]) for name in names]))
-        out = batch[["id", "topic", "deviceId", "event_time"]].assign(**{n: merged[n][1:] for n in names})[flags]
-        if len(out):
-            yield out
+        held = dict(zip(held_columns, state.get)) if state.exists else {c: [] for c in held_columns}
+        batch = pd.concat(list(parts), ignore_index=True) if not state.hasTimedOut else None
+        seen = [] if batch is None else pd.unique(batch["deviceId"])
+        mark = state.getCurrentWatermarkMs() if wait is not None else None
+        place = {device: i for i, device in enumerate(held["device"])}
+        known = {d: [held[c][place[d]] for c in held_columns[1:]] for d in seen if d in place}
+        # of the devices without a message here those stay that are not silent for too long
+        silent = set(held["device"]).difference(seen)
+        stay = [i for d, i in place.items() if d in silent and (wait is None or held["newest"][i] + wait >= mark)]
+        left = {c: [held[c][i] for i in stay] for c in held_columns}
+        if batch is not None:
+            batch = batch.sort_values(["deviceId", "at_us", "id", "topic"])
+            devices, at_us = batch["deviceId"].to_numpy(), batch["at_us"].to_numpy()
+            first = np.flatnonzero(np.r_[True, devices[1:] != devices[:-1]])
+            last = np.r_[first[1:], len(batch)] - 1
+            before = [known.get(d) for d in devices[first]]
+            # one place before each device's messages for what was known of it
+            row = np.arange(len(batch)) + np.repeat(np.arange(1, len(first) + 1), last - first + 1)
+            start = first + np.arange(len(first))
+            merged = {}
+            for n, name in enumerate(names):
+                line = np.empty(len(batch) + len(first), dtype=object)
+                line[start] = [b and b[2 + n] for b in before]
+                line[row] = batch[name].to_numpy(dtype=object)
+                at = np.where(pd.notna(line), np.arange(len(line)), 0)
+                at[start] = start
+                merged[name] = line[np.maximum.accumulate(at)[row]]
+                left[name] += [_plain(v) for v in merged[name][last]]
+            flags, emissions = np.ones(len(batch), dtype=bool), [b and b[1] for b in before]
+            if gap_us is not None:
+                for n, (lo, hi) in enumerate(zip(first, last + 1)):
+                    flags[lo:hi], emissions[n] = emit_flags(at_us[lo:hi], gap_us, emissions[n])
+            left["device"] += devices[first].tolist()
+            left["newest"] += (at_us[last] // 1000).tolist()
+            left["last_emission"] += emissions
+            out = batch[["id", "topic", "deviceId", "event_time"]].assign(**merged)[flags]
+            if len(out):
+                yield out
+        if not left["device"]:
+            state.remove()
+            return
+        state.update(tuple(left[c] for c in held_columns))
+        if wait is not None:
+            state.setTimeoutTimestamp(max(min(left["newest"]) + wait, state.getCurrentWatermarkMs() + 1))
 
     columns = ["id", "topic", "deviceId", "event_time"]
     kinds = ", ".join(f"`{n}` {k}" for n, k in fields.items())
-    sent = messages.select(*columns, *names, F.unix_micros("event_time").alias("at_us"))
-    ids = sent.schema["id"].dataType.simpleString()
-    out = f"id {ids}, topic string, deviceId string, event_time timestamp, {kinds}"
-    step, timeout = forgetful(step, forget)
-    return sent.groupBy("deviceId").applyInPandasWithState(step, out, f"last_emission long, {kinds}", "append", timeout)
+    sent = messages.select(share_of("deviceId", shares), *columns, *names, F.unix_micros("event_time").alias("at_us"))
+    ids, devices = (sent.schema[c].dataType.simpleString() for c in ("id", "deviceId"))
+    out = f"id {ids}, topic string, deviceId {devices}, event_time timestamp, {kinds}"
+    arrays = ", ".join(f"`{n}` array<{k}>" for n, k in fields.items())
+    timeout = GroupStateTimeout.EventTimeTimeout if forget else GroupStateTimeout.NoTimeout
+    return sent.groupBy("share").applyInPandasWithState(
+        step, out, f"device array<{devices}>, newest array<bigint>, last_emission array<bigint>, {arrays}", "append", timeout)
 
 
 def _plain(value):
