@@ -1,128 +1,109 @@
 """As-of join of two streams: both sides wait in keyed state, an event-time timer gives a row out when its match is certain.
 
 A row of the left side can only be matched for good once no more of the right side can come before (or, looking forward,
-between) the two, which is when the watermark has passed. So rows wait in a list per key, one timer per key stands at the
+between) the two, which is when the watermark has passed. So rows wait, one timer stands at the
 earliest instant something can be decided, and each firing works off all that the watermark has passed, in time order.
 State holds what is later than the watermark, the last right row of a key (looking back), and the right rows that an
 undecided left row may still need (looking forward). Rows later than the watermark allows are dropped.
+
+State is kept per share of the keys, not per key, and travels with the rows in Arrow batches: calls to a state store from Python, of which a
+key needed a dozen, took most of the time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from kerbside.operators.timeline import micros
+from kerbside.streaming.stateful import SHARES, Step, _plain, share_of
 
 #: Times inside the packed rows keep their microseconds.
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
-COLUMNS = ["t", "side", "tie", "body"]
+COLUMNS = ["device", "t", "side", "tie", "body"]
+#: A time after all others, in microseconds.
+NEVER = 1 << 60
 
 
-class NearestInTime(StatefulProcessor):
+def nearest_in_time(key: str, reach: int | None, forward: bool, forget: int | None) -> Step:
     """Left rows (side 0) with the last right row (side 1) at or before them, or the first after them within ``reach`` µs."""
 
-    def __init__(self, key: str, tie: str, reach: int | None, forward: bool, forget: int | None) -> None:
-        self.key, self.tie, self.reach, self.forward, self.forget = key, tie, reach, forward, forget
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", f"t long, side int, tie {self.tie}, body string")
-        self.latest = handle.getValueState("latest", "t long, body string")
-        self.timer = handle.getValueState("timer", "at long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [(int(t), int(side), None if tie is None or tie != tie else tie, body)
-               for part in rows for t, side, tie, body in zip(*(part[c].to_numpy(dtype=object) for c in COLUMNS))]
-        self.waiting.appendList(new)
-        self.wake_at(min(map(self.decided_at, new)))
-        return iter(())
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.timer.exists() or self.timer.get()[0] != expiredTimerInfo.getExpiryTimeInMs():
-            return  # another one took its place
-        self.timer.clear()
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[2] is not None, r[2]))
-        out, left = (self.forwards if self.forward else self.backwards)(rows, mark)
-        if left:
-            self.waiting.put(left)
-            self.wake_at(min(map(self.decided_at, left)))
+    def step(share: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        frames = [] if state.hasTimedOut else [p[COLUMNS] for p in parts]
+        if state.exists:
+            frames.insert(0, pd.DataFrame({c: pd.Series(v, dtype=kind_of(c)) for c, v in zip(COLUMNS, state.get)}))
+        rows = pd.concat(frames, ignore_index=True)
+        mark = state.getCurrentWatermarkMs() * 1000
+        ties = pd.factorize(rows["tie"], sort=True)[0]  # null comes first
+        devices = pd.factorize(rows["device"])[0]
+        t, right = rows["t"].to_numpy("int64"), rows["side"].to_numpy("int64") == 1
+        order = np.lexsort((ties, ~right, t, devices))  # of rows at one instant those of the right side first
+        device, t, right = devices[order], t[order], right[order]
+        found, done, keep, wake = (forwards if forward else backwards)(device, t, right, mark)
+        if keep.any():
+            held = rows.iloc[order[keep]]
+            state.update(tuple([_plain(v) for v in held[c].to_numpy(dtype=object)] if c == "tie" else held[c].tolist() for c in COLUMNS))
+            state.setTimeoutTimestamp(max(-(-wake // 1000) - 1, state.getCurrentWatermarkMs() + 1))
         else:
-            self.waiting.clear()
-            if self.forget is not None and self.latest.exists():
-                end = self.latest.get()[0] + self.forget
-                if end <= mark:
-                    self.latest.clear()
-                else:
-                    self.wake_at(end)
-        if out:
-            t, body, at, found = zip(*out)
-            yield pd.DataFrame({self.key: key[0], "t": t, "body": body, "right_t": pd.array(at, "Int64"), "found": found})
-
-    def decided_at(self, row: tuple) -> int:
-        return row[0] + (self.reach if self.forward and row[1] == 0 else 0)
-
-    def wake_at(self, at: int) -> None:
-        at = at // 1000 + 1
-        if self.timer.exists():
-            if self.timer.get()[0] <= at:
-                return
-            self.handle.deleteTimer(self.timer.get()[0])
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
-
-    def backwards(self, rows: list[tuple], mark: int) -> tuple[list, list]:
-        known = self.latest.get() if self.latest.exists() else None
-        out, at_once = [], []
-        done = [r for r in rows if r[0] <= mark]
-        for n, (t, side, _, body) in enumerate(done):
-            if side == 0:
-                at_once.append((t, body))
-            else:
-                known = (t, body)
-            if n + 1 == len(done) or done[n + 1][0] != t:  # a right row at the same instant counts
-                for left_t, left in at_once:
-                    near = known is not None and (self.reach is None or left_t - known[0] <= self.reach)
-                    out.append((left_t, left, *(known if near else (None, None))))
-                at_once = []
-        if known is not None:
-            self.latest.update(known)
-        return out, [r for r in rows if r[0] > mark]
-
-    def forwards(self, rows: list[tuple], mark: int) -> tuple[list, list]:
-        out, open_, following = [], [], None
-        for t, side, tie, body in reversed(rows):
-            if side == 1:
-                if following is None or t < following[0][0]:
-                    following = [(t, body), following[0] if following else None]
-                else:
-                    following[0] = (t, body)  # at one instant the smallest tie counts
-                continue
-            # of the right rows seen so far the earliest may stand at this very instant, which does not count
-            nearest = following and (following[0] if following[0][0] > t else following[1])
-            if nearest and nearest[0] - t <= self.reach and nearest[0] <= mark:
-                out.append((t, body, *nearest))
-            elif t + self.reach <= mark:
-                out.append((t, body, None, None))
-            else:
-                open_.append((t, 0, tie, body))
-        first = min((r[0] for r in open_), default=None)
-        return out, open_ + [r for r in rows if r[1] == 1 and (r[0] > mark or first is not None and r[0] > first)]
-
-    def close(self) -> None:
-        pass
+            state.remove()
+        if done.any():
+            # the place of a match, or none, for each row that is done
+            near, body = found[done], rows["body"].to_numpy(dtype=object)[order]
+            none = near < 0
+            yield pd.DataFrame({
+                key: rows["device"].to_numpy(dtype=object)[order][done], "t": t[done], "body": body[done],
+                "right_t": pd.arrays.IntegerArray(np.where(none, 0, t[near]), none), "found": np.where(none, None, body[near])})
+
+    def backwards(device: np.ndarray, t: np.ndarray, right: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        past = t <= mark
+        place = np.arange(len(t))
+        last = np.maximum.accumulate(np.where(right & past, place, -1))
+        known = (last >= 0) & (device[last] == device)
+        near = known if reach is None else known & (t - t[last] <= reach)
+        # the last right row of a device stays, unless it is too old and nothing waits
+        ends = np.r_[device[1:] != device[:-1], True]
+        waits = ~past[ends]  # a device's latest row stands last
+        latest = last[ends][known[ends]]
+        waits = waits[known[ends]]
+        stay = latest if forget is None else latest[waits | (t[latest] + forget > mark)]
+        keep = ~past
+        keep[stay] = True
+        wake = t[~past] if forget is None else np.r_[t[~past], t[stay] + forget]
+        wake = wake[wake > mark]
+        return np.where(near, last, -1), past & ~right, keep, int(wake.min()) if len(wake) else NEVER
+
+    def forwards(device: np.ndarray, t: np.ndarray, right: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        n = len(t)
+        # rights at one instant come before the lefts, so the next right row after a left one is later, and has the smallest tie
+        following = np.minimum.accumulate(np.where(right, np.arange(n), n)[::-1])[::-1]
+        inside = np.minimum(following, n - 1)
+        near = (following < n) & (device[inside] == device) & (t[inside] - t <= reach) & (t[inside] <= mark)
+        done = ~right & (near | (t + reach <= mark))
+        open_ = ~right & ~done
+        first = np.full(device.max() + 1, NEVER)
+        np.minimum.at(first, device[open_], t[open_])
+        keep = open_ | right & ((t > mark) | (t > first[device]))
+        wake = np.r_[t[open_] + reach, t[right & (t > mark)]]
+        return np.where(near, following, -1), done, keep, int(wake.min()) if len(wake) else NEVER
+
+    return step
+
+
+def kind_of(column: str) -> str:
+    return "int64" if column in ("t", "side") else "object"
 
 
 def as_of_stream(left: DataFrame, right: DataFrame, payload: Sequence[str], key: str = "deviceId", tie: str = "id",
-                 max_age: str | None = None, forward: bool = False, late: str = "1 minute", forget: str | None = None) -> DataFrame:
+                 max_age: str | None = None, forward: bool = False, late: str = "1 minute", forget: str | None = None,
+                 shares: int = SHARES) -> DataFrame:
     """Stream twin of ``as_of``: ``left`` with ``right_at`` and ``payload`` of its match, once that is certain.
 
     Neither side may carry a watermark yet; rows may be ``late`` by so much. Looking forward needs ``max_age``. With ``forget``
-    a key silent for so long loses its last right row. State has to be kept in RocksDB. The rows are given out after
+    a key silent for so long loses its last right row. A call takes the keys of one of ``shares`` shares. The rows are given out after
     their time, so what aggregates them by time is a query of its own, which reads what this one wrote.
     """
     if forward and not max_age:
@@ -137,10 +118,13 @@ def as_of_stream(left: DataFrame, right: DataFrame, payload: Sequence[str], key:
             key, "event_time", F.lit(side).alias("side"), place.cast(kind).alias("tie"), F.to_json(F.struct(*columns), JSON).alias("body"))
 
     both = packed(left, 0, left.columns).unionByName(packed(right, 1, payload)).withWatermark("event_time", late)
-    sent = both.select(key, "event_time", F.unix_micros("event_time").alias("t"), "side", "tie", "body")
-    found = sent.groupBy(key).transformWithStateInPandas(
-        NearestInTime(key, kind, micros(max_age) if max_age else None, forward, micros(forget) if forget else None),
-        f"{key} {left.schema[key].dataType.simpleString()}, t long, body string, right_t long, found string", "Append", "EventTime")
+    # the event time goes along because late rows are dropped by it
+    sent = both.select(share_of(key, shares), "event_time", F.col(key).alias("device"), F.unix_micros("event_time").alias("t"), "side", "tie", "body")
+    device = left.schema[key].dataType.simpleString()
+    found = sent.groupBy("share").applyInPandasWithState(
+        nearest_in_time(key, micros(max_age) if max_age else None, forward, micros(forget) if forget else None),
+        f"{key} {device}, t long, body string, right_t long, found string",
+        f"device array<{device}>, t array<bigint>, side array<int>, tie array<{kind}>, body array<string>", "append", GroupStateTimeout.EventTimeTimeout)
     unpacked = found.select(
         F.from_json("body", left.schema, JSON).alias("l"), F.timestamp_micros("right_t").alias("right_at"),
         F.from_json("found", right.select(*payload).schema, JSON).alias("r"))
