@@ -15,7 +15,9 @@ def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes
                   rows_per_slice: int | None = None, salts: int = 1) -> DataFrame:
     """Every (fix, speed limit) pair of one device at most ``tolerance`` apart; ``left`` keeps unmatched fixes.
 
-    Works on two batch frames or two streams. A stream join is Spark's own symmetric join; a stream cannot be counted
+    Works on two batch frames or two streams. A stream join is Spark's own symmetric join, which compares a row with all that
+    the other side holds under its key; so the key is the device and a stretch of time of four tolerances, a fix stays in the one it
+    lies in, and a limit is copied to the one or two it can reach (``held_once`` tells which copy counts). A stream cannot be counted
     beforehand, so ``salts`` says over how many tasks one device's fixes are spread (its limits, which are fewer, are copied
     to each). Choose it before the first checkpoint. In batch the time axis is
     cut into buckets twice the tolerance wide and the bucket joins the key, so a device is spread over as many tasks as
@@ -24,17 +26,20 @@ def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes
     """
     brought = {c.lower() for c in limits.columns}
     gps = gps.drop(*[c for c in gps.columns if c.lower() in brought])  # a limit sent with the fix gives way to the joined one
+    reach = micros(tolerance)
     if gps.isStreaming:
+        width, times = _stretch(tolerance), F.unix_micros("event_time_speed")
         away = F.expr(f"INTERVAL {tolerance}")
         near = F.col("event_time").between(F.col("event_time_speed") - away, F.col("event_time_speed") + away)
-        same = F.col("deviceId") == F.col("deviceId_sl")
-        if salts == 1:
-            return gps.join(limits, same & near, how)
-        fixes = gps.withColumn("_salt", F.pmod(F.xxhash64(*_spread_columns(gps), "event_time"), F.lit(salts)).cast("int"))
-        copies = limits.withColumn("_salt_sl", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        return fixes.join(copies, same & (F.col("_salt") == F.col("_salt_sl")) & near, how).drop("_salt", "_salt_sl")
+        same = (F.col("deviceId") == F.col("deviceId_sl")) & (F.col("_stretch") == F.col("_stretch_sl"))
+        fixes = gps.withColumn("_stretch", F.floor(F.unix_micros("event_time") / width))
+        copies = limits.withColumn("_stretch_sl", F.explode(F.sequence(F.floor((times - reach) / width), F.floor((times + reach) / width))))
+        if salts > 1:
+            fixes = fixes.withColumn("_salt", F.pmod(F.xxhash64(*_spread_columns(gps), "event_time"), F.lit(salts)).cast("int"))
+            copies = copies.withColumn("_salt_sl", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            same = same & (F.col("_salt") == F.col("_salt_sl"))
+        return fixes.join(copies, same & near, how).drop("_stretch", "_stretch_sl", "_salt", "_salt_sl")
 
-    reach = micros(tolerance)
     width = 2 * reach
     fixes = gps.withColumn("_t", F.unix_micros("event_time"))
     fixes = fixes.withColumns({"_device": F.col("deviceId"), "_bucket": F.floor(F.col("_t") / width)})
@@ -53,6 +58,15 @@ def interval_join(gps: DataFrame, limits: DataFrame, tolerance: str = "5 minutes
     return joined.select(*[f"f.{c}" for c in gps.columns], *[f"l.{c}" for c in limits.columns])
 
 
+def _stretch(tolerance: str) -> int:
+    return max(4 * micros(tolerance), 1)
+
+
+def held_once(tolerance: str, row: str = "value") -> Column:
+    """Whether a limit in the state of a stream's ``interval_join`` stands in the stretch of its own time: one copy of each does."""
+    return F.floor(F.unix_micros(f"{row}.event_time_speed") / _stretch(tolerance)) == F.col(f"{row}._stretch_sl")
+
+
 def _spread_columns(frame: DataFrame) -> list[str]:
     return [c for c in ("id",) if c in frame.columns]
 

@@ -298,13 +298,16 @@ def stream_driver_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows AS (SELECT 'left' AS side, ts FROM gps UNION ALL SELECT 'right', ts FROM lim)
     SELECT side, count(*) AS kept, count(*) FILTER (ts > mark) AS after_eviction FROM rows, mark GROUP BY side"""))
 def stream_join_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that the interval join holds after its first batch, and after the watermark has let it forget."""
+    """Rows that the interval join holds after its first batch, and after the watermark has let it forget; a limit that it holds
+    in two stretches of time counts once."""
     folder = work_folder(spark, "join-state")
     position_log(spark, sf_dir).write.parquet(f"{folder}/messages")
     log = spark.readStream.schema(topics.ENVELOPE).parquet(f"{folder}/messages")
     joined = joins.interval_join(gps_stream(log), limit_stream(log), "1 day", "left")
     run.run_available(spark, joined.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint"))
-    first, last = (run.join_state(spark, f"{folder}/checkpoint", b).groupBy("side").agg(F.count("*").alias(name)) for b, name in ((0, "kept"), (None, "after_eviction")))
+    once = joins.held_once("1 day")
+    first, last = (run.join_state(spark, f"{folder}/checkpoint", b, right_where=once).groupBy("side").agg(F.count("*").alias(name))
+                   for b, name in ((0, "kept"), (None, "after_eviction")))
     return first.join(last, "side", "left").select("side", "kept", F.coalesce("after_eviction", F.lit(0)).alias("after_eviction"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -20,11 +20,13 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
     """Settings a stateful query keeps for life, in force while it is started.
 
     The number of state partitions is fixed by the first checkpoint, so choose it for the final size (a few times the
-    core count). RocksDB keeps state outside the heap, and changelog checkpoints write only what a batch changed.
+    core count). RocksDB keeps state outside the heap, and changelog checkpoints write only what a batch changed. Rows are not
+    counted as they are put, which would look each of them up first.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
     }
     before = {name: spark.conf.get(name, None) for name in wanted}
@@ -121,14 +123,18 @@ def replay(spark: SparkSession, label: str, stages: Sequence[DataFrame], build:
     return spark.read.schema(schema).option("basePath", sink).parquet(sink)
 
 
-def join_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None, operator: int = 0) -> DataFrame:
+def join_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None, operator: int = 0,
+               right_where: Column | None = None) -> DataFrame:
     """What a stream-stream join of a query keeps, read from its checkpoint as a table: ``side`` and the row's ``key`` and ``value``.
 
-    ``batch_id``: as it stood after that batch; without, after the last one.
+    ``batch_id``: as it stood after that batch; without, after the last one. ``right_where``, over the struct ``value``, says which
+    rows of the right side count.
     """
     sides = []
     for side in ("left", "right"):
         reader = spark.read.format("statestore").option("joinSide", side).option("operatorId", operator)
         rows = (reader if batch_id is None else reader.option("batchId", batch_id)).load(checkpoint)
+        if side == "right" and right_where is not None:
+            rows = rows.where(right_where)
         sides.append(rows.select(F.lit(side).alias("side"), F.to_json("key").alias("key"), F.to_json("value").alias("value")))
     return sides[0].unionByName(sides[1])
