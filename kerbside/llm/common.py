@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.llm.cuckoo import mixed
 from kerbside.session import work_folder
 
 #: Characters that separate words: space and the control characters 9 to 13.
@@ -90,3 +91,33 @@ def bloom_filter(ids: DataFrame, bits: int = 1 << 24) -> Callable[[Column], Colu
         return pd.Series(((packed[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).all(1))
 
     return lambda c: inside(F.array(*[F.pmod(F.xxhash64(F.lit(s), c), F.lit(bits)) for s in seeds]))
+
+
+def hash_filter(hashes: DataFrame, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A Bloom filter like ``bloom_filter`` for 64-bit hashes (one column), asked with arrays inside a Python task: no hash that is in
+    is missed."""
+    name, seeds = hashes.columns[0], [mixed(np.array([s], np.uint64))[0] for s in (1, 2, 3)]
+
+    def places(values: np.ndarray) -> list[np.ndarray]:
+        return [mixed(values.astype(np.int64).view(np.uint64) ^ s) & np.uint64(bits - 1) for s in seeds]
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for p in places(batch[name].to_numpy()):
+                p.sort()
+                word, start = np.unique(p >> np.uint64(6), return_index=True)
+                mask = np.bitwise_or.reduceat(np.uint64(1) << (p & np.uint64(63)), start) if len(p) else p
+                yield pd.DataFrame({"word": word.view(np.int64), "mask": mask.view(np.int64)})
+
+    table = np.zeros(bits >> 6, np.int64)
+    for r in hashes.mapInPandas(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
+        table[r.word] = r.mask  # at most bits / 64 rows
+    packed = table.view(np.uint64)
+
+    def inside(values: np.ndarray) -> np.ndarray:
+        hit = np.ones(len(values), bool)
+        for p in places(values):
+            hit &= (packed[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return hit
+
+    return inside

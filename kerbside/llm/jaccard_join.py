@@ -28,7 +28,7 @@ Edge cases: null, empty and blank texts have no set and stay alone; rows with eq
 id; a null id sorts after all others; ties go to the smaller id; an empty table gives an empty result; further
 columns are ignored.
 
-Scale: what is shuffled are first hashes of all sets, then the texts still in question (a Bloom filter of fixed size
+Scale: what is shuffled are first hashes of all sets, those among them that others may hold (by a Bloom filter of at most 64 MB), then the texts still in question (a Bloom filter of fixed size
 holds the others back), then full sets of their classes. Counts are combined before their shuffle; joins on a hash that many classes
 hold are plain equi-joins that adaptive execution splits. No group is gathered anywhere.
 """
@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import LAST_ID, bloom_filter, small_batches, stored
+from kerbside.llm.common import LAST_ID, bloom_filter, filter_bits, hash_filter, small_batches, stored
 from kerbside.llm.components import components
 from kerbside.llm.cuckoo import mixed
 from kerbside.llm.suffix_sort import Hashes
@@ -114,8 +114,18 @@ def measured(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def full_sets(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(cls, n, hashes) of the classes that share enough of their first hashes with others."""
-    first = sets.select("row", F.explode("first").alias("hash"))
-    shared = first.groupBy("hash").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a <> b").select("hash")
+    # a set holds a hash once, so a hash that comes twice is in two rows
+    each = sets.select(F.explode("first").alias("hash"))
+    shared = stored(each.groupBy("hash").agg(F.count("*").alias("df")).filter("df > 1").select("hash"), "jaccard-shared")
+    may_be_shared = hash_filter(shared, filter_bits(shared.count()))
+
+    def hits_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hashes = np.concatenate([np.empty(0, np.int64), *batch["first"]]).astype(np.int64)
+            hit = may_be_shared(hashes)
+            yield pd.DataFrame({"row": np.repeat(batch["row"].to_numpy(), batch["first"].map(len))[hit], "hash": hashes[hit]})
+
+    first = sets.select("row", "first").mapInPandas(hits_of, "row long, hash long")
     hits = first.join(shared, "hash").groupBy("row").agg(F.count("*").alias("hits"))
     open_ = stored(
         sets.drop("first").join(hits, "row").filter(F.col("hits") >= rule.least_shared(F.col("n")))
@@ -141,11 +151,12 @@ def full_sets(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 def profiles(full: DataFrame, rule: Rule) -> DataFrame:
     """Per class that may still link: size, shared hashes, largest partner, prefix from rare to common, min-hashes."""
-    each = full.select("cls", "n", F.explode("hashes").alias("hash"))
+    each = full.select("cls", F.explode("hashes").alias("hash"))
     common = each.groupBy("hash").agg(F.count("*").alias("df")).filter("df > 1")
-    per_class = each.join(common, "hash").groupBy("cls", "n").agg(
+    per_class = each.join(common, "hash").groupBy("cls").agg(
         F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("shared"),
-        F.min(F.xxhash64(F.lit(1), "hash")).alias("key0"), F.min(F.xxhash64(F.lit(2), "hash")).alias("key1"))
+        F.min(F.xxhash64(F.lit(1), "hash")).alias("key0"), F.min(F.xxhash64(F.lit(2), "hash")).alias("key1")).join(
+        full.select("cls", "n"), "cls")
     size = F.size("shared").cast("long")
     unique = F.col("n") - size
     prefix = F.slice("shared", 1, (rule.miss_column(F.col("n")) + 1 - unique).cast("int"))
