@@ -17,8 +17,8 @@ they are computed in integers of any size.
 Edge cases: a null text is empty, a null lang ``und``; repeated rows count as often as they come; ties in score go to the higher
 count, then the smaller phrase in byte order; an empty table gives no rows. Further columns are ignored.
 
-Scale: a task counts some megabytes of text at a time, distinct phrases alone move, and counts of one phrase combine before
-they do. Streams are cut by range wherever that falls, even within the phrases of one first word: what a walk needs from
+Scale: a task counts a megabyte of text at a time, whose counts leave it in small batches; distinct phrases alone move, and
+counts of one phrase combine before they do. Streams are cut by range wherever that falls, even within the phrases of one first word: what a walk needs from
 before its first row (at most four phrases) is looked up for all ranges beforehand, a few rows per range. Filters have 16 bits a
 phrase up to 64 MB. A language's report is ranked among the best of each range.
 """
@@ -38,7 +38,8 @@ from kerbside.llm import sketches
 from kerbside.llm.common import stored
 
 LONGEST = 5
-CHUNK = 4 << 20  # bytes of text counted at a time
+CHUNK = 1 << 20  # bytes of text counted at a time
+ROWS = 50_000  # counts that a task hands on at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -120,27 +121,33 @@ class Words:
             names=["lang", "phrase", "f"])
 
 
+def counts_in(batches: Iterable[pa.RecordBatch], length: int, shorter: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, f) of some (text, lang), chunk by chunk, at most ``ROWS`` rows together."""
+    def count(texts: list[bytes], langs: list[str]) -> Iterator[pa.RecordBatch]:
+        words = Words(texts, langs)
+        at = words.phrases(length)
+        for part in (0, 1) if shorter is not None else ():
+            at = at[sketches.inside(shorter, words.phrase_hashes(at + part, length - 1))]
+        for i in range(0, len(found := words.counts(at, length)), ROWS):
+            yield found.slice(i, ROWS)
+
+    texts, langs, size = [], [], 0
+    for batch in batches:
+        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+            texts.append(text)
+            langs.append(lang)
+            size += len(text)
+            if size > CHUNK:
+                yield from count(texts, langs)
+                texts, langs, size = [], [], 0
+    if texts:
+        yield from count(texts, langs)
+
+
 def counted(docs: DataFrame, length: int, shorter: np.ndarray | None) -> DataFrame:
     """(lang, phrase, f): counts of phrases of ``length`` words; with ``shorter``, a Bloom filter, only of those whose two parts it knows."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def count(texts: list[bytes], langs: list[str]) -> pa.RecordBatch:
-            words = Words(texts, langs)
-            at = words.phrases(length)
-            for part in (0, 1) if shorter is not None else ():
-                at = at[sketches.inside(shorter, words.phrase_hashes(at + part, length - 1))]
-            return words.counts(at, length)
-
-        texts, langs, size = [], [], 0
-        for batch in batches:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                texts.append(text)
-                langs.append(lang)
-                size += len(text)
-                if size > CHUNK:
-                    yield count(texts, langs)
-                    texts, langs, size = [], [], 0
-        if texts:
-            yield count(texts, langs)
+        return counts_in(batches, length, shorter)
 
     plain = docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     return plain.mapInArrow(rows, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kerbside.llm import collocations, sketches
@@ -83,3 +85,20 @@ def test_scores_beyond_64_bits(spark):
                                  "range int, lang string, words array<string>, f long, n long, begins array<long>, ends array<long>, wider_left long, wider_right long")
     [r] = collocations.scored(rows, 100).collect()
     assert r.score == 1000 * (big - 1) * (big + 5) // (big * (big - 1))
+
+
+def test_a_task_counts_in_bounded_memory():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(20_000)}" for _ in range(1_500)).encode() for _ in range(1_000)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i:i + 100], "lang": ["en"] * 100}) for i in range(0, len(texts), 100)]
+    total, sizes = 0, []
+    tracemalloc.start()
+    try:
+        for found in collocations.counts_in(batches, 2, None):
+            total += sum(found["f"].to_pylist())
+            sizes.append(len(found))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 1_499 * 1_000
+    assert max(sizes) <= 50_000 and peak < 50 << 20
