@@ -67,6 +67,33 @@ def filter_bits(n: int) -> int:
     return 1 << min(29, max(24, (16 * n - 1).bit_length()))
 
 
+#: log2 of the 64-bit words in a segment of a filter, and segments that the driver takes at a time (16 MB).
+SEGMENT_WORDS, SEGMENTS = 13, 256
+
+
+def filter_words(words: DataFrame, bits: int) -> np.ndarray:
+    """The 64-bit words of a filter of ``bits`` bits, from the distinct (word, mask) that are not 0.
+
+    Tasks lay them out in segments, which come to the driver in one collect per 16 MB, however many partitions there are.
+    """
+    def segment(rows: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros(1 << SEGMENT_WORDS, np.int64)
+        own[rows["word"].to_numpy() & (1 << SEGMENT_WORDS) - 1] = rows["mask"].to_numpy()
+        return pd.DataFrame({"segment": rows["segment"].iloc[:1], "bytes": [own.tobytes()]})
+
+    parts = words.select(F.shiftright("word", SEGMENT_WORDS).cast("int").alias("segment"), "word", "mask") \
+        .groupBy("segment").applyInPandas(segment, "segment int, bytes binary")
+    table, width = np.zeros(bits >> 6, np.int64), 1 << SEGMENT_WORDS
+    many = len(table) > width * SEGMENTS
+    if many:
+        parts = stored(parts, "filter-segments")
+    for first in range(0, -(-len(table) // width), SEGMENTS):
+        for r in (parts.filter(F.col("segment").between(first, first + SEGMENTS - 1)) if many else parts).collect():  # at most SEGMENTS rows
+            own = table[r.segment * width:(r.segment + 1) * width]
+            own[:] = np.frombuffer(r.bytes, np.int64)[:len(own)]
+    return table.view(np.uint64)
+
+
 def bloom_filter(ids: DataFrame, bits: int = 1 << 24) -> Callable[[Column], Column]:
     """A test of whether an id (BIGINT) may be among ``ids`` (one column): no id that is in is missed.
 
@@ -80,10 +107,7 @@ def bloom_filter(ids: DataFrame, bits: int = 1 << 24) -> Callable[[Column], Colu
         ids.select(F.explode(places).alias("p"))
         .groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(mask).alias("mask"))
     )
-    table = np.zeros(bits >> 6, np.int64)
-    for r in words.toLocalIterator():  # at most bits / 64 rows
-        table[r.word] = r.mask
-    packed = table.view(np.uint64)
+    packed = filter_words(words, bits)
 
     @F.pandas_udf("boolean")
     def inside(places: pd.Series) -> pd.Series:
@@ -109,10 +133,7 @@ def hash_filter(hashes: DataFrame, bits: int) -> Callable[[np.ndarray], np.ndarr
                 mask = np.bitwise_or.reduceat(np.uint64(1) << (p & np.uint64(63)), start) if len(p) else p
                 yield pd.DataFrame({"word": word.view(np.int64), "mask": mask.view(np.int64)})
 
-    table = np.zeros(bits >> 6, np.int64)
-    for r in hashes.mapInPandas(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
-        table[r.word] = r.mask  # at most bits / 64 rows
-    packed = table.view(np.uint64)
+    packed = filter_words(hashes.mapInPandas(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")), bits)
 
     def inside(values: np.ndarray) -> np.ndarray:
         hit = np.ones(len(values), bool)
