@@ -20,7 +20,8 @@ as it is; further columns are kept.
 
 Scale: keys are made distinct per document before they move, and counted per task before the shuffle, so
 a line found everywhere is one row per task. A shard's filter sees distinct keys, about ``per_shard`` of
-them. Texts are shuffled once, to meet the keys that they lose.
+them. Texts are shuffled once, to meet the keys that they lose. Keys go to Python tasks by thousands, texts a few at a time, and
+what a task held of texts leaves its Python worker with it.
 """
 
 from __future__ import annotations
@@ -35,11 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import sketches
-from kerbside.llm.common import BLANKS, LAST_ID, small_batches, stored
+from kerbside.llm.common import BLANKS, LAST_ID, lean, small_batches, stored
 from kerbside.llm.cuckoo import CuckooFilter
 from kerbside.session import work_folder
 
 KEY = ["hi", "lo"]
+#: Keys that Python tasks get at a time, where no texts go with them.
+KEYS_AT_A_TIME = 8192
 
 
 def line_key(line: str, min_chars: int) -> bytes | None:
@@ -62,7 +65,7 @@ def held(docs: DataFrame, min_chars: int) -> DataFrame:
             yield pd.DataFrame({"doc_id": np.concatenate(ids or [np.empty(0, np.int64)]), "hi": pair[:, 0], "lo": pair[:, 1]})
 
     return docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text").mapInPandas(
-        rows, "doc_id long, hi long, lo long")
+        lean(rows), "doc_id long, hi long, lo long")
 
 
 def cleaned(docs: DataFrame, losses: DataFrame, min_chars: int) -> DataFrame:
@@ -89,7 +92,7 @@ def cleaned(docs: DataFrame, losses: DataFrame, min_chars: int) -> DataFrame:
                 drops.append(len(lines) - len(keep))
             yield batch.drop(columns=gone).assign(text=pd.Series(texts, index=batch.index, dtype=object), n_lines=counts, n_dropped=drops)
 
-    return joined.mapInPandas(apply, schema)
+    return joined.mapInPandas(lean(apply), schema)
 
 
 class LineIndex:
@@ -142,6 +145,11 @@ class LineIndex:
     def _shard(self):
         return F.pmod(F.xxhash64(*KEY), F.lit(self.shards)).cast("int")
 
+    def _stored(self, keys: DataFrame, label: str) -> DataFrame:
+        """``stored`` for rows of keys that are made without texts: in batches of many."""
+        with sketches.batches_of(self.spark, KEYS_AT_A_TIME):
+            return stored(keys, label)
+
     def _next_filters(self, keys: DataFrame, insert: bool) -> None:
         """A new version of the filters with the distinct keys (shard, hi, lo) inserted or deleted."""
         def update(keys: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
@@ -154,7 +162,8 @@ class LineIndex:
         schema = "shard int, filter binary"
         old = self.spark.read.schema(schema).parquet(self.filters) if self.filters else self.spark.createDataFrame([], schema)
         path = os.path.join(self.folder, "filters", f"version={len(self.changes)}")
-        keys.groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, schema).write.mode("overwrite").parquet(path)
+        with sketches.batches_of(self.spark, KEYS_AT_A_TIME):
+            keys.groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, schema).write.mode("overwrite").parquet(path)
         self.filters = path
 
     def _known(self, keys: DataFrame) -> DataFrame:
@@ -175,7 +184,9 @@ class LineIndex:
     @staticmethod
     def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
         """``rows`` without most of those whose key is not in ``keys`` (stored, distinct): what a join would shuffle for nothing."""
-        return rows.filter(sketches.asked(sketches.bloom_of(keys.select("lo"), keys.count()))("lo"))
+        with sketches.batches_of(keys.sparkSession, KEYS_AT_A_TIME):
+            bitmap = sketches.bloom_of(keys.select("lo"), keys.count())
+        return rows.filter(sketches.asked(bitmap)("lo"))
 
     def insert(self, docs: DataFrame) -> DataFrame:
         """Take documents in; returns the exact (hi, lo, refs, owner) of their keys that two or more documents hold."""
@@ -185,12 +196,12 @@ class LineIndex:
             ids = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")).distinct()
             rows = rows.join(earlier.join(ids, "doc_id", "left_semi"), ["shard", *KEY, "doc_id"], "left_anti")
         added = self._append(rows, 1)
-        batch = stored(added.groupBy("shard", *KEY).agg(F.count("*").alias("refs"), F.min("doc_id").alias("owner")), "line-batch")
+        batch = self._stored(added.groupBy("shard", *KEY).agg(F.count("*").alias("refs"), F.min("doc_id").alias("owner")), "line-batch")
         if earlier is None:
             self._next_filters(batch.select("shard", *KEY), insert=True)
             return batch.filter("refs > 1").select(*KEY, "refs", "owner")
-        maybe = stored(self._known(batch.select("shard", *KEY)), "line-maybe")
-        exact = stored(
+        maybe = self._stored(self._known(batch.select("shard", *KEY)), "line-maybe")
+        exact = self._stored(
             self._among(earlier, maybe).join(maybe, ["shard", *KEY], "left_semi").groupBy("shard", *KEY)
             .agg(F.count("*").alias("_refs"), F.min("doc_id").alias("_owner")), "line-exact")
         self._next_filters(batch.join(exact, ["shard", *KEY], "left_anti").select("shard", *KEY), insert=True)
@@ -202,10 +213,10 @@ class LineIndex:
         """Take documents (doc_id) out again."""
         live = self.log()
         ids = doc_ids.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")).distinct()
-        gone = stored(live.join(ids, "doc_id", "left_semi").select("shard", *KEY, "doc_id"), "line-gone")
-        touched = stored(gone.select("shard", *KEY).distinct(), "line-touched")
+        gone = self._stored(live.join(ids, "doc_id", "left_semi").select("shard", *KEY, "doc_id"), "line-gone")
+        touched = self._stored(gone.select("shard", *KEY).distinct(), "line-touched")
         left = self._among(live, touched).join(ids, "doc_id", "left_anti").join(touched, ["shard", *KEY], "left_semi").select("shard", *KEY).distinct()
-        freed = stored(touched.join(left, ["shard", *KEY], "left_anti"), "line-freed")
+        freed = self._stored(touched.join(left, ["shard", *KEY], "left_anti"), "line-freed")
         self._append(gone, -1)
         self._next_filters(freed, insert=False)
 
@@ -216,8 +227,9 @@ class LineIndex:
 
     def clean(self, docs: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
         """``docs``, which are in, without the lines that another document owns; adds n_lines and n_dropped."""
-        repeated = stored(self.repeated() if repeated is None else repeated, "line-repeated")
-        losses = self._among(self.log(), repeated).join(repeated, KEY).filter("doc_id > owner").select("doc_id", *KEY)
+        repeated = self._stored(self.repeated() if repeated is None else repeated, "line-repeated")
+        # written before texts are read: keys and texts in one job would share the executors' memory
+        losses = self._stored(self._among(self.log(), repeated).join(repeated, KEY).filter("doc_id > owner").select("doc_id", *KEY), "line-losses")
         return cleaned(docs, losses, self.min_chars)
 
 

@@ -16,7 +16,7 @@ without usable labels the score is a smoothed prior; repeated rows are scored on
 table gives an empty result; further columns are kept.
 
 Scale: two passes over the texts, one to count trigrams (a table per task leaves it) and one to score;
-texts are never shuffled but for the bounded sample.
+texts are never shuffled but for the bounded sample. What a task keeps leaves its Python worker with it.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import let, small_batches, stored, words_of
+from kerbside.llm.common import lean, let, small_batches, stored, words_of
 from kerbside.llm.labels import remainder, training_rows
 
 # What a sign may stand for, and what may separate letters.
@@ -94,9 +94,20 @@ class Classes(dict):
 CLASSES = Classes()
 
 
+class Rows(dict):
+    """The last axis of a table by the place before it, as lists, made when first asked for."""
+
+    def __init__(self, table: np.ndarray) -> None:
+        self.table = table
+
+    def __missing__(self, at: int) -> list[float]:
+        self[at] = row = self.table[at].tolist()
+        return row
+
+
 def as_lists(model: np.ndarray | list) -> list:
-    """The table as nested lists, which single look-ups read several times as fast."""
-    return model.tolist() if isinstance(model, np.ndarray) else model
+    """The table as lists, which single look-ups read several times as fast; only rows that are used become lists."""
+    return [Rows(plane) for plane in model] if isinstance(model, np.ndarray) else model
 
 
 def trigram_model(docs: DataFrame) -> np.ndarray:
@@ -112,7 +123,7 @@ def trigram_model(docs: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"code": seen, "n": totals[seen]})
 
     counts = np.full(N_CLASSES ** 3, 0.05)
-    rows = docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInPandas(lean(count), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     for r in rows.collect():  # at most N_CLASSES ** 3 rows
         counts[r.code] += r.n
     counts = counts.reshape((N_CLASSES,) * 3)
@@ -284,7 +295,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 20_000, features: int
         yield passed_on(seen)
 
     counted = (
-        sample.repartition(64).mapInPandas(count, "feature string, toxic long, clean long")
+        sample.repartition(64).mapInPandas(lean(count), "feature string, toxic long, clean long")
         .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
@@ -305,7 +316,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 20_000, features: int
             x = np.array([fitted.inputs(t, known) for t in batch["text"]]).reshape(-1, 4)
             yield pd.DataFrame({"a": x[:, 1], "b": x[:, 2], "c": x[:, 3], "label": (batch["label"] > 0).astype("int32")})
 
-    table = sample.mapInPandas(inputs, "a double, b double, c double, label int").toPandas()  # bounded by ``most``
+    table = sample.mapInPandas(lean(inputs), "a double, b double, c double, label int").toPandas()  # bounded by ``most``
     x = np.c_[np.ones(len(table)), table[["a", "b", "c"]].to_numpy()]
     fitted.coefficients = logistic(x, table["label"].to_numpy(float))
     return fitted
@@ -335,7 +346,7 @@ def scored(docs: DataFrame, fitted: Toxicity) -> DataFrame:
             x = np.array([fitted.inputs(t, known) for t in batch["text"]]).reshape(-1, 4)
             yield batch.assign(score=1 / (1 + np.exp(-np.clip(x @ fitted.coefficients, -30, 30))))
 
-    return docs.mapInPandas(score, schema)
+    return docs.mapInPandas(lean(score), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> DataFrame:

@@ -1,12 +1,13 @@
 """Toxicity and quality: held-out accuracy, restoration, edge cases."""
 
+import weakref
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.llm import quality_gam, toxicity
+from kerbside.llm import common, quality_gam, toxicity
 
 WORDS = "river stone garden bright candle meadow window silver market travel yellow number kitchen letter purple winter".split()
 BAD = ["idiot", "scumbag", "loser"]
@@ -72,6 +73,31 @@ def test_long_stretch(corpus):
     assert toxicity.decoded("st0ne" * 20_000, model) == "stone" * 20_000
 
 
+def test_a_task_makes_lists_of_the_rows_it_reads_alone():
+    model = np.random.default_rng(2).normal(size=(toxicity.N_CLASSES,) * 3).astype(np.float32)
+    lists, whole = toxicity.as_lists(model), model.tolist()
+    for stretch in ("1d10t", "l o s e r", "$cumb@g", "looooser", "шk0la"):
+        assert toxicity.decoded(stretch, lists) == toxicity.decoded(stretch, whole)
+    assert 0 < sum(map(len, lists)) < 1000
+
+
+def test_tables_of_a_task_are_given_back_with_it(monkeypatch):
+    class Table:
+        pass
+
+    kept, calls = [], []
+    monkeypatch.setattr(common, "release", lambda: calls.append(kept[0]() is None))
+
+    def rows(batches):
+        table = Table()
+        kept.append(weakref.ref(table))
+        yield from batches
+
+    assert list(common.lean(rows)(iter([1, 2]))) == [1, 2] and calls == [True]
+    monkeypatch.undo()
+    common.release()
+
+
 def test_without_labels(spark, corpus):
     docs, labels = corpus
     assert {r.predicted for r in toxicity.toxicity(docs.limit(3), labels.limit(0)).collect()} == {0}

@@ -120,3 +120,17 @@ def test_a_state_is_taken_up_again(spark, tmp_path):
     assert got(index.clean(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
     keys = index.log().select("shard", "hi", "lo").distinct()
     assert index._known(keys).count() == keys.count()
+
+
+def test_keys_go_to_python_in_large_batches_and_losses_are_written_before_texts_are_read(spark, monkeypatch):
+    name, plain, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", line_dedup.stored, {}
+
+    def stored(frame, label):
+        seen[label] = int(spark.conf.get(name))
+        return plain(frame, label)
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    result = line_dedup.dedup_lines(spark.createDataFrame(docs(), SCHEMA))
+    assert set(seen) == {f"line-{x}" for x in ("batch", "maybe", "exact", "gone", "touched", "freed", "repeated", "losses")}
+    assert min(seen.values()) >= 4096 and int(spark.conf.get(name)) == 256  # texts still go a few at a time
+    assert got(result) == brute(docs())
